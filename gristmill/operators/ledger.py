@@ -280,7 +280,7 @@ def _halving_gate(rows: DataFrame, block: int = 50_000) -> DataFrame:
         ending = placed.groupBy("ledger").agg(F.min(F.when(ends, F.col("pos"))).alias("_end"))
         known = placed.join(broadcast_if_small(ending), "ledger")
         here = F.col("_end").isNull() | (F.col("pos") <= F.col("_end"))
-        accepted = here & (small | (F.col("pos") == F.col("_end")))
+        accepted = here & (small | F.coalesce(F.col("pos") == F.col("_end"), F.lit(False)))
         state = cut_lineage(
             known.select("ledger", "pos", "cost", "remaining", here.alias("_here"), accepted.alias("accepted"))
         )
@@ -581,3 +581,18 @@ def config_phases(records: DataFrame, key: str = "run_id") -> DataFrame:
         F.coalesce("p.description", F.lit("")).alias("description"),
         "_k.checkpoint_name", "_k.requires_checkpoint",
     )
+
+
+# ---------------------------------------------------------------- sets
+
+
+def appended(ledger: DataFrame, records: DataFrame) -> DataFrame:
+    """Both tables by column name; a field that one side lacks is NULL there."""
+    return ledger.unionByName(records, allowMissingColumns=True)
+
+
+def key_difference(left: DataFrame, right: DataFrame, key: str, left_name: str = "left", right_name: str = "right") -> DataFrame:
+    """Keys that only one of two key sets has, and which one."""
+    only_left = left.join(right, key, "left_anti").select(key, F.lit(left_name).alias("side"))
+    only_right = right.join(left, key, "left_anti").select(key, F.lit(right_name).alias("side"))
+    return only_left.unionByName(only_right)

@@ -321,26 +321,26 @@ def k01_letters(spark, d):
     return spark.createDataFrame(rows, "merge_no bigint, left_symbol bigint, right_symbol bigint, freq bigint")
 
 
-def _learnt(spark, d, extra: int = 40, layout=A.BYTES_FIRST) -> bpe.Rules:
+def learnt(spark, d, extra: int = 40, layout=A.BYTES_FIRST) -> bpe.Rules:
     return learn_vocabulary(corpus.nonblank(docs(spark, d)), 260 + extra, layout)
 
 
 @query("K01_bpe_train")
 def k01(spark, d):
-    return _learnt(spark, d).merges_df(spark).select(
+    return learnt(spark, d).merges_df(spark).select(
         F.hex("left").alias("left_hex"), F.hex("right").alias("right_hex"), F.col("rank").cast("bigint").alias("rank"), "freq"
     )
 
 
 @query("K02_bpe_specials_first")
 def k02(spark, d):
-    return _learnt(spark, d, layout=A.SPECIALS_FIRST).vocab_df(spark).select(F.col("id").cast("bigint").alias("id"), F.hex("token").alias("token_hex"))
+    return learnt(spark, d, layout=A.SPECIALS_FIRST).vocab_df(spark).select(F.col("id").cast("bigint").alias("id"), F.hex("token").alias("token_hex"))
 
 
 @query("K03_wordpiece_train")
 def k03(spark, d):
     freq = words.word_table(docs(spark, d), X.plain_words(F.col("text")))
-    rules = bpe.train_wordpiece(freq, 600)
+    rules = bpe.train_wordpiece(freq, 400)
     return rules.vocab_df(spark).select(F.col("id").cast("bigint").alias("id"), F.col("token").cast("string").alias("token"))
 
 
@@ -380,32 +380,32 @@ def _digest_of_ids(rows: DataFrame, rules: bpe.Rules) -> DataFrame:
 
 @query("F04_encode_texts", ROUND_TRIP_SQL)
 def f04(spark, d):
-    rules = _learnt(spark, d)
+    rules = learnt(spark, d)
     return _digest_of_ids(encode.encode_texts(docs(spark, d), rules), rules)
 
 
 @query("F05_encode_whole_texts", ROUND_TRIP_SQL)
 def f05(spark, d):
-    rules = _learnt(spark, d)
+    rules = learnt(spark, d)
     return _digest_of_ids(encode.encode_whole_texts(docs(spark, d), rules), rules)
 
 
 @query("F06_decode_wrapped", ROUND_TRIP_SQL)
 def f06(spark, d):
-    rules = _learnt(spark, d, layout=A.SPECIALS_FIRST)
+    rules = learnt(spark, d, layout=A.SPECIALS_FIRST)
     rows = encode.encode_texts(docs(spark, d), rules)
     return _digest_of_ids(rows.withColumn("ids", A.wrap(F.col("ids"), rules.layout)), rules)
 
 
 @query("J01_encode_distinct_words", ROUND_TRIP_SQL)
 def j01(spark, d):
-    rules = _learnt(spark, d)
+    rules = learnt(spark, d)
     return _digest_of_ids(encode.encode_by_distinct_word(docs(spark, d), rules), rules)
 
 
 @query("J10_encoder_agreement", "SELECT count(*) AS total, count(*) AS matches, 0::BIGINT AS mismatches, 1.0::DOUBLE AS rate FROM documents")
 def j10(spark, d):
-    rules = _learnt(spark, d)
+    rules = learnt(spark, d)
     texts = docs(spark, d)
     compared = encode.agreement(encode.encode_texts(texts, rules), encode.encode_by_distinct_word(texts, rules), "doc_id", "ids")
     return encode.agreement_report(compared)
@@ -527,7 +527,7 @@ def w02(spark, d):
 
 @query("A04_split_counts", f"WITH {SPLIT_SQL} SELECT split, count(*) AS n, sum(4 * 64)::BIGINT AS bytes FROM split GROUP BY split")
 def a04(spark, d):
-    rules = _learnt(spark, d, 8)
+    rules = learnt(spark, d, 8)
     return split.split_sizes(model_records(docs(spark, d), rules, 64), "input_ids")
 
 
@@ -544,7 +544,7 @@ def w03_ordered(spark, d):
     return split.batches(docs(spark, d).select("doc_id"), "doc_id", 32, shuffle=False)
 
 
-@query("W04_cycle", """WITH n AS (SELECT count(*) // 32 AS nb FROM documents), e AS (SELECT unnest(range(4)) AS epoch),
+@query("W04_cycle", """WITH n AS (SELECT count(*) // 32 AS nb FROM documents), e AS (SELECT unnest(range(20)) AS epoch),
     o AS (SELECT doc_id, epoch, row_number() OVER (PARTITION BY epoch ORDER BY sha256('42:' || epoch || ':' || doc_id), doc_id) AS rn FROM documents, e)
     SELECT epoch * nb + (rn - 1) // 32 + 1 AS step, epoch, doc_id FROM o, n
     WHERE (rn - 1) // 32 < nb AND epoch * nb + (rn - 1) // 32 + 1 <= 100""")
