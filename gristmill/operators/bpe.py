@@ -164,8 +164,14 @@ def train_bpe(words: DataFrame, vocab_size: int, layout: Layout = BYTES_FIRST, b
     return learn_merges(start, alphabet, 260, vocab_size - 260, layout, batch=batch)
 
 
-def train_wordpiece(words: DataFrame, vocab_size: int, layout: Layout = SPECIALS_FIRST) -> Rules:
-    """Character merges where a `##` mark tells inner characters from leading ones."""
+def train_wordpiece(
+    words: DataFrame, vocab_size: int, layout: Layout = SPECIALS_FIRST, merges: int | None = None
+) -> Rules:
+    """Character merges where a `##` mark tells inner characters from leading ones.
+
+    Specials and the alphabet come first; `merges` fixes the number of rules instead of the
+    vocabulary size. Ties go to the lower symbol numbers.
+    """
     chars = F.split("word", "")
     seen = (
         words.select(F.posexplode(chars).alias("at", "c"))
@@ -183,4 +189,5 @@ def train_wordpiece(words: DataFrame, vocab_size: int, layout: Layout = SPECIALS
         .alias("symbols"), "freq", "first",
     )
     base = 4 + len(alphabet)
-    return learn_merges(start, alphabet, base, vocab_size - base, layout, prefix=b"##", ties="pair")
+    wanted = vocab_size - base if merges is None else merges
+    return learn_merges(start, alphabet, base, wanted, layout, prefix=b"##", ties="pair")

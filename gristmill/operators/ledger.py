@@ -189,7 +189,7 @@ def apply_events(ledger: DataFrame, events: DataFrame, block: Column, event_bloc
     is_start = F.col("kind") == "start"
     counted = running(
         events, ["dataset"], ["event_no"], event_block, {"_starts": ("sum", is_start.cast("bigint"))}
-    ).join(have, "dataset")
+    ).join(broadcast_if_small(have), "dataset")
     valid = counted.filter(~is_start | (F.col("_starts") <= F.col("_runs"))).withColumn(
         "_move", F.when(is_start, F.lit(1)).otherwise(F.lit(-1)).cast("bigint")
     )
@@ -235,10 +235,10 @@ def affordable(due: DataFrame, budgets: DataFrame, fold_rows: int = 50_000) -> D
     """
     sizes = due.groupBy("ledger").agg(F.count(F.lit(1)).alias("_n")).join(budgets, "ledger")
     sizes = cut_lineage(sizes)
-    small = due.join(sizes.filter(F.col("_n") <= fold_rows), "ledger")
+    small = due.join(broadcast_if_small(sizes.filter(F.col("_n") <= fold_rows)), "ledger")
     out = _folded_gate(small)
     if not sizes.filter(F.col("_n") > fold_rows).isEmpty():
-        large = due.join(sizes.filter(F.col("_n") > fold_rows), "ledger")
+        large = due.join(broadcast_if_small(sizes.filter(F.col("_n") > fold_rows)), "ledger")
         out = out.unionByName(_halving_gate(large.select("ledger", "pos", "cost", "remaining")))
     return due.join(out, ["ledger", "pos"])
 
@@ -318,7 +318,8 @@ def dataset_summary(records: DataFrame) -> DataFrame:
 
 def already_processed(requests: DataFrame, lineage: DataFrame, seen: bool = True) -> DataFrame:
     """Requests whose (dataset, fingerprint) is (or is not) in the lineage ledger."""
-    return requests.join(lineage, ["dataset", "fingerprint"], "left_semi" if seen else "left_anti")
+    known = lineage.select("dataset", "fingerprint").distinct()
+    return requests.join(known, ["dataset", "fingerprint"], "left_semi" if seen else "left_anti")
 
 
 def keep_last(rows: DataFrame, keys: list[str], order: str, n: int, best: Column | None = None) -> DataFrame:
@@ -495,7 +496,7 @@ def reusable_outputs(requests: DataFrame, manifest: DataFrame, meta: DataFrame,
 
 def stale_requests(requests: DataFrame, manifest: DataFrame) -> DataFrame:
     """Requests without an output that carries their current fingerprint."""
-    return requests.join(manifest, ["corpus", "fingerprint"], "left_anti")
+    return requests.join(manifest.select("corpus", "fingerprint").distinct(), ["corpus", "fingerprint"], "left_anti")
 
 
 # Path, type, default and name of each run parameter taken from a nested record.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.operators.blocks import nth_keys, positions
+from gristmill.operators.blocks import nth_keys, number_in_order, positions
 
 SEED = 42
 SPLIT_VERSION = 2
@@ -70,19 +70,18 @@ def split_sizes(df: DataFrame, ids: str | None = None) -> DataFrame:
 def batches(df: DataFrame, key: str, batch_size: int, shuffle: bool = True, seed: int = SEED) -> DataFrame:
     """Add `batch_id`; rows of the incomplete last batch are dropped.
 
-    Without shuffling the rows keep the order of the BIGINT `key`.
+    Without shuffling the rows keep the order of the key.
     """
     if shuffle:
-        work = df.withColumn("_o", order_hash(F.col(key), seed))
-        block = _block(F.col("_o"))
+        hashed = df.withColumn("_h", order_hash(F.col(key), seed))
+        placed = positions(hashed, [], ["_h", key], _block(F.col("_h")), "_pos", total="_n")
+        placed = placed.withColumn("_pos", F.col("_pos") - 1).drop("_h")
     else:
-        work = df.withColumn("_o", F.col(key))
-        block = F.floor(F.col(key) / 65_536)
-    placed = positions(work, [], ["_o", key], block, "_pos", total="_n")
+        placed = number_in_order(df, [key], "_pos").withColumn("_n", F.lit(df.count()))
     return (
-        placed.withColumn("batch_id", F.expr(f"(_pos - 1) div {batch_size}"))
+        placed.withColumn("batch_id", F.expr(f"_pos div {batch_size}"))
         .filter(F.col("batch_id") < F.expr(f"_n div {batch_size}"))
-        .drop("_o", "_pos", "_n")
+        .drop("_pos", "_n")
     )
 
 

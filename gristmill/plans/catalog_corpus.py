@@ -247,7 +247,15 @@ def a01_letters(spark, d):
     return freq.select("word", "freq", F.col("first._doc").alias("first_doc"), F.col("first._pos").cast("bigint").alias("first_pos"))
 
 
-@query("A01_pretoken_freq")
+# The SQL engine has no lookahead. A mark before the last white space of a run that is followed
+# by other text splits the run where the pattern's lookahead would.
+SPACE_SQL = r"[\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+PRETOKENS_SQL = rf"""occ AS (SELECT doc_id, generate_subscripts(w, 1) - 1 AS pos, unnest(w) AS word FROM (SELECT doc_id,
+    regexp_extract_all(regexp_replace(text, '({SPACE_SQL})({SPACE_SQL.replace('[', '[^', 1)})', chr(57344) || '\1\2', 'g'),
+    '''s|''t|''re|''ve|''m|''ll|''d| ?\p{{L}}+| ?\p{{N}}+| ?[^\p{{L}}\p{{N}}\x{{e000}}{SPACE_SQL[1:-1]}]+|{SPACE_SQL}+') AS w FROM documents))"""
+
+
+@query("A01_pretoken_freq", f"WITH {PRETOKENS_SQL} SELECT word, count(*) AS freq FROM occ GROUP BY word")
 def a01(spark, d):
     return words.word_table(docs(spark, d)).select("word", "freq")
 
@@ -291,7 +299,7 @@ def a18(spark, d):
 
 
 # One recursion step holds all words with their symbols, the round's best pair applied.
-K01_SQL = rf"""WITH RECURSIVE {OCCURRENCES_SQL},
+MERGES_SQL = rf"""
     w AS (SELECT word, count(*) AS freq, min({{'d': doc_id, 'p': pos}}) AS first FROM occ GROUP BY word),
     s AS (SELECT freq, row_number() OVER (ORDER BY first) AS place, array_to_string(list_transform(range(1, octet_length(encode(word)) + 1),
         lambda i: chr(CAST('0x' || substr(hex(encode(word)), 2 * i - 1, 2) AS INTEGER) + 256)), '') AS symbols FROM w),
@@ -303,16 +311,20 @@ K01_SQL = rf"""WITH RECURSIVE {OCCURRENCES_SQL},
             best AS (SELECT substr(symbols, j, 2) AS pair, sum(freq)::BIGINT AS f, min({{'p': place, 'j': j}}) AS first
                 FROM p GROUP BY 1 ORDER BY f DESC, first LIMIT 1)
         SELECT now.round + 1, freq, place, replace(symbols, best.pair, chr(600 + now.round)), best.pair, best.f
-        FROM now, best WHERE now.round < 24))
+        FROM now, best WHERE now.round < 40))
     SELECT round::BIGINT AS merge_no, ascii(substr(any_value(pair), 1, 1))::BIGINT AS left_symbol,
         ascii(substr(any_value(pair), 2, 1))::BIGINT AS right_symbol, any_value(pair_freq) AS freq
     FROM r WHERE round > 0 GROUP BY round"""
 
 
-@query("K01_bpe_letters", K01_SQL)
+@query("K01_bpe_letters", f"WITH RECURSIVE {OCCURRENCES_SQL}, {MERGES_SQL}")
 def k01_letters(spark, d):
     freq = words.word_table(docs(spark, d), X.letter_words(F.col("text")))
-    rules = bpe.train_bpe(freq, 260 + 24)
+    return merge_symbols(spark, bpe.train_bpe(freq, 260 + 40))
+
+
+def merge_symbols(spark, rules: bpe.Rules) -> DataFrame:
+    """Merges in the numbering of the SQL: bytes from 256, the n-th merge 600 + n."""
     number = {bytes([b]): 256 + b for b in range(256)}
     rows = []
     for i, m in enumerate(rules.merges):
@@ -325,11 +337,9 @@ def learnt(spark, d, extra: int = 40, layout=A.BYTES_FIRST) -> bpe.Rules:
     return learn_vocabulary(corpus.nonblank(docs(spark, d)), 260 + extra, layout)
 
 
-@query("K01_bpe_train")
+@query("K01_bpe_train", f"WITH RECURSIVE {PRETOKENS_SQL}, {MERGES_SQL}")
 def k01(spark, d):
-    return learnt(spark, d).merges_df(spark).select(
-        F.hex("left").alias("left_hex"), F.hex("right").alias("right_hex"), F.col("rank").cast("bigint").alias("rank"), "freq"
-    )
+    return merge_symbols(spark, learnt(spark, d))
 
 
 @query("K02_bpe_specials_first")

@@ -14,7 +14,7 @@ from gristmill.operators.corpus import as_corpus, cap_rows, nonblank
 from gristmill.operators.encode import encode_texts
 from gristmill.operators.gather import concat_in_order
 from gristmill.operators.metrics import BLOCK_STEPS, early_stop, overfit_streaks, run_summary
-from gristmill.session import cut_lineage, scratch
+from gristmill.session import broadcast_if_small, cut_lineage, scratch
 from gristmill.streaming.sinks import batches_before, previous_state, put_batch
 
 Put = Callable[[DataFrame, int], None]
@@ -83,7 +83,8 @@ def monitor(
         tail = previous_state(spark, f"{path}/tail", STEP_ROWS, batch_id)
         waiting = previous_state(spark, f"{path}/waiting", STEP_ROWS, batch_id)
         new = waiting.unionByName(batch.select("run_id", "step", "loss", "val_loss")).dropDuplicates(["run_id", "step"])
-        new = new.join(runs.select("run_id", "last_step"), "run_id", "left").withColumn(
+        reached = broadcast_if_small(runs.select("run_id", "last_step"))
+        new = new.join(reached, "run_id", "left").withColumn(
             "last_step", F.coalesce("last_step", F.lit(0))
         ).filter(F.col("step") > F.col("last_step"))
         placed = positions(new, ["run_id"], ["step"], F.floor(F.col("step") / BLOCK_STEPS), "_p")
@@ -93,7 +94,7 @@ def monitor(
 
         together = tail.unionByName(ready)
         means = trailing(together, ["run_id"], "step", width, {"avg_loss": F.avg("loss")}, BLOCK_STEPS)
-        means = means.join(runs.select("run_id", "last_step"), "run_id", "left").filter(
+        means = means.join(reached, "run_id", "left").filter(
             F.col("step") > F.coalesce("last_step", F.lit(0))
         ).drop("last_step")
         means = cut_lineage(means)
@@ -101,7 +102,7 @@ def monitor(
         now = runs.select("run_id", F.col("last_step").alias("_old")).join(ends, "run_id", "full").select(
             "run_id", F.coalesce("last_step", "_old").alias("last_step")
         )
-        newest = together.join(now, "run_id").filter(F.col("step") > F.col("last_step") - (width - 1)).drop("last_step")
+        newest = together.join(broadcast_if_small(now), "run_id").filter(F.col("step") > F.col("last_step") - (width - 1)).drop("last_step")
         put_batch(newest.select("run_id", "step", "loss", "val_loss"), f"{path}/tail", batch_id)
 
         evals = means.filter(F.col("val_loss").isNotNull()).select(
