@@ -57,15 +57,17 @@ def number_in_order(df: DataFrame, order: list, pos: str = "pos") -> DataFrame:
 
 
 def running(
-    df: DataFrame, keys: list[str], order: list, block: Column, columns: dict[str, tuple[str, Column]],
-    inclusive: bool = True,
+    df: DataFrame, keys: list[str], order: list, block: Column, columns: dict[str, tuple[str, Column]]
 ) -> DataFrame:
-    """Running sum, min or max per key up to (or just before) each row.
+    """Running aggregates per key.
 
-    `columns` maps a new column to (kind, expression). A running sum before the first row
-    is 0; a running min or max there is NULL.
+    `columns` maps a new column to (kind, expression); kinds are sum, min, max up to each
+    row, and sum_before, min_before, max_before up to the row before it. A sum over no rows
+    is 0, a min or max over none is NULL. All columns share one pass.
     """
     fold = {"sum": F.sum, "min": F.min, "max": F.max}
+    last = {name: -1 if kind.endswith("_before") else 0 for name, (kind, _) in columns.items()}
+    columns = {name: (kind.removesuffix("_before"), value) for name, (kind, value) in columns.items()}
     cut = df.withColumn("_b", block)
     for name, (_, value) in columns.items():
         cut = cut.withColumn("_v_" + name, value)
@@ -76,9 +78,10 @@ def running(
         *keys, "_b",
         *[fold[kind]("_p_" + name).over(_before(keys)).alias("_c_" + name) for name, (kind, _) in columns.items()],
     )
-    here = W.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
+    here = W.partitionBy(*keys, "_b").orderBy(*order)
     for name, (kind, _) in columns.items():
-        cut = cut.withColumn("_l_" + name, fold[kind]("_v_" + name).over(here))
+        frame = here.rowsBetween(W.unboundedPreceding, last[name])
+        cut = cut.withColumn("_l_" + name, fold[kind]("_v_" + name).over(frame))
     out = cut.join(carry, [*keys, "_b"])
     for name, (kind, _) in columns.items():
         local, carried = F.col("_l_" + name), F.col("_c_" + name)

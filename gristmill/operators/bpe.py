@@ -17,7 +17,7 @@ from gristmill.functions.arrays import BYTES_FIRST, SPECIALS_FIRST, Layout
 from gristmill.functions.text import byte_string
 from gristmill.operators.blocks import number_in_order
 from gristmill.operators.words import pair_table, top_pairs
-from gristmill.session import cut_lineage
+from gristmill.session import cut_lineage, spread
 
 CANDIDATES = 512
 MERGES_PER_CUT = 32
@@ -125,7 +125,7 @@ def learn_merges(
     next_symbol = 1 + max((symbol_number(c) for c in bytes_of), default=0)
     rules = Rules(layout, alphabet=list(alphabet), prefix=prefix)
     several = words.filter(F.length("symbols") > 1)
-    base = numbered(several).select("symbols", "freq", "place").persist()
+    base = spread(cut_lineage(numbered(several).select("symbols", "freq", "place"))).persist()
     pending: list[tuple[str, str]] = []
     while len(rules.merges) < wanted:
         symbols = F.col("symbols")
@@ -133,7 +133,7 @@ def learn_merges(
             symbols = F.replace(symbols, F.lit(pair), F.lit(made))
         now = base.withColumn("symbols", symbols)
         if len(pending) >= MERGES_PER_CUT:
-            before, base = base, cut_lineage(now.filter(F.length("symbols") > 1)).persist()
+            before, base = base, spread(cut_lineage(now.filter(F.length("symbols") > 1))).persist()
             before.unpersist()
             now, pending = base, []
         ask = CANDIDATES if batch else 1

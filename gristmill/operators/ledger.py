@@ -182,24 +182,25 @@ def apply_events(ledger: DataFrame, events: DataFrame, block: Column, event_bloc
     the dataset's first pending run, an end its first running one; an event that finds no
     such run is lost. Starts therefore take runs in ledger order and ends finish them in the
     same order, so both are matched by their number. An end is lost exactly when the running
-    count of starts minus ends falls to a new low below zero.
+    count of starts minus ends falls to a new low below zero, so that low is also the number
+    of ends lost so far.
     """
-    runs = positions(ledger, ["dataset"], ["run_no"], block, "_k", total="_runs")
-    have = runs.groupBy("dataset").agg(F.max("_runs").alias("_runs"))
+    runs = positions(ledger, ["dataset"], ["run_no"], block, "_k")
+    have = ledger.groupBy("dataset").agg(F.count(F.lit(1)).alias("_runs"))
     is_start = F.col("kind") == "start"
-    counted = running(
-        events, ["dataset"], ["event_no"], event_block, {"_starts": ("sum", is_start.cast("bigint"))}
-    ).join(broadcast_if_small(have), "dataset")
-    valid = counted.filter(~is_start | (F.col("_starts") <= F.col("_runs"))).withColumn(
-        "_move", F.when(is_start, F.lit(1)).otherwise(F.lit(-1)).cast("bigint")
+    counted = running(events, ["dataset"], ["event_no"], event_block, {
+        "_starts": ("sum", is_start.cast("bigint")), "_ends": ("sum", (~is_start).cast("bigint")),
+    }).join(broadcast_if_small(have), "dataset")
+    level = F.least("_starts", "_runs") - F.col("_ends")
+    low = running(counted.withColumn("_level", level), ["dataset"], ["event_no"], event_block, {
+        "_low": ("min", F.col("_level")), "_low_before": ("min_before", F.col("_level")),
+    })
+    zero = F.lit(0)
+    lost = F.when(is_start, F.col("_starts") > F.col("_runs")).otherwise(
+        F.col("_level") < F.least(F.coalesce("_low_before", zero), zero)
     )
-    level = running(valid, ["dataset"], ["event_no"], event_block, {"_level": ("sum", F.col("_move"))})
-    low = running(level, ["dataset"], ["event_no"], event_block, {"_low": ("min", F.col("_level"))}, inclusive=False)
-    lost = ~is_start & (F.col("_level") < F.least(F.coalesce("_low", F.lit(0)), F.lit(0)))
-    hit = low.filter(~lost)
-    ranked = running(
-        hit, ["dataset"], ["event_no"], event_block, {"_ends": ("sum", (~is_start).cast("bigint"))}
-    ).withColumn("_k", F.when(is_start, F.col("_starts")).otherwise(F.col("_ends")))
+    lost_ends = F.greatest(zero, -F.col("_low"))
+    ranked = low.filter(~lost).withColumn("_k", F.when(is_start, F.col("_starts")).otherwise(F.col("_ends") - lost_ends))
     folded = ranked.groupBy("dataset", "_k").agg(
         F.max(F.when(is_start, F.col("event_no"))).alias("started_by"),
         F.max(F.when(~is_start, F.struct("event_no", "kind"))).alias("_end"),

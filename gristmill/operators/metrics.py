@@ -84,9 +84,14 @@ def interval_means(log: DataFrame, every: int = 10) -> DataFrame:
     )
 
 
+def smoothed_loss(log: DataFrame, width: int = 100) -> DataFrame:
+    """Add `avg_loss` over the last `width` steps."""
+    return trailing(log, ["run_id"], "step", width, {"avg_loss": F.avg("loss")}, BLOCK_STEPS)
+
+
 def trailing_mean(log: DataFrame, width: int = 100) -> DataFrame:
     """Add `avg_loss` over the last `width` steps and `best_avg`, its running minimum."""
-    with_mean = trailing(log, ["run_id"], "step", width, {"avg_loss": F.avg("loss")}, BLOCK_STEPS)
+    with_mean = smoothed_loss(log, width)
     block = F.floor(F.col("step") / BLOCK_STEPS)
     return running(with_mean, ["run_id"], ["step"], block, {"best_avg": ("min", F.col("avg_loss"))})
 
@@ -95,7 +100,7 @@ def mark_best(evals: DataFrame) -> DataFrame:
     """Add `best_before` and `is_best`: strictly lower than every earlier value of the run."""
     block = F.floor(F.col("step") / BLOCK_STEPS)
     seen = running(
-        evals, ["run_id"], ["step"], block, {"best_before": ("min", F.col("val_loss"))}, inclusive=False
+        evals, ["run_id"], ["step"], block, {"best_before": ("min_before", F.col("val_loss"))}
     )
     better = F.col("best_before").isNull() | (F.col("val_loss") < F.col("best_before"))
     return seen.withColumn("is_best", F.col("val_loss").isNotNull() & better)

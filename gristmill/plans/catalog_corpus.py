@@ -28,7 +28,7 @@ ROUND_TRIP_SQL = "SELECT doc_id, md5(text) AS digest FROM documents"
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return readers.read_corpus(spark, f"{sf_dir}/documents.parquet", columns=["doc_id", "text"])
 
 
 def join_ints(ids):
@@ -347,11 +347,35 @@ def k02(spark, d):
     return learnt(spark, d, layout=A.SPECIALS_FIRST).vocab_df(spark).select(F.col("id").cast("bigint").alias("id"), F.hex("token").alias("token_hex"))
 
 
-@query("K03_wordpiece_train")
+# Leading characters keep their code point, inner ones are moved up, merges come after both.
+WORDPIECE_SQL = r"""WITH RECURSIVE occ AS (SELECT unnest(regexp_extract_all(text, '[\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}]+|[^\s\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+')) AS word FROM documents),
+    w AS (SELECT word, count(*) AS freq FROM occ GROUP BY word),
+    s AS (SELECT freq, substr(word, 1, 1) || coalesce(array_to_string(list_transform(range(2, length(word) + 1), lambda i: chr(ascii(substr(word, i, 1)) + 131072)), ''), '') AS symbols FROM w),
+    r(round, freq, symbols, pair, pair_freq) AS (
+        SELECT 0, freq, symbols, '', 0::BIGINT FROM s
+        UNION ALL
+        (WITH now AS (SELECT * FROM r),
+            p AS (SELECT freq, symbols, unnest(range(1, length(symbols))) AS j FROM now),
+            best AS (SELECT substr(symbols, j, 2) AS pair, sum(freq)::BIGINT AS f FROM p GROUP BY 1 ORDER BY f DESC, pair LIMIT 1)
+        SELECT now.round + 1, freq, replace(symbols, best.pair, chr(262144 + now.round)), best.pair, best.f
+        FROM now, best WHERE now.round < 40))
+    SELECT round::BIGINT AS merge_no, ascii(substr(any_value(pair), 1, 1))::BIGINT AS left_symbol,
+        ascii(substr(any_value(pair), 2, 1))::BIGINT AS right_symbol, any_value(pair_freq) AS freq
+    FROM r WHERE round > 0 GROUP BY round"""
+
+
+@query("K03_wordpiece_train", WORDPIECE_SQL)
 def k03(spark, d):
-    freq = words.word_table(docs(spark, d), X.plain_words(F.col("text")))
-    rules = bpe.train_wordpiece(freq, 400)
-    return rules.vocab_df(spark).select(F.col("id").cast("bigint").alias("id"), F.col("token").cast("string").alias("token"))
+    rules = bpe.train_wordpiece(words.word_table(docs(spark, d), X.plain_words(F.col("text"))), 0, merges=40)
+    number = {}
+    for token in rules.alphabet:
+        inner = token.startswith(b"##") and len(token) > 2
+        number[token] = ord(token[2 if inner else 0:].decode()) + (131072 if inner else 0)
+    rows = []
+    for i, m in enumerate(rules.merges):
+        rows.append((i + 1, number[m.left], number[m.right], m.freq))
+        number.setdefault(bpe.joined(m.left, m.right, b"##"), 262144 + i)
+    return spark.createDataFrame(rows, "merge_no bigint, left_symbol bigint, right_symbol bigint, freq bigint")
 
 
 @query("K04_unigram_train")

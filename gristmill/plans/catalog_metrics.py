@@ -191,7 +191,7 @@ def w07(spark, d):
 
 
 def eval_log(spark, d, run: str = "event_type") -> DataFrame:
-    means = M.trailing_mean(step_log(spark, d, run))
+    means = M.smoothed_loss(step_log(spark, d, run))
     return means.filter(F.col("step") % EVAL_EVERY == 0).select(
         "run_id", (F.col("step") / EVAL_EVERY).cast("bigint").alias("eval_no"), "step",
         F.col("loss").alias("val_loss"), F.col("avg_loss").alias("train_loss"),
@@ -211,7 +211,7 @@ STREAKS_SQL = """c AS (SELECT run_id, step FROM t WHERE avg_loss < 0.5 AND step
 
 @query("W08_overfit_streaks", f"WITH {TRAILING_SQL}, {STREAKS_SQL} SELECT run_id, start_step, length FROM s")
 def w08_streaks(spark, d):
-    means = M.trailing_mean(step_log(spark, d)).select("run_id", "step", "avg_loss")
+    means = M.smoothed_loss(step_log(spark, d)).select("run_id", "step", "avg_loss")
     return M.overfit_streaks(means, below=0.5, after_step=50)
 
 

@@ -37,6 +37,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a scan at least as many partitions as there are cores.
+
+    Files with few row groups would leave most cores idle in CPU-bound work. A scan that is
+    large enough to fill the cores is left as it is, so big inputs are never shuffled here.
+    Meant for plain scans: the partition count of a plan with shuffles is not known upfront.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting that the side has at most `max_rows` rows."""
     if df.limit(max_rows + 1).count() <= max_rows:

@@ -6,13 +6,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gristmill.session import spread
 from gristmill.sources.fixed_width import TokenRecords
 
 
-def read_corpus(spark: SparkSession, path: str, format: str = "parquet", schema=None, **options) -> DataFrame:
-    """A corpus in any of Spark's file formats; plain text is one document per line."""
+def read_corpus(
+    spark: SparkSession, path: str, format: str = "parquet", schema=None, columns: list[str] | None = None, **options
+) -> DataFrame:
+    """A corpus in any of Spark's file formats; plain text is one document per line.
+
+    `columns` are selected first, so only they are read and, for a small input, spread out.
+    """
     reader = spark.read.format(format).options(**options)
-    return (reader.schema(schema) if schema else reader).load(path)
+    rows = (reader.schema(schema) if schema else reader).load(path)
+    return spread(rows.select(*columns) if columns else rows)
 
 
 def read_token_records(spark: SparkSession, path: str, length: int) -> DataFrame:
