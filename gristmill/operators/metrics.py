@@ -103,7 +103,7 @@ def mark_best(evals: DataFrame) -> DataFrame:
         evals, ["run_id"], ["step"], block, {"best_before": ("min_before", F.col("val_loss"))}
     )
     better = F.col("best_before").isNull() | (F.col("val_loss") < F.col("best_before"))
-    return seen.withColumn("is_best", F.col("val_loss").isNotNull() & better)
+    return seen.withColumn("is_best", F.col("val_loss").isNotNull() & ~F.isnan("val_loss") & better)
 
 
 def _fold_evals(evals: Column, start: Column, patience: int, delta: float, low: float, ratio: float) -> Column:
@@ -112,7 +112,7 @@ def _fold_evals(evals: Column, start: Column, patience: int, delta: float, low:
         val, train = e["val_loss"], e["train_loss"]
         usable = ~F.isnan(val) & (val < float("inf"))
         better = usable & (acc["best"].isNull() | (acc["best"] - val > delta))
-        overfit = F.coalesce((train < low) & (val > train * ratio), F.lit(False))
+        overfit = F.coalesce((train < low) & (val > train * ratio) & ~F.isnan(val), F.lit(False))
         waited = F.when(better, F.lit(0)).otherwise(acc["waited"] + 1) + overfit.cast("int")
         moved = F.struct(
             F.when(better, val).otherwise(acc["best"]).alias("best"),

@@ -138,12 +138,14 @@ NESTED = {
 
 
 def read_ledger(spark: SparkSession, path: str, kind: str, multiline: bool = True) -> DataFrame:
-    """Well-formed documents of one ledger kind; malformed ones are left out."""
+    """Well-formed documents of one ledger kind; malformed ones are left out.
+
+    One document per file, or one per line when `multiline` is off.
+    """
     schema = T.StructType.fromDDL(LEDGERS[kind]).add("_corrupt_record", "string")
-    docs = (
-        spark.read.schema(schema).option("mode", "PERMISSIVE").option("multiLine", multiline)
-        .option("columnNameOfCorruptRecord", "_corrupt_record").option("recursiveFileLookup", True).json(path)
-    )
+    text = spark.read.option("recursiveFileLookup", True).text(path, wholetext=multiline)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    docs = text.select(F.from_json("value", schema, options).alias("_d")).filter(F.col("_d").isNotNull()).select("_d.*")
     return docs.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
 
 
