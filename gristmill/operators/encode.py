@@ -15,7 +15,7 @@ from gristmill.operators.bpe import Rules
 from gristmill.session import BROADCAST_ROWS, broadcast_if_small
 
 HOT_WORDS = 10_000
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 250_000
 IDS = T.ArrayType(T.IntegerType())
 
 

@@ -401,17 +401,22 @@ def snapshot_diff(current: DataFrame, stored: DataFrame, key: str, value: str) -
 def diff_report(diff: DataFrame, key: str, samples: int = 3) -> DataFrame:
     """One row: counts per kind, the smallest sample keys, and the verdict."""
     kinds = ("missing", "unexpected", "mismatch")
-    first = [
-        diff.filter(F.col("kind") == k).orderBy(key).limit(samples).select("kind", F.col(key).alias("_key")) for k in kinds
-    ]
-    sample = first[0].unionByName(first[1]).unionByName(first[2]).agg(*[
-        F.array_join(F.transform(
-            F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.col("_key")))), lambda x: x.cast("string")
-        ), ",").alias(k + "_sample") for k in kinds
-    ])
-    counts = diff.agg(*[F.count_if(F.col("kind") == k).alias(k) for k in kinds])
-    one = counts.withColumn("_one", F.lit(1)).join(sample.withColumn("_one", F.lit(1)), "_one").drop("_one")
-    return one.withColumn("compatible", (F.col("missing") + F.col("unexpected") + F.col("mismatch")) == 0)
+    parts = diff.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).withColumn("_key", F.lit(None).cast(diff.schema[key].dataType))
+    for k in kinds:
+        first = diff.filter(F.col("kind") == k).orderBy(key).limit(samples)
+        parts = parts.unionByName(first.select("kind", F.lit(0).cast("bigint").alias("n"), F.col(key).alias("_key")))
+
+    def of(k: str, value):
+        return F.when(F.col("kind") == k, value)
+
+    def sample(k: str):
+        keys = F.array_sort(F.collect_list(of(k, F.col("_key"))))
+        return F.array_join(F.transform(keys, lambda x: x.cast("string")), ",")
+
+    out = parts.agg(
+        *[F.coalesce(F.sum(of(k, F.col("n"))), F.lit(0)).alias(k) for k in kinds], *[sample(k).alias(k + "_sample") for k in kinds]
+    )
+    return out.withColumn("compatible", (F.col("missing") + F.col("unexpected") + F.col("mismatch")) == 0)
 
 
 # Checkpoint key -> configuration key compared on resume.

@@ -342,9 +342,14 @@ def k01(spark, d):
     return merge_symbols(spark, learnt(spark, d))
 
 
-@query("K02_bpe_specials_first")
+@query("K02_bpe_specials_first", f"SELECT *, 259 + merge_no AS id, 0::BIGINT AS pad, 3::BIGINT AS unk FROM (WITH RECURSIVE {PRETOKENS_SQL}, {MERGES_SQL})")
 def k02(spark, d):
-    return learnt(spark, d, layout=A.SPECIALS_FIRST).vocab_df(spark).select(F.col("id").cast("bigint").alias("id"), F.hex("token").alias("token_hex"))
+    rules = learnt(spark, d, layout=A.SPECIALS_FIRST)
+    special = {t: i for i, t in rules.vocabulary().items() if t in (b"<PAD>", b"<UNK>")}
+    ids = rules.merges_df(spark).select((F.col("rank") + 1).cast("bigint").alias("merge_no"), F.col("id").cast("bigint").alias("id"))
+    return merge_symbols(spark, rules).join(ids, "merge_no").withColumn("pad", F.lit(special[b"<PAD>"]).cast("bigint")).withColumn(
+        "unk", F.lit(special[b"<UNK>"]).cast("bigint")
+    )
 
 
 # Leading characters keep their code point, inner ones are moved up, merges come after both.
@@ -378,6 +383,18 @@ def k03(spark, d):
     return spark.createDataFrame(rows, "merge_no bigint, left_symbol bigint, right_symbol bigint, freq bigint")
 
 
+@query("K04_substring_counts", rf"""WITH {OCCURRENCES_SQL}, w AS (SELECT word, count(*) AS freq FROM occ GROUP BY word),
+    s AS (SELECT word, freq, unnest(range(1, length(word) + 1)) AS i FROM w),
+    p AS (SELECT freq, word, i, unnest(range(1, least(16, length(word) - i + 1) + 1)) AS n FROM s),
+    c AS (SELECT substr(word, i, n) AS piece, sum(freq)::BIGINT AS freq FROM p GROUP BY 1)
+    SELECT length(piece)::BIGINT AS chars, count(*) AS pieces, sum(freq)::BIGINT AS occurrences, max(freq) AS most FROM c GROUP BY 1""")
+def k04_substrings(spark, d):
+    counts = unigram.substring_counts(words.word_table(docs(spark, d), X.letter_words(F.col("text"))))
+    return counts.groupBy(F.length("piece").cast("bigint").alias("chars")).agg(
+        F.count(F.lit(1)).alias("pieces"), F.sum("freq").alias("occurrences"), F.max("freq").alias("most")
+    )
+
+
 @query("K04_unigram_train")
 def k04(spark, d):
     freq = words.word_table(docs(spark, d), X.plain_words(F.col("text")))

@@ -169,3 +169,29 @@ def test_whole_preprocessing(spark, tmp_path):
     vocab = {r.id: bytes(r.token) for r in spark.read.parquet(f"{out}/rules/vocab").collect()}
     assert vocab[256] == b"<PAD>" and vocab[97] == b"a" and len(vocab) == 280
     assert base64.b64encode(vocab[98]) == b"Yg=="
+
+
+def test_expected_piece_counts_by_enumeration(spark):
+    import math
+
+    logp = {p: math.log(w) for p, w in {"a": 0.3, "b": 0.2, "ab": 0.25, "ba": 0.1, "aba": 0.05}.items()}
+
+    def segmentations(word):
+        if not word:
+            yield []
+        for n in range(1, len(word) + 1):
+            if word[:n] in logp:
+                for rest in segmentations(word[n:]):
+                    yield [word[:n], *rest]
+
+    want: Counter = Counter()
+    counted = [("abab", 3), ("aba", 2), ("bbb", 1), ("axb", 5)]
+    for word, n in counted:
+        all_of = [(s, math.exp(sum(logp[p] for p in s))) for s in segmentations(word)]
+        total = sum(w for _, w in all_of)
+        for s, w in all_of:
+            for p in s:
+                want[p] += n * w / total
+    df = spark.createDataFrame(counted, "word string, freq bigint")
+    got = {r.piece: r.expected for r in unigram.expected_counts(df, logp).collect()}
+    assert got == pytest.approx(dict(want))
