@@ -80,7 +80,7 @@ def expected_counts(words: DataFrame, logp: dict[str, float]) -> DataFrame:
             for word, freq in zip(batch["word"], batch["freq"]):
                 for piece, share in _expected(word, shipped.value, longest):
                     sums[piece] = sums.get(piece, 0.0) + share * freq
-            yield pd.DataFrame({"piece": list(sums), "expected": list(sums.values())}, columns=["piece", "expected"])
+            yield pd.DataFrame({"piece": pd.Series(list(sums), dtype=str), "expected": pd.Series(list(sums.values()), dtype=float)})
 
     parts = words.select("word", "freq").mapInPandas(count, "piece string, expected double")
     return parts.groupBy("piece").agg(F.sum("expected").alias("expected"))
