@@ -83,6 +83,11 @@ def memory_gb(v: Column, d: Column, layers: Column, batch: Column, seq: Column)
     return (weights * 3 + activations) * 1.2
 
 
+def training_mb(params: Column) -> Column:
+    """Rough GPU need in MB: weights, gradients, optimizer and activations of float32 parameters."""
+    return params.cast("double") * 4 / float(1024**2) * 4
+
+
 def fitting_batch(v: Column, d: Column, layers: Column, f: Column, seq: Column, gpu_gb: Column) -> Column:
     """Largest power of two <= 256 that fits; NULL when weights alone do not fit."""
     gib = F.lit(float(1024**3))

@@ -16,7 +16,7 @@ from gristmill.functions import scalars as S
 from gristmill.functions.text import step_of_file, version_of_file
 from gristmill.operators.blocks import positions, running
 from gristmill.operators.gather import concat_in_order
-from gristmill.session import broadcast_if_small, cut_lineage
+from gristmill.session import broadcast_if_small, cut_lineage, joinable
 
 # ---------------------------------------------------------------- spend
 
@@ -190,7 +190,7 @@ def apply_events(ledger: DataFrame, events: DataFrame, block: Column, event_bloc
     is_start = F.col("kind") == "start"
     counted = running(events, ["dataset"], ["event_no"], event_block, {
         "_starts": ("sum", is_start.cast("bigint")), "_ends": ("sum", (~is_start).cast("bigint")),
-    }).join(broadcast_if_small(have), "dataset")
+    }).join(joinable(have), "dataset")
     level = F.least("_starts", "_runs") - F.col("_ends")
     low = running(counted.withColumn("_level", level), ["dataset"], ["event_no"], event_block, {
         "_low": ("min", F.col("_level")), "_low_before": ("min_before", F.col("_level")),
@@ -215,13 +215,20 @@ def apply_events(ledger: DataFrame, events: DataFrame, block: Column, event_bloc
 
 
 def run_outcome(events: DataFrame) -> DataFrame:
-    """Start, end, terminal status and duration per run over `(run_id, ts, kind)`."""
+    """Start, end, terminal status and duration per run over `(run_id, ts, kind)`.
+
+    Kinds are start, complete, fail and cancel.
+    """
     ended = F.max(F.when(F.col("kind") != "start", F.struct("ts", "kind")))
+    names = {"complete": "completed", "fail": "failed", "cancel": "cancelled"}
+    ended_as = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
     return events.groupBy("run_id").agg(
         F.min(F.when(F.col("kind") == "start", F.col("ts"))).alias("started_at"), ended.alias("_e")
     ).select(
         "run_id", "started_at", F.col("_e.ts").alias("completed_at"),
-        F.coalesce("_e.kind", F.when(F.col("started_at").isNotNull(), "running"), F.lit("pending")).alias("status"),
+        F.coalesce(
+            F.try_element_at(ended_as, F.col("_e.kind")), F.when(F.col("started_at").isNotNull(), "running"), F.lit("pending")
+        ).alias("status"),
         S.duration_hours(F.col("started_at"), F.col("_e.ts")).alias("hours"),
     )
 
@@ -279,7 +286,7 @@ def _halving_gate(rows: DataFrame, block: int = 50_000) -> DataFrame:
             F.col("cost") <= F.col("remaining") - F.col("_sum")
         )
         ending = placed.groupBy("ledger").agg(F.min(F.when(ends, F.col("pos"))).alias("_end"))
-        known = placed.join(broadcast_if_small(ending), "ledger")
+        known = placed.join(joinable(ending), "ledger")
         here = F.col("_end").isNull() | (F.col("pos") <= F.col("_end"))
         accepted = here & (small | F.coalesce(F.col("pos") == F.col("_end"), F.lit(False)))
         state = cut_lineage(
@@ -287,7 +294,7 @@ def _halving_gate(rows: DataFrame, block: int = 50_000) -> DataFrame:
         )
         decided.append(state.filter("_here").select("ledger", "pos", "accepted"))
         used = state.filter("accepted").groupBy("ledger").agg(F.sum("cost").alias("_used"))
-        rest = state.filter(~F.col("_here")).join(broadcast_if_small(used), "ledger", "left").select(
+        rest = state.filter(~F.col("_here")).join(joinable(used), "ledger", "left").select(
             "ledger", "pos", "cost", (F.col("remaining") - F.coalesce("_used", F.lit(0))).alias("remaining")
         )
         rest = cut_lineage(rest)
@@ -337,7 +344,7 @@ def keep_last(rows: DataFrame, keys: list[str], order: str, n: int, best: Column
     keep = F.col(order) >= F.col("_cut")
     if best is not None:
         keep = keep | F.coalesce(best, F.lit(False))
-    return rows.join(broadcast_if_small(cut), keys).withColumn("keep", keep).drop("_cut")
+    return rows.join(joinable(cut), keys).withColumn("keep", keep).drop("_cut")
 
 
 # ---------------------------------------------------------------- checkpoints

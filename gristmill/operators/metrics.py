@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions.scalars import improvement_pct, perplexity
 from gristmill.operators.blocks import running, trailing
-from gristmill.session import broadcast_if_small, cut_lineage
+from gristmill.session import broadcast_if_small, cut_lineage, joinable
 
 BLOCK_STEPS = 100_000
 # Perplexity caps of the ledger and of the training loop.
@@ -61,7 +61,7 @@ def blended_step_time(log: DataFrame) -> DataFrame:
     last = log.groupBy("run_id").agg(F.max("step").alias("_n"))
     before = F.when(F.col("step") == 1, F.lit(0)).otherwise(1 + F.floor((F.col("step") - 1) / 100))
     weight = F.exp(log_product(F.col("_n")) - log_product(F.col("step"))) / (before + 1)
-    return log.join(broadcast_if_small(last), "run_id").groupBy("run_id").agg(F.sum(F.col("step_time_ms") * weight).alias("step_time_ms"))
+    return log.join(joinable(last), "run_id").groupBy("run_id").agg(F.sum(F.col("step_time_ms") * weight).alias("step_time_ms"))
 
 
 def validation_loss(losses: DataFrame) -> DataFrame:

@@ -159,7 +159,7 @@ def l01(spark, d):
 @query("L02_run_outcome", f"""WITH {EVENTS_SQL}, o AS (SELECT l_orderkey AS run_id, min(ts) FILTER (WHERE kind = 'start') AS s,
     max({{'t': ts, 'k': kind}}) FILTER (WHERE kind <> 'start') AS e FROM events_of GROUP BY l_orderkey)
     SELECT run_id, strftime(s, '%Y-%m-%d') AS started_at, strftime(e.t, '%Y-%m-%d') AS completed_at,
-    coalesce(e.k, CASE WHEN s IS NOT NULL THEN 'running' ELSE 'pending' END) AS status, round(datediff('hour', s, e.t)::DOUBLE, 6) AS hours FROM o""")
+    coalesce(CASE e.k WHEN 'complete' THEN 'completed' WHEN 'fail' THEN 'failed' END, CASE WHEN s IS NOT NULL THEN 'running' ELSE 'pending' END) AS status, round(datediff('hour', s, e.t)::DOUBLE, 6) AS hours FROM o""")
 def l02(spark, d):
     out = L.run_outcome(run_events(spark, d).withColumnRenamed("l_orderkey", "run_id"))
     return rounded(out, "hours").withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in ("started_at", "completed_at")})
@@ -241,10 +241,12 @@ def f15(spark, d):
 
 
 @query("F16_memory", f"""WITH {PROFILE_SQL} SELECT profile, round((((v::BIGINT * d + 12::BIGINT * n * d * d)::DOUBLE * 4 / 1073741824) * 3
-    + 32.0::DOUBLE * seq * d * n * 4 / 1073741824) * 1.2::DOUBLE, 6) AS memory_gb FROM sized""")
+    + 32.0::DOUBLE * seq * d * n * 4 / 1073741824) * 1.2::DOUBLE, 6) AS memory_gb,
+    round((v::BIGINT * d + 12::BIGINT * n * d * d)::DOUBLE * 4 / 1048576 * 4, 4) AS training_mb FROM sized""")
 def f16(spark, d):
     gb = S.memory_gb(F.col("vocab_size"), F.col("d_model"), F.col("num_layers"), F.lit(32), F.col("seq_len"))
-    return profiles(spark, d).select("profile", F.round(gb, 6).alias("memory_gb"))
+    mb = S.training_mb(S.params_attention_only(F.col("vocab_size"), F.col("d_model"), F.col("num_layers")))
+    return profiles(spark, d).select("profile", F.round(gb, 6).alias("memory_gb"), F.round(mb, 4).alias("training_mb"))
 
 
 @query("F17_named_gpu_cost", f"""WITH {PROFILE_SQL}, named AS (SELECT s.*, CASE WHEN p_brand = 'Brand#1' THEN 'H100' WHEN p_brand = 'Brand#2' THEN 'T4' ELSE p_brand END AS wanted
@@ -258,11 +260,11 @@ def f17(spark, d):
     return rounded(L.priced_on_named_gpu(named, 30.0).select("profile", "priced_gpu", "cost"), "cost")
 
 
-@query("F18_budget_warning", f"""WITH {PROFILE_SQL} SELECT profile, gpu, CASE WHEN NOT cost <= 30.0::DOUBLE * 0.9::DOUBLE - spent THEN 'over' WHEN (spent + cost) / 30 * 100 > 80 THEN 'high' ELSE 'fine' END AS warning FROM sweep""")
+@query("F18_budget_warning", f"""WITH {PROFILE_SQL} SELECT profile, gpu, CASE WHEN NOT cost <= 30.0::DOUBLE * 0.9::DOUBLE - spent
+    THEN printf('Cost $%.2f exceeds safety margin. Only $%.2f available (90%% of budget).', cost, 30.0::DOUBLE * 0.9::DOUBLE - spent)
+    WHEN (spent + cost) / 30 * 100 > 80 THEN printf('Warning: This will use %.1f%% of monthly budget.', (spent + cost) / 30 * 100) END AS warning FROM sweep""")
 def f18(spark, d):
-    text = F.col("warning")
-    kind = F.when(text.isNull(), "fine").when(text.startswith("Cost $"), "over").otherwise("high")
-    return L.cost_sweep(profiles(spark, d), 30.0).select("profile", "gpu", kind.alias("warning"))
+    return L.cost_sweep(profiles(spark, d), 30.0).select("profile", "gpu", "warning")
 
 
 @query("O03_recommended_gpu", f"""WITH {PROFILE_SQL} SELECT profile, coalesce(arg_min(gpu, gpu_order) FILTER (WHERE cost <= 30.0::DOUBLE * 0.9::DOUBLE - spent), 'T4') AS gpu

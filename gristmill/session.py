@@ -53,3 +53,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def joinable(derived: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A derived table (one row per key of something larger), computed once, then size-checked."""
+    return broadcast_if_small(cut_lineage(derived), max_rows)
