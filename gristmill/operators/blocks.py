@@ -46,8 +46,10 @@ def number_in_order(df: DataFrame, order: list, pos: str = "pos") -> DataFrame:
     The rows are range-sorted and written once; each sorted partition then only needs its
     offset, and the table of offsets has one row per partition.
     """
+    spark = df.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     placed = (
-        cut_lineage(df.orderBy(*order))
+        cut_lineage(df.repartitionByRange(parts, *order).sortWithinPartitions(*order))
         .withColumn("_b", F.spark_partition_id())
         .withColumn("_i", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,6 +110,19 @@ def choose_merges(listed: list[tuple[str, int]], complete: bool, token_of, known
     return taken
 
 
+def merged_symbols(pending: list[tuple[str, str]]) -> Column:
+    """The symbol string after the pending merges.
+
+    The list is filled up with replacements that never match: the rounds then share one
+    generated program, which Spark compiles once and the JVM keeps optimised.
+    """
+    idle = chr(0x10FFFF) * 2
+    symbols = F.col("symbols")
+    for pair, made in [*pending, *[(idle, idle)] * (-len(pending) % MERGES_PER_CUT)]:
+        symbols = F.replace(symbols, F.lit(pair), F.lit(made))
+    return symbols
+
+
 def numbered(words: DataFrame, order=("first",), place: str = "place") -> DataFrame:
     """Add the place of each row in a global order."""
     return number_in_order(words, list(order), place)
@@ -125,13 +138,10 @@ def learn_merges(
     next_symbol = 1 + max((symbol_number(c) for c in bytes_of), default=0)
     rules = Rules(layout, alphabet=list(alphabet), prefix=prefix)
     several = words.filter(F.length("symbols") > 1)
-    base = spread(cut_lineage(numbered(several).select("symbols", "freq", "place"))).persist()
+    base = numbered(several).select("symbols", "freq", "place").persist()
     pending: list[tuple[str, str]] = []
     while len(rules.merges) < wanted:
-        symbols = F.col("symbols")
-        for pair, made in pending:
-            symbols = F.replace(symbols, F.lit(pair), F.lit(made))
-        now = base.withColumn("symbols", symbols)
+        now = base.withColumn("symbols", merged_symbols(pending))
         if len(pending) >= MERGES_PER_CUT:
             before, base = base, spread(cut_lineage(now.filter(F.length("symbols") > 1))).persist()
             before.unpersist()
