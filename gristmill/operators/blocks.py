@@ -11,6 +11,9 @@ higher one. Keys must not be NULL.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -123,25 +126,34 @@ def trailing(
     return cut.filter(F.col("_b") == F.col("_home")).drop("_b", "_home")
 
 
-def nth_keys(df: DataFrame, key: str, ranks: list[int]) -> tuple[int, dict[int, int]]:
-    """Row count and, for each rank (1-based), the value of the BIGINT `key` at it.
+@dataclass
+class Cuts:
+    """Row count, the key at each rank, and the ranks that fall inside a run of equal keys."""
+
+    rows: int
+    keys: dict[int, int]
+    inside_ties: set[int]
+
+
+def nth_keys(df: DataFrame, key: str, ranks: Callable[[int], list[int]] | list[int]) -> Cuts:
+    """The value of the BIGINT `key` at each rank (1-based); ranks may depend on the row count.
 
     Radix selection: a histogram of at most 65 536 equal-width cells narrows the range
-    until the cell holding a rank is small; only then are its keys fetched.
+    until the cell holding a rank is small; only then are its keys sorted.
     """
     cells, small = 65_536, 100_000
     lo, hi, n = df.agg(F.min(key), F.max(key), F.count(key)).first()
-    todo = {r: (lo, hi, r, n) for r in ranks if 1 <= r <= n}
-    found: dict[int, int] = {}
+    wanted = ranks(n) if callable(ranks) else ranks
+    todo = {r: (lo, hi, r, n) for r in wanted if 1 <= r <= n}
+    out = Cuts(n, {}, set())
     while todo:
         for r, (a, b, k, rows) in list(todo.items()):
             inside = df.filter(F.col(key).between(a, b)).select(key)
-            if a == b:
-                found[r] = a
-                del todo[r]
-                continue
-            if rows <= small:
-                found[r] = inside.orderBy(key).offset(k - 1).limit(1).first()[0]
+            if a == b or rows <= small:
+                pair = [a, a][: rows - k + 1] if a == b else [x[0] for x in inside.orderBy(key).offset(k - 1).limit(2).collect()]
+                out.keys[r] = pair[0]
+                if pair[1:] == pair[:1]:
+                    out.inside_ties.add(r)
                 del todo[r]
                 continue
             width = (b - a) // cells + 1
@@ -152,4 +164,4 @@ def nth_keys(df: DataFrame, key: str, ranks: list[int]) -> tuple[int, dict[int,
                     todo[r] = (a + c * width, min(b, a + (c + 1) * width - 1), k, m)
                     break
                 k -= m
-    return n or 0, found
+    return out

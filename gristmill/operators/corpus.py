@@ -52,8 +52,11 @@ def cap_rows(df: DataFrame, key: str, cap: int | None = None) -> DataFrame:
     The key at the cap's rank is found by radix selection, so the cap is a plain filter
     and no task ever sorts `cap` rows.
     """
-    n, cut = nth_keys(df, key, [cap or DEFAULT_CAP])
-    return df.filter(F.col(key) <= F.lit(next(iter(cut.values())))) if cut else df
+    cap = cap or DEFAULT_CAP
+    cuts = nth_keys(df, key, [cap])
+    if cuts.inside_ties:
+        raise ValueError(f"the key {key} is not unique, so the first {cap} rows are not defined")
+    return df.filter(F.col(key) <= F.lit(cuts.keys[cap])) if cuts.keys else df
 
 
 def vocabulary_sample(texts: DataFrame, key: str = "doc_id", size: int = VOCABULARY_SAMPLE) -> DataFrame:

@@ -41,23 +41,28 @@ def ratio_split(
     """
     order = order_hash(F.col(key), seed)
     bits = df.select(_leading_bits(order).alias("k"))
-    n = bits.count()
-    t = int(n * train)
-    v = t + int(n * validation)
-    _, cut = nth_keys(bits, "k", sorted({r for r in (t, v) if r > 0}))
-    exact = {}
-    for rank, value in cut.items():
+
+    def ends(n: int) -> tuple[int, int]:
+        t = int(n * train)
+        return t, t + int(n * validation)
+
+    cuts = nth_keys(bits, "k", lambda n: sorted(set(ends(n))))
+    t, v = ends(cuts.rows)
+
+    def first(rank: int) -> Column:
+        """Is a row among the first `rank` of the order?"""
+        value = cuts.keys[rank]
+        if rank not in cuts.inside_ties:
+            return F.substring(order, 1, 15) <= f"{value:015x}"
         below = bits.filter(F.col("k") < value).count()
-        tied = (
-            df.select(order.alias("h"), _leading_bits(order).alias("k")).filter(F.col("k") == value)
-            .select("h").orderBy("h").offset(rank - below - 1).limit(1).first()
-        )
-        exact[rank] = tied[0]
+        tied = df.select(order.alias("h")).filter(_leading_bits(F.col("h")) == value)
+        return order <= tied.orderBy("h").offset(rank - below - 1).limit(1).first()[0]
+
     name = F.lit("test")
     if v > t:
-        name = F.when(order <= exact[v], F.lit("val")).otherwise(name)
+        name = F.when(first(v), F.lit("val")).otherwise(name)
     if t > 0:
-        name = F.when(order <= exact[t], F.lit("train")).otherwise(name)
+        name = F.when(first(t), F.lit("train")).otherwise(name)
     return df.withColumn("split", name)
 
 

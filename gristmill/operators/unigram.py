@@ -36,10 +36,11 @@ def seed_pieces(words: DataFrame, size: int) -> DataFrame:
         .withColumn("score", F.col("freq") * F.length("piece"))
     )
     many = counted.filter(F.length("piece") > 1).select((-F.col("score")).alias("k"))
-    _, cut = nth_keys(many, "k", [size])
-    if not cut:
+    cuts = nth_keys(many, "k", [size])
+    if not cuts.keys:
         return counted
-    return counted.filter((F.length("piece") == 1) | (F.col("score") > -cut[size]))
+    kept = F.col("score") > -cuts.keys[size] if cuts.inside_ties else F.col("score") >= -cuts.keys[size]
+    return counted.filter((F.length("piece") == 1) | kept)
 
 
 def _expected(word: str, logp: dict[str, float], longest: int) -> list[tuple[str, float]]:

@@ -71,13 +71,15 @@ def test_trailing(table, rows, width, block):
 def test_nth_keys_with_repeats(spark, monkeypatch):
     values = sorted([5] * 300 + list(range(-50, 900, 3)) + [2**40] * 10)
     df = spark.createDataFrame([(v,) for v in values], "k bigint")
-    n, found = nth_keys(df, "k", [1, 200, 350, len(values), len(values) + 1])
-    assert n == len(values) and found == {r: values[r - 1] for r in (1, 200, 350, len(values))}
+    cuts = nth_keys(df, "k", [1, 200, 350, len(values), len(values) + 1])
+    assert cuts.rows == len(values) and cuts.keys == {r: values[r - 1] for r in (1, 200, 350, len(values))}
+    assert cuts.inside_ties == {r for r in (1, 200, 350) if values[r - 1] == values[r]}
+    assert nth_keys(df.filter("k = 5"), "k", lambda n: [n - 1, n]).inside_ties == {299}
 
 
 def test_nth_keys_narrows_large_ranges(spark):
     df = spark.range(300_000).select((F.col("id") * 1_000_003).alias("k"))
-    assert nth_keys(df, "k", [1, 123_456, 300_000])[1] == {1: 0, 123_456: 123_455 * 1_000_003, 300_000: 299_999 * 1_000_003}
+    assert nth_keys(df, "k", [1, 123_456, 300_000]).keys == {1: 0, 123_456: 123_455 * 1_000_003, 300_000: 299_999 * 1_000_003}
 
 
 def simulate_early_stop(evals, patience=5, delta=0.001, low=0.01, ratio=10.0):

@@ -121,6 +121,20 @@ def test_cap_before_blank_filter_and_empty_guard(spark):
     assert corpus.cap_rows(df, "doc_id", 0).count() == corpus.cap_rows(df, "doc_id", None).count() == 7
 
 
+def test_cap_needs_a_unique_key(spark):
+    twice = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "doc_id bigint, text string")
+    with pytest.raises(ValueError, match="not unique"):
+        corpus.cap_rows(twice, "doc_id", 1)
+    assert corpus.cap_rows(twice, "doc_id", 2).count() == 2
+
+
+def test_split_inside_equal_leading_bits(spark, monkeypatch):
+    df = spark.range(40)
+    want = {r.id: r["split"] for r in split.ratio_split(df, "id", 0.5, 0.25).collect()}
+    monkeypatch.setattr(split, "_leading_bits", lambda h: F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint") * 0 + 7)
+    assert {r.id: r["split"] for r in split.ratio_split(df, "id", 0.5, 0.25).collect()} == want
+
+
 def test_text_column_choice(spark):
     schema = spark.createDataFrame([], "id int, sentence string, content string").schema
     assert corpus.pick_text_column(schema) == "content"
