@@ -7,6 +7,7 @@ Points in time are parameters (`as_of`), never the clock.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -251,60 +252,62 @@ def affordable(due: DataFrame, budgets: DataFrame, fold_rows: int = 50_000) -> D
     return due.join(out, ["ledger", "pos"])
 
 
-def _folded_gate(rows: DataFrame) -> DataFrame:
-    lists = rows.groupBy("ledger").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "cost"))).alias("_r"), F.max("remaining").alias("remaining")
-    )
-    start = F.struct(
-        F.col("remaining").cast("bigint").alias("left"),
-        F.array().cast("array<struct<pos:bigint,accepted:boolean>>").alias("out"),
-    )
+def _fold_ledger(rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.sort_values("pos")
+    left, accepted = int(rows["remaining"].iloc[0]), []
+    for cost in rows["cost"].tolist():
+        fits = cost <= left
+        accepted.append(fits)
+        left -= cost if fits else 0
+    return pd.DataFrame({"ledger": rows["ledger"], "pos": rows["pos"], "accepted": accepted})
 
-    def take(acc: Column, r: Column) -> Column:
-        fits = r["cost"] <= acc["left"]
-        return F.struct(
-            (acc["left"] - F.when(fits, r["cost"]).otherwise(F.lit(0))).cast("bigint").alias("left"),
-            F.concat(acc["out"], F.array(F.struct(r["pos"].cast("bigint").alias("pos"), fits.alias("accepted")))).alias("out"),
-        )
 
-    return lists.select("ledger", F.inline(F.aggregate(F.col("_r"), start, take)["out"]))
+def _folded_gate(rows: DataFrame) -> DataFrame:
+    """Ledgers of bounded size, one group each."""
+    kind = rows.schema["ledger"].dataType.simpleString()
+    picked = rows.select("ledger", F.col("pos").cast("bigint").alias("pos"), F.col("cost").cast("bigint").alias("cost"), "remaining")
+    return picked.groupBy("ledger").applyInPandas(_fold_ledger, f"ledger {kind}, pos bigint, accepted boolean")
 
 
 def _halving_gate(rows: DataFrame, block: int = 50_000) -> DataFrame:
-    """Within a round, runs costing at most half of what is left always fit until half is used
+    """Large ledgers, in rounds that each settle a stretch `(start, end]` of every ledger.
+
+    Within a round, runs costing at most half of what is left always fit until half is used
     up; the round ends there, or at the first dearer run that fits. Dearer runs before that
-    point do not fit. What costs more than is left is out for good."""
-    decided: list[DataFrame] = []
-    todo = cut_lineage(rows)
-    small = F.col("cost") * 2 <= F.col("remaining")
-    while not todo.isEmpty():
+    point do not fit. Only the stretches are kept: one small row per ledger and round. What
+    is left at least halves from round to round, so there are few.
+    """
+    base = cut_lineage(rows.select("ledger", "pos", "cost"))
+    state = cut_lineage(rows.groupBy("ledger").agg(
+        F.max("remaining").cast("bigint").alias("left"), (F.min("pos") - 1).alias("start")
+    ))
+    small = F.col("cost") * 2 <= F.col("left")
+    stretches = []
+    while not state.isEmpty():
+        todo = base.join(broadcast_if_small(state), "ledger").filter((F.col("pos") > F.col("start")) & (F.col("cost") <= F.col("left")))
         placed = running(
             todo, ["ledger"], ["pos"], F.floor(F.col("pos") / block),
             {"_sum": ("sum", F.when(small, F.col("cost")).otherwise(F.lit(0)))},
         )
-        ends = (F.col("remaining") > 0) & F.when(small, F.col("_sum") * 2 >= F.col("remaining")).otherwise(
-            F.col("cost") <= F.col("remaining") - F.col("_sum")
-        )
-        ending = placed.groupBy("ledger").agg(F.min(F.when(ends, F.col("pos"))).alias("_end"))
-        known = placed.join(joinable(ending), "ledger")
-        here = F.col("_end").isNull() | (F.col("pos") <= F.col("_end"))
-        accepted = here & (small | F.coalesce(F.col("pos") == F.col("_end"), F.lit(False)))
-        state = cut_lineage(
-            known.select("ledger", "pos", "cost", "remaining", here.alias("_here"), accepted.alias("accepted"))
+        used = F.col("_sum") + F.when(small, F.lit(0)).otherwise(F.col("cost"))
+        ends = (F.col("left") > 0) & F.when(small, F.col("_sum") * 2 >= F.col("left")).otherwise(used <= F.col("left"))
+        ending = placed.groupBy("ledger").agg(F.min(F.when(ends, F.struct(F.col("pos").alias("end"), used.alias("used")))).alias("_e"))
+        done = cut_lineage(state.join(ending, "ledger", "left").select("ledger", "left", "start", "_e.end", "_e.used"))
+        stretches.append(done.select("ledger", "left", "start", "end"))
+        state = done.filter(F.col("end").isNotNull()).select(
+            "ledger", (F.col("left") - F.col("used")).alias("left"), F.col("end").alias("start")
         )
-        decided.append(state.filter("_here").select("ledger", "pos", "accepted"))
-        used = state.filter("accepted").groupBy("ledger").agg(F.sum("cost").alias("_used"))
-        rest = state.filter(~F.col("_here")).join(joinable(used), "ledger", "left").select(
-            "ledger", "pos", "cost", (F.col("remaining") - F.coalesce("_used", F.lit(0))).alias("remaining")
-        )
-        rest = cut_lineage(rest)
-        over = F.col("cost") > F.col("remaining")
-        decided.append(rest.filter(over).select("ledger", "pos", F.lit(False).alias("accepted")))
-        todo = rest.filter(~over)
-    out = decided[0]
-    for d in decided[1:]:
-        out = out.unionByName(d)
-    return out
+    every = stretches[0]
+    for part in stretches[1:]:
+        every = every.unionByName(part)
+    per_ledger = every.groupBy("ledger").agg(F.collect_list(F.struct("left", "start", "end")).alias("_s"))
+    mine = F.get(F.filter(
+        "_s", lambda s: (F.col("pos") > s["start"]) & (s["end"].isNull() | (F.col("pos") <= s["end"]))
+    ), F.lit(0))
+    ok = (F.col("cost") * 2 <= F.col("_m.left")) | F.coalesce(F.col("pos") == F.col("_m.end"), F.lit(False))
+    return base.join(joinable(per_ledger), "ledger").withColumn("_m", mine).select(
+        "ledger", F.col("pos").cast("bigint").alias("pos"), ok.alias("accepted")
+    )
 
 
 # ---------------------------------------------------------------- lineage
