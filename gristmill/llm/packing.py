@@ -25,7 +25,7 @@ CAPACITY = 2_048
 END_ID = 0
 
 # Chunks whose ids a Python process remembers before it starts afresh.
-MEMO_CHUNKS = 400_000
+MEMO_CHUNKS = 1_200_000
 
 # Texts of these characters alone split at white space into chunks that encode independently.
 _PLAIN = re.compile("[^\t\n\r\x20-\x7e¡-ɏ]|<\\|")
