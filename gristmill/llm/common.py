@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gristmill.operators.blocks import number_in_order
 from gristmill.session import scratch
 
 
@@ -28,3 +31,33 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
+    """(_doc, _id, _text): `_doc` is unique and follows (id, text), null ids first; it is the id where ids are unique (then True)."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), text.alias("_text"))
+    n, known, different = rows.agg(F.count(F.lit(1)), F.count("_id"), F.count_distinct("_id")).first()
+    if n == known == different:
+        return rows.select(F.col("_id").alias("_doc"), "_id", "_text"), True
+    ordered = number_in_order(rows, [F.col("_id").asc_nulls_first(), F.col("_text")], "_doc")
+    return written(ordered.select(F.col("_doc").cast("bigint").alias("_doc"), "_id", "_text"), "numbered"), False
+
+
+def whole_groups(batches, key: int = 0):
+    """Tables of whole groups from batches sorted by a BIGINT column; a group may go over several batches."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        cut = int(np.flatnonzero(keys == keys[-1])[0])  # sorted, so the last group starts here
+        if cut:
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = []
+        elif held and held[-1].column(key)[-1].as_py() != int(keys[0]):
+            yield pa.Table.from_batches(held)
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import codec, exact, packing
+from gristmill.llm import codec, exact, near, packing, suffix
 from gristmill.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -56,3 +56,62 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_best_fit_packing")
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json")))
+
+
+REPEATS_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS s FROM d WHERE length(h) >= 200),
+x AS (SELECT doc_id, s, substr(h, 2 * s + 1, 200) AS t FROM w),
+f AS (SELECT t, min(struct_pack(d := doc_id, s := s)) AS first FROM x GROUP BY t),
+m AS (SELECT x.doc_id, x.s FROM x JOIN f USING (t) WHERE struct_pack(d := x.doc_id, s := x.s) <> f.first),
+g AS (SELECT doc_id, s, CASE WHEN s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) <= 100 THEN 0 ELSE 1 END AS new FROM m),
+r AS (SELECT doc_id, s, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM g),
+runs AS (SELECT doc_id, run, min(s) AS a, max(s) + 100 AS b FROM r GROUP BY doc_id, run),
+kept AS (
+    SELECT doc_id, a, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS z FROM runs
+    UNION ALL
+    SELECT d.doc_id, length(d.h) // 2, coalesce(max(b), 0) FROM d LEFT JOIN runs USING (doc_id) GROUP BY d.doc_id, d.h
+),
+k AS (
+    SELECT d.doc_id, string_agg(substr(d.h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) AS h
+    FROM kept JOIN d USING (doc_id) GROUP BY d.doc_id
+),
+n AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans FROM runs GROUP BY doc_id)
+SELECT d.doc_id, length(d.h) // 2 AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0) AS n_spans,
+       sha256(unhex(k.h)) AS kept_sha256
+FROM d JOIN k USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
+@query("op2_suffix_dedup", REPEATS_SQL)
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.cut_repeats(documents(spark, sf_dir)).drop("kept_text")
+
+
+NEAR_SQL = """
+WITH RECURSIVE w AS (
+    SELECT doc_id, [x FOR x IN regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w
+    FROM documents
+),
+s AS (
+    SELECT doc_id, list_distinct(CASE
+        WHEN len(w) >= 3 THEN [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+    FROM w
+),
+u AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+p AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+),
+e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT s.doc_id, len(s.s) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept FROM s JOIN c USING (doc_id)
+"""
+
+
+@query("op10_near_dedup", NEAR_SQL)
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_copies(documents(spark, sf_dir), width=3, percent=85)
