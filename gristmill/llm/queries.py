@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import codec, exact, near, packing, suffix
+from gristmill.llm import codec, exact, fingerprints, licences, near, packing, suffix
 from gristmill.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -115,3 +115,13 @@ SELECT s.doc_id, len(s.s) AS n_shingles, c.component_id, s.doc_id = c.component_
 @query("op10_near_dedup", NEAR_SQL)
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_copies(documents(spark, sf_dir), width=3, percent=85)
+
+
+@query("op3_license_scan")
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(documents(spark, sf_dir)).drop("detections")
+
+
+@query("op4_fingerprints")
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(documents(spark, sf_dir))
