@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gristmill.operators.blocks import number_in_order
@@ -23,10 +26,27 @@ def bounded_batches(spark: SparkSession, megabytes: int = 8) -> None:
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: computed once, safe against lost executors."""
-    spark = df.sparkSession
-    path = scratch(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Steps(df.sparkSession, label).keep("table", df)
+
+
+class Steps:
+    """Intermediate tables of one job in the shared folder, dropped as soon as they are no longer needed."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.base = spark, scratch(spark, label)
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        path = f"{self.base}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Delete tables that later steps don't read, and let Spark delete the shuffle files of finished steps."""
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        gc.collect()  # frees finished queries on the Python side, so that the JVM can forget them too
+        self.spark._jvm.System.gc()
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -61,3 +81,23 @@ def whole_groups(batches, key: int = 0):
         held.append(batch.slice(cut))
     if held:
         yield pa.Table.from_batches(held)
+
+
+def ranked(pieces: DataFrame, size: str, order: list[str], rank: str = "_rank") -> DataFrame:
+    """Number the rows of each size 0, 1, ...; a size may hold any share of the rows.
+
+    Rows of a size are spread over buckets by a hash of their order columns, numbered there, and
+    shifted by the rows in the buckets before.
+    """
+    buckets = shuffle_partitions(pieces.sparkSession)
+    spread = pieces.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    sizes = spread.groupBy(size, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = W.partitionBy(size).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select(size, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    here = W.partitionBy(size, "_bucket").orderBy(*order)
+    return (
+        spread.withColumn("_rn", F.row_number().over(here))
+        .join(offsets, [size, "_bucket"])
+        .withColumn(rank, (F.col("_before") + F.col("_rn") - 1).cast("bigint"))
+        .drop("_bucket", "_rn", "_before")
+    )

@@ -16,10 +16,9 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import bounded_batches, shuffle_partitions, written
+from gristmill.llm.common import bounded_batches, ranked, written
 
 CAPACITY = 2_048
 END_ID = 0
@@ -286,26 +285,6 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     return sorted(runs)
 
 
-def ranked(pieces: DataFrame, size: str, order: list[str], rank: str = "_rank") -> DataFrame:
-    """Number the rows of each size 0, 1, ...; a size may hold any share of the rows.
-
-    Rows of a size are spread over buckets by a hash of their order columns, numbered there, and
-    shifted by the rows in the buckets before.
-    """
-    buckets = shuffle_partitions(pieces.sparkSession)
-    spread = pieces.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
-    sizes = spread.groupBy(size, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = W.partitionBy(size).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select(size, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    here = W.partitionBy(size, "_bucket").orderBy(*order)
-    return (
-        spread.withColumn("_rn", F.row_number().over(here))
-        .join(offsets, [size, "_bucket"])
-        .withColumn(rank, (F.col("_before") + F.col("_rn") - 1).cast("bigint"))
-        .drop("_bucket", "_rn", "_before")
-    )
-
-
 def pack(pieces: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id") -> DataFrame:
     """`pieces` (id, piece, start, length, ids_crc32) with sequence_id and offset."""
     pieces = written(pieces, "pieces")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import codec, exact, fingerprints, licences, near, packing, suffix
+from gristmill.llm import codec, exact, fingerprints, licences, near, packing, sharding, suffix
 from gristmill.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -125,3 +125,8 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_fingerprints")
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(documents(spark, sf_dir))
+
+
+@query("op8_kd_sharding")
+def op8_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(documents(spark, sf_dir))
