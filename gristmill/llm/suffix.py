@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import bounded_batches, keyed, whole_groups, written
+from gristmill.llm.common import Steps, bounded_batches, keyed, whole_groups, written
 
 LENGTH = 100
 GRAM = 24
@@ -249,12 +249,15 @@ def _single_windows(docs: DataFrame, wanted: DataFrame, length: int) -> DataFram
 def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(_doc, _s, _e): windows starting from _s up to before _e start earlier elsewhere, from (_doc, _text)."""
     gram = min(gram, length)
-    scanned = written(_scan(texts, length, gram), "pieces")
+    steps = Steps(texts.sparkSession, "repeats")
+    scanned = steps.keep("pieces", _scan(texts, length, gram))
     again = scanned.groupBy("_a").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_a")
-    shared = written(scanned.join(again, "_a"), "shared")
-    firsts = written(
-        shared.groupBy("_a", "_p").agg(F.min(F.struct("_doc", "_at")).alias("_f")).select("_a", "_p", "_f._doc", "_f._at"), "firsts"
+    shared = steps.keep("shared", scanned.join(again, "_a"))
+    steps.drop("pieces")
+    firsts = steps.keep(
+        "firsts", shared.groupBy("_a", "_p").agg(F.min(F.struct("_doc", "_at")).alias("_f")).select("_a", "_p", "_f._doc", "_f._at")
     )
+    steps.drop()
     first = firsts.select("_a", "_p", F.col("_doc").alias("_fd"), F.col("_at").alias("_fa"))
     start, count = F.shiftright("_at", 20), F.shiftright("_at", 10).bitwiseAND(F.lit(1023))
     later = (
@@ -264,10 +267,13 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     kinds = firsts.groupBy("_a").agg(F.count(F.lit(1)).alias("_kinds")).filter("_kinds > 1")
     differing = firsts.join(kinds, "_a")
     regular = _cut_pieces(texts, differing.filter(F.col("_kinds") <= HOT_PIECES), length)
-    out = later.unionByName(_construct(regular.repartition("_a").sortWithinPartitions("_a"), length, gram))
+    parts = [steps.keep("later", later)]
+    steps.drop("shared")
+    parts.append(steps.keep("marked", _construct(regular.repartition("_a").sortWithinPartitions("_a"), length, gram)))
     if kinds.filter(F.col("_kinds") > HOT_PIECES).limit(1).count():
-        out = out.unionByName(_single_windows(texts, differing.filter(F.col("_kinds") > HOT_PIECES), length))
-    return out
+        parts.append(steps.keep("hot", _single_windows(texts, differing.filter(F.col("_kinds") > HOT_PIECES), length)))
+    steps.drop("firsts")
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def _merged(spans: list, length: int) -> list[tuple[int, int]]:
