@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import codec, exact, fingerprints, licences, near, packing, sharding, suffix
+from gristmill.llm import codec, exact, fingerprints, language, licences, near, packing, sharding, suffix, toxicity
 from gristmill.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -130,3 +130,13 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_kd_sharding")
 def op8_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
+
+
+@query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.held_out_languages(documents(spark, sf_dir))
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.held_out_scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
