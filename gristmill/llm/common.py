@@ -64,6 +64,15 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]
     return written(ordered.select(F.col("_doc").cast("bigint").alias("_doc"), "_id", "_text"), "numbered"), False
 
 
+def with_row_key(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    """`docs` and a BIGINT column that names its rows: the id where it can, else `__row__` in the order of (id, text)."""
+    n, known, different = docs.select(id_col).agg(F.count(F.lit(1)), F.count(id_col), F.count_distinct(id_col)).first()
+    if n == known == different:
+        return docs, id_col
+    order = [F.col(id_col).asc_nulls_first(), F.col(text_col).asc_nulls_first()]
+    return written(number_in_order(docs, order, "__row__").withColumn("__row__", F.col("__row__").cast("bigint")), "numbered"), "__row__"
+
+
 def whole_groups(batches, key: int = 0):
     """Tables of whole groups from batches sorted by a BIGINT column; a group may go over several batches."""
     held: list[pa.RecordBatch] = []

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import bounded_batches, keyed, whole_groups, written
+from gristmill.llm.common import bounded_batches, keyed, whole_groups, with_row_key, written
 from gristmill.llm.suffix import _mix, _powers
 
 TREES = 4
@@ -303,3 +303,10 @@ def near_copies(
     return named.select(
         F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), "component_id", (F.col("_doc") == F.col("_component")).alias("kept")
     )
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of `docs` that stay, one of each component, with all their columns."""
+    rows, key = with_row_key(docs, id_col, text_col)
+    kept = near_copies(rows, key, text_col, width, percent).filter("kept").select(F.col(key).alias("__kept_row__"))
+    return rows.join(kept, rows[key] == F.col("__kept_row__"), "left_semi").select(*docs.columns)

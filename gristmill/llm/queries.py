@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+import corpus_pipeline
 from gristmill.llm import codec, exact, fingerprints, language, licences, near, packing, sharding, suffix, toxicity
 from gristmill.plans.registry import Query, table
 
@@ -140,3 +140,6 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_toxicity")
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.held_out_scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

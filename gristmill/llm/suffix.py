@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import Steps, bounded_batches, keyed, whole_groups, written
+from gristmill.llm.common import Steps, bounded_batches, keyed, whole_groups, with_row_key, written
 
 LENGTH = 100
 GRAM = 24
@@ -342,3 +342,20 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     schema = "_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string"
     joined = texts.join(spans, "_doc", "left").select("_id", "_text", "_spans")
     return joined.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
+
+
+def drop_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, chars_col: str = "n_chars"
+) -> DataFrame:
+    """All rows of `docs` with the repeated strings cut out of their texts, and `chars_col`, if there, counted anew.
+
+    A row stays even if nothing of its text does; a null text stays null.
+    """
+    rows, key = with_row_key(docs, id_col, text_col)
+    cut = cut_repeats(rows, key, text_col, length).select(F.col(key).alias("__cut_row__"), F.col("kept_text").alias("__kept_text__"))
+    others = rows.withColumn("__null__", F.col(text_col).isNull()).drop(text_col)
+    new = {text_col: F.when(~F.col("__null__"), F.col("__kept_text__")).cast(docs.schema[text_col].dataType)}
+    if chars_col in docs.columns:
+        known = F.col(chars_col).isNotNull() & ~F.col("__null__")
+        new[chars_col] = F.when(known, F.char_length("__kept_text__").cast(docs.schema[chars_col].dataType)).otherwise(F.col(chars_col))
+    return others.join(cut, F.col(key) == F.col("__cut_row__")).withColumns(new).select(*docs.columns)
