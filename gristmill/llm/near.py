@@ -10,7 +10,7 @@ Comparing is a filter on signatures, then an exact test on the full sets, most s
 none inside a component known already, so a node gives fewer links than it has members. The first path
 of the first tree is linked before the others: its components let most later nodes pass unread.
 
-A node that stays large is cut into blocks. In the first round each block meets the node's first
+A node of more than `BLOCK` members is cut into blocks. In the first round each block meets the node's first
 member, which links a group around it with work in proportion to the group; afterwards nodes that are
 one component are dropped, and the blocks of the others meet pairwise. No pair is left out.
 """
@@ -25,16 +25,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import bounded_batches, keyed, whole_groups, with_row_key, written
+from gristmill.llm.common import Steps, bounded_batches, keyed, whole_groups, with_row_key, written
 from gristmill.llm.suffix import _mix, _powers
 
 TREES = 4
 BRANCHES = 2
 TOKENS = 128
 # Members of a node that are compared in one unit, and members beyond which a node branches again.
-BLOCK = 256
+BLOCK = 1_024
 LARGE = 4_096
 DEPTH = 4
+# Likely partners from which on a member's common shingles are counted with all others at once.
+MANY = 32
 
 _U = np.uint64
 
@@ -179,38 +181,64 @@ def _promising(units: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return rows.repartition("_unit").sortWithinPartitions("_unit").mapInArrow(flat, "_unit bigint, _doc bigint, _label bigint")
 
 
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    small, large = (a, b) if len(a) <= len(b) else (b, a)
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    return int((large[at] == small).sum())
+
+
+def _postings(sets: list[np.ndarray]):
+    """For a member: how many shingles it has in common with each of the others."""
+    size = np.array([len(s) for s in sets])
+    _, number = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), size)[np.argsort(number, kind="stable")]
+    begin = np.r_[0, np.cumsum(np.bincount(number))]
+    own = np.split(number, np.cumsum(size)[:-1])
+
+    def common(i: int) -> np.ndarray:
+        first, count = begin[own[i]], begin[own[i] + 1] - begin[own[i]]
+        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - first, count)
+        return np.bincount(owner[at], minlength=len(sets))
+
+    return common
+
+
 def _confirmed(members: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (_u, _v) of a unit's members, by exact comparison of their full sets."""
 
+    share = percent / 100
+    least = int(np.floor(TOKENS * (share - 4.2 * np.sqrt(share * (1 - share) / TOKENS))))
+
     def links(doc, label, texts):
         sets = [shingle_set(t, width) for t in texts]
+        size = np.array([len(s) for s in sets])
         tokens = np.stack([signature(s) for s in sets])
-        share = percent / 100
-        least = int(np.floor(TOKENS * (share - 4.2 * np.sqrt(share * (1 - share) / TOKENS))))
-        likely = []
-        for i in range(len(doc) - 1):
-            alike = (tokens[i + 1 :] == tokens[i]).sum(axis=1)
-            likely += [(-int(alike[j]), i, i + 1 + int(j)) for j in np.flatnonzero((alike >= least) & (label[i + 1 :] != label[i]))]
-        root = {int(x): int(x) for x in label}
-
-        def top(x):
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
-        for _, i, j in sorted(likely):
-            a, b = top(int(label[i])), top(int(label[j]))
-            if a == b:
-                continue
-            small, large = sorted((sets[i], sets[j]), key=len)
-            if 100 * len(small) < percent * len(large):
-                continue
-            at = np.searchsorted(large, small)
-            common = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-            if 100 * common >= percent * (len(small) + len(large) - common):
-                root[max(a, b)] = min(a, b)
-                yield int(doc[i]), int(doc[j])
+        part = np.unique(label, return_inverse=True)[1]  # component of each member
+        postings = None
+        nearest_only = len(doc) > 2
+        while True:
+            for i in range(len(doc) - 1):
+                open_to = np.flatnonzero(part[i + 1 :] != part[i]) + i + 1
+                if not len(open_to):
+                    continue
+                alike = (tokens[open_to] == tokens[i]).sum(axis=1)
+                fits = (alike >= least) & (100 * np.minimum(size[open_to], size[i]) >= percent * np.maximum(size[open_to], size[i]))
+                order = np.argsort(-alike[fits], kind="stable")
+                likely = open_to[fits][order[:1] if nearest_only else order]
+                common = None
+                if len(likely) > MANY:
+                    postings = postings or _postings(sets)
+                    common = postings(i)
+                for j in likely.tolist():
+                    if part[i] == part[j]:
+                        continue
+                    both = int(common[j]) if common is not None else _common(sets[i], sets[j])
+                    if 100 * both >= percent * (size[i] + size[j] - both):
+                        part[part == part[j]] = part[i]
+                        yield int(doc[i]), int(doc[j])
+            if not nearest_only:
+                return
+            nearest_only = False
 
     def run(batches):
         for table in whole_groups(batches):
@@ -267,6 +295,7 @@ def near_copies(
     spark = docs.sparkSession
     bounded_batches(spark)
     texts, unique = keyed(docs, id_col, text_col)
+    steps = Steps(spark, "near")
     sketches = written(_sketch(texts, width), "sketches")
     firsts = written(sketches.filter("_n > 0").groupBy("_class").agg(F.min("_doc").alias("_first")), "classes")
     classes = written(sketches.join(firsts.select(F.col("_first").alias("_doc")), "_doc").select("_doc", "_n", "_sig"), "classes")
@@ -277,6 +306,7 @@ def near_copies(
     path = _sized(classes.select("_doc", F.xxhash64(root, F.lit(0), F.get("_sig", place)).alias("_node")))
     own = classes.withColumn("_label", F.col("_doc"))
     links = written(_confirmed(_promising(_star_units(path), own, percent), texts, width, percent), "links")
+    steps.drop()
     labels = components(links)
 
     known = written(
@@ -286,6 +316,7 @@ def near_copies(
     open_nodes = members.groupBy("_node").agg(F.min("_label").alias("_lo"), F.max("_label").alias("_hi")).filter("_lo <> _hi").select("_node")
     units = _pair_units(nodes.join(open_nodes, "_node"))
     more = written(_confirmed(_promising(units, known, percent), texts, width, percent), "links")
+    steps.drop()
     final = components(links.unionByName(more))
 
     label = (
