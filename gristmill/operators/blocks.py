@@ -6,17 +6,20 @@ a large share of the table. Here every key is cut into ordered blocks: the windo
 the state from block to block.
 
 `block` must grow with the order: every row of a lower block sorts before every row of a
-higher one. Keys must not be NULL.
+higher one. NULL keys are a key of their own, and a NULL block is the first of its key.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gristmill.session import cut_lineage
 
@@ -25,6 +28,13 @@ def _before(keys: list[str]):
     return W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
 
 
+def _beside(rows: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
+    """`rows` with the other columns of `table`, which has one row for each value of `on`; NULLs match."""
+    other = table.select(*[F.col(c).alias(f"_on_{c}") for c in on], *[c for c in table.columns if c not in on])
+    same = functools.reduce(operator.and_, [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on])
+    return rows.join(other, same).drop(*[f"_on_{c}" for c in on])
+
+
 def positions(
     df: DataFrame, keys: list[str], order: list, block: Column, pos: str = "pos", total: str | None = None
 ) -> DataFrame:
@@ -37,7 +47,7 @@ def positions(
         F.sum("_n").over(W.partitionBy(*keys)).alias("_total"),
     )
     local = cut.withColumn("_rn", F.row_number().over(W.partitionBy(*keys, "_b").orderBy(*order)))
-    out = local.join(offsets, [*keys, "_b"]).withColumn(pos, (F.col("_off") + F.col("_rn")).cast("bigint"))
+    out = _beside(local, offsets, [*keys, "_b"]).withColumn(pos, (F.col("_off") + F.col("_rn")).cast("bigint"))
     if total:
         out = out.withColumn(total, F.col("_total").cast("bigint"))
     return out.drop("_b", "_rn", "_off", "_total")
@@ -87,7 +97,7 @@ def running(
     for name, (kind, _) in columns.items():
         frame = here.rowsBetween(W.unboundedPreceding, last[name])
         cut = cut.withColumn("_l_" + name, fold[kind]("_v_" + name).over(frame))
-    out = cut.join(carry, [*keys, "_b"])
+    out = _beside(cut, carry, [*keys, "_b"])
     for name, (kind, _) in columns.items():
         local, carried = F.col("_l_" + name), F.col("_c_" + name)
         if kind == "sum":
@@ -126,21 +136,34 @@ def trailing(
     return cut.filter(F.col("_b") == F.col("_home")).drop("_b", "_home")
 
 
+def _nth_by_number(df: DataFrame, key: str, ranks: Callable[[int], list[int]] | list[int]) -> Cuts:
+    known = df.select(key).filter(F.col(key).isNotNull())
+    n = known.count()
+    wanted = [r for r in (ranks(n) if callable(ranks) else ranks) if 1 <= r <= n]
+    at = sorted({r + i for r in wanted for i in (0, 1)})
+    rows = number_in_order(known, [key], "_rank").filter((F.col("_rank") + 1).isin(at)).collect() if at else []
+    found = {r["_rank"] + 1: r[key] for r in rows}
+    return Cuts(n, {r: found[r] for r in wanted}, {r for r in wanted if r + 1 in found and found[r + 1] == found[r]})
+
+
 @dataclass
 class Cuts:
     """Row count, the key at each rank, and the ranks that fall inside a run of equal keys."""
 
     rows: int
-    keys: dict[int, int]
+    keys: dict
     inside_ties: set[int]
 
 
 def nth_keys(df: DataFrame, key: str, ranks: Callable[[int], list[int]] | list[int]) -> Cuts:
-    """The value of the BIGINT `key` at each rank (1-based); ranks may depend on the row count.
+    """The value of `key` at each rank (1-based); ranks may depend on the row count; NULL keys have no rank.
 
-    Radix selection: a histogram of at most 65 536 equal-width cells narrows the range
-    until the cell holding a rank is small; only then are its keys sorted.
+    Whole numbers go through radix selection: a histogram of at most 65 536 equal-width cells
+    narrows the range until the cell holding a rank is small; only then are its keys sorted.
+    Keys of any other orderable type are range-sorted alone and numbered.
     """
+    if not isinstance(df.schema[key].dataType, T.IntegralType):
+        return _nth_by_number(df, key, ranks)
     cells, small = 65_536, 100_000
     lo, hi, n = df.agg(F.min(key), F.max(key), F.count(key)).first()
     wanted = ranks(n) if callable(ranks) else ranks
@@ -157,7 +180,8 @@ def nth_keys(df: DataFrame, key: str, ranks: Callable[[int], list[int]] | list[i
                 del todo[r]
                 continue
             width = (b - a) // cells + 1
-            cell = F.expr(f"(`{key}` - {a}L) div {width}L")
+            exact = "decimal(21, 0)"  # a range of 64-bit keys exceeds BIGINT
+            cell = F.expr(f"(CAST(`{key}` AS {exact}) - CAST('{a}' AS {exact})) div CAST('{width}' AS {exact})")
             counts = sorted(map(tuple, inside.groupBy(cell.alias("c")).count().collect()))
             for c, m in counts:
                 if k <= m:

@@ -9,10 +9,8 @@ from pyspark.sql import types as T
 from gristmill.functions.text import is_nonblank
 from gristmill.operators.blocks import nth_keys
 
-# Text columns in order of preference, default row cap, vocabulary sample size.
+# Text columns in order of preference.
 TEXT_COLUMNS = ["text", "content", "story", "sentence"]
-DEFAULT_CAP = 500_000
-VOCABULARY_SAMPLE = 100_000
 
 
 class EmptyCorpus(ValueError):
@@ -47,18 +45,19 @@ def require_rows(df: DataFrame) -> DataFrame:
 
 
 def cap_rows(df: DataFrame, key: str, cap: int | None = None) -> DataFrame:
-    """First `cap` rows by the unique BIGINT `key`; 0 and None mean the default cap.
+    """First `cap` rows by the unique `key`, of any orderable type; 0 and None mean all rows.
 
-    The key at the cap's rank is found by radix selection, so the cap is a plain filter
-    and no task ever sorts `cap` rows.
+    The key at the cap's rank is looked up, so the cap is a plain filter and no task ever
+    sorts `cap` rows. A row whose key is NULL has no place in the order and is left out by a cap.
     """
-    cap = cap or DEFAULT_CAP
+    if not cap:
+        return df
     cuts = nth_keys(df, key, [cap])
     if cuts.inside_ties:
         raise ValueError(f"the key {key} is not unique, so the first {cap} rows are not defined")
     return df.filter(F.col(key) <= F.lit(cuts.keys[cap])) if cuts.keys else df
 
 
-def vocabulary_sample(texts: DataFrame, key: str = "doc_id", size: int = VOCABULARY_SAMPLE) -> DataFrame:
-    """The first texts by key that the vocabulary is learnt from (not a random sample)."""
+def vocabulary_sample(texts: DataFrame, key: str = "doc_id", size: int | None = None) -> DataFrame:
+    """The first `size` texts by key (not a random sample) to learn a vocabulary from; all of them by default."""
     return cap_rows(texts, key, size)

@@ -98,9 +98,14 @@ def text_encoder(spark: SparkSession, rules: Rules):
     return encode
 
 
-def encode_texts(docs: DataFrame, rules: Rules, text: str = "text", out: str = "ids") -> DataFrame:
-    """Add the content ids of each text; one narrow pass, no shuffle."""
-    return docs.withColumn(out, text_encoder(docs.sparkSession, rules)(pretokens(F.col(text))))
+def encode_texts(docs: DataFrame, rules: Rules, text: str = "text", out: str = "ids", most: int | None = None) -> DataFrame:
+    """Add the content ids of each text; one narrow pass, no shuffle.
+
+    With `most`, at least the first `most` ids are right: every pre-token gives one or more, so the
+    pre-tokens after as many need no encoding when a record of that length is cut afterwards.
+    """
+    words = pretokens(F.col(text))
+    return docs.withColumn(out, text_encoder(docs.sparkSession, rules)(words if most is None else F.slice(words, 1, most)))
 
 
 def encode_whole_texts(docs: DataFrame, rules: Rules, text: str = "text", out: str = "ids") -> DataFrame:

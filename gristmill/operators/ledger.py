@@ -7,7 +7,6 @@ Points in time are parameters (`as_of`), never the clock.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -234,39 +233,22 @@ def run_outcome(events: DataFrame) -> DataFrame:
     )
 
 
-def affordable(due: DataFrame, budgets: DataFrame, fold_rows: int = 50_000) -> DataFrame:
+def affordable(due: DataFrame, budgets: DataFrame) -> DataFrame:
     """Add `accepted`: each due run, in ledger order, starts if its cost fits what is left.
 
     `due` is `(ledger, pos, cost)` and `budgets` `(ledger, remaining)`, costs being whole
     units (such as cents) and not negative. A skipped run uses nothing up, so a running sum
-    is not enough. Ledgers of up to `fold_rows` runs are folded; larger ones go through
-    rounds in which every ledger's remaining budget at least halves.
+    is not enough: ledgers of any size go through rounds in which every ledger's remaining
+    budget at least halves. A ledger without a budget, and a run without a cost, accept nothing.
     """
-    sizes = due.groupBy("ledger").agg(F.count(F.lit(1)).alias("_n")).join(budgets, "ledger")
-    sizes = cut_lineage(sizes)
-    small = due.join(broadcast_if_small(sizes.filter(F.col("_n") <= fold_rows)), "ledger")
-    out = _folded_gate(small)
-    if not sizes.filter(F.col("_n") > fold_rows).isEmpty():
-        large = due.join(broadcast_if_small(sizes.filter(F.col("_n") > fold_rows)), "ledger")
-        out = out.unionByName(_halving_gate(large.select("ledger", "pos", "cost", "remaining")))
-    return due.join(out, ["ledger", "pos"])
-
-
-def _fold_ledger(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("pos")
-    left, accepted = int(rows["remaining"].iloc[0]), []
-    for cost in rows["cost"].tolist():
-        fits = cost <= left
-        accepted.append(fits)
-        left -= cost if fits else 0
-    return pd.DataFrame({"ledger": rows["ledger"], "pos": rows["pos"], "accepted": accepted})
-
-
-def _folded_gate(rows: DataFrame) -> DataFrame:
-    """Ledgers of bounded size, one group each."""
-    kind = rows.schema["ledger"].dataType.simpleString()
-    picked = rows.select("ledger", F.col("pos").cast("bigint").alias("pos"), F.col("cost").cast("bigint").alias("cost"), "remaining")
-    return picked.groupBy("ledger").applyInPandas(_fold_ledger, f"ledger {kind}, pos bigint, accepted boolean")
+    known = budgets.filter(F.col("ledger").isNotNull() & F.col("remaining").isNotNull()).select(F.col("ledger").alias("_of"), "remaining")
+    rows = due.join(known, F.col("ledger") == F.col("_of"), "left").drop("_of")
+    able = F.col("remaining").isNotNull() & F.col("cost").isNotNull() & F.col("pos").isNotNull()
+    gated = _halving_gate(rows.filter(able).select("ledger", "pos", "cost", "remaining")).select(
+        F.col("ledger").alias("_of"), F.col("pos").alias("_at"), "accepted"
+    )
+    found = due.join(gated, (F.col("ledger") == F.col("_of")) & (F.col("pos") == F.col("_at")), "left").drop("_of", "_at")
+    return found.withColumn("accepted", F.coalesce("accepted", F.lit(False)))
 
 
 def _halving_gate(rows: DataFrame, block: int = 50_000) -> DataFrame:
@@ -297,6 +279,8 @@ def _halving_gate(rows: DataFrame, block: int = 50_000) -> DataFrame:
         state = done.filter(F.col("end").isNotNull()).select(
             "ledger", (F.col("left") - F.col("used")).alias("left"), F.col("end").alias("start")
         )
+    if not stretches:
+        return base.select("ledger", F.col("pos").cast("bigint").alias("pos"), F.lit(True).alias("accepted"))
     every = stretches[0]
     for part in stretches[1:]:
         every = every.unionByName(part)
@@ -409,12 +393,16 @@ def snapshot_diff(current: DataFrame, stored: DataFrame, key: str, value: str) -
 
 
 def diff_report(diff: DataFrame, key: str, samples: int = 3) -> DataFrame:
-    """One row: counts per kind, the smallest sample keys, and the verdict."""
+    """One row: counts per kind, the smallest sample keys, and the verdict.
+
+    The differences are computed once; ranking keeps `samples` rows per task and kind.
+    """
+    diff = cut_lineage(diff)
     kinds = ("missing", "unexpected", "mismatch")
     parts = diff.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).withColumn("_key", F.lit(None).cast(diff.schema[key].dataType))
-    for k in kinds:
-        first = diff.filter(F.col("kind") == k).orderBy(key).limit(samples)
-        parts = parts.unionByName(first.select("kind", F.lit(0).cast("bigint").alias("n"), F.col(key).alias("_key")))
+    rank = F.row_number().over(W.partitionBy("kind").orderBy(key))
+    first = diff.withColumn("_rank", rank).filter(F.col("_rank") <= samples)
+    parts = parts.unionByName(first.select("kind", F.lit(0).cast("bigint").alias("n"), F.col(key).alias("_key")))
 
     def of(k: str, value):
         return F.when(F.col("kind") == k, value)

@@ -118,16 +118,20 @@ def o02(spark, d):
     return L.recent_history(schedule(spark, d)).select("run_id", "status")
 
 
-def run_events(spark, d) -> DataFrame:
-    """Start and end events per customer, numbered in time order."""
+def timed_events(spark, d) -> DataFrame:
+    """Start and end events per customer."""
     kind = F.when(F.col("l_linestatus") == "O", "start").when(F.col("l_returnflag") == "R", "fail").otherwise("complete")
     owner = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("dataset"))
-    rows = table(spark, d, "lineitem").join(owner, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return table(spark, d, "lineitem").join(owner, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "dataset", F.col("l_shipdate").cast("timestamp_ntz").alias("ts"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         "l_extendedprice", kind.alias("kind"),
     )
+
+
+def run_events(spark, d) -> DataFrame:
+    """The events, numbered in time order."""
     order = ["ts", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    return number_in_order(rows, order, "event_no").select("dataset", "event_no", "kind", "ts", "l_orderkey")
+    return number_in_order(timed_events(spark, d), order, "event_no").select("dataset", "event_no", "kind", "ts", "l_orderkey")
 
 
 EVENTS_SQL = """events_of AS (SELECT o_custkey AS dataset, l_orderkey, l_shipdate AS ts,
@@ -161,7 +165,7 @@ def l01(spark, d):
     SELECT run_id, strftime(s, '%Y-%m-%d') AS started_at, strftime(e.t, '%Y-%m-%d') AS completed_at,
     coalesce(CASE e.k WHEN 'complete' THEN 'completed' WHEN 'fail' THEN 'failed' END, CASE WHEN s IS NOT NULL THEN 'running' ELSE 'pending' END) AS status, round(datediff('hour', s, e.t)::DOUBLE, 6) AS hours FROM o""")
 def l02(spark, d):
-    out = L.run_outcome(run_events(spark, d).withColumnRenamed("l_orderkey", "run_id"))
+    out = L.run_outcome(timed_events(spark, d).withColumnRenamed("l_orderkey", "run_id"))
     return rounded(out, "hours").withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in ("started_at", "completed_at")})
 
 
@@ -194,7 +198,7 @@ def w15(spark, d):
 
 @query("W15_affordability_rounds", f"WITH RECURSIVE {GATE_SQL} SELECT ledger, pos, accepted FROM f WHERE i > 0")
 def w15_rounds(spark, d):
-    return L.affordable(*due_costs(spark, d), fold_rows=15).select("ledger", "pos", "accepted")
+    return L.affordable(*due_costs(spark, d)).select("ledger", "pos", "accepted")
 
 
 # ---------------------------------------------------------------- costs

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions.arrays import BYTES_FIRST, Layout, pad_to
 from gristmill.operators.bpe import Rules, train_bpe
-from gristmill.operators.corpus import VOCABULARY_SAMPLE, as_corpus, cap_rows, nonblank, require_rows, vocabulary_sample
+from gristmill.operators.corpus import as_corpus, cap_rows, nonblank, require_rows, vocabulary_sample
 from gristmill.operators.encode import encode_texts
 from gristmill.operators.split import ratio_split
 from gristmill.operators.words import word_table
@@ -19,14 +19,15 @@ def usable_texts(source: DataFrame, key: str, text: str | None = None, cap: int
     return require_rows(nonblank(as_corpus(cap_rows(source, key, cap), key, text)))
 
 
-def learn_vocabulary(texts: DataFrame, vocab_size: int, layout: Layout = BYTES_FIRST, sample: int = VOCABULARY_SAMPLE) -> Rules:
+def learn_vocabulary(texts: DataFrame, vocab_size: int, layout: Layout = BYTES_FIRST, sample: int | None = None) -> Rules:
+    """Merge rules from the words of all texts, or of the first `sample` by key."""
     return train_bpe(word_table(vocabulary_sample(texts, size=sample)), vocab_size, layout)
 
 
 def model_records(texts: DataFrame, rules: Rules, length: int, train: float = 0.9, validation: float = 0.05) -> DataFrame:
     """`(doc_id, split, input_ids)`: encoding and splitting are both narrow projections."""
     split = ratio_split(texts, "doc_id", train, validation)
-    encoded = encode_texts(split, rules)
+    encoded = encode_texts(split, rules, most=length)
     return encoded.select("doc_id", "split", pad_to(F.col("ids"), length, rules.layout).alias("input_ids"))
 
 

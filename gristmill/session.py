@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -14,11 +15,14 @@ BROADCAST_ROWS = 500_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a local one only where none is configured."""
+    """The cluster's shared checkpoint folder; a local one only where none is configured and all work is local."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         configured = tempfile.mkdtemp(prefix="gristmill-")
         spark.sparkContext.setCheckpointDir(configured)
     elif spark.sparkContext.getCheckpointDir() is None:
@@ -58,3 +62,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
 def joinable(derived: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """A derived table (one row per key of something larger), computed once, then size-checked."""
     return broadcast_if_small(cut_lineage(derived), max_rows)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """`path` as Spark resolves it: on the default file system if it names none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()

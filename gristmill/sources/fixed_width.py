@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import posixpath
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,9 +31,10 @@ LISTING = "_files.json"
 
 
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    if "://" in path or path.startswith("file:"):
-        return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), path
+    if not re.match(r"[A-Za-z][A-Za-z0-9+.-]*:/", path):
+        raise ValueError(f"{path} names no file system; executors can't know which one is meant")
+    scheme, rest = path.split(":", 1)
+    return pafs.FileSystem.from_uri(path if rest.startswith("//") else f"{scheme}://{rest}")
 
 
 def _data_files(path: str) -> list[tuple[str, int]]:

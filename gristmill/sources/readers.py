@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gristmill.session import spread
+from gristmill.session import qualified, spread
 from gristmill.sources.fixed_width import TokenRecords
 
 
@@ -25,7 +25,7 @@ def read_corpus(
 def read_token_records(spark: SparkSession, path: str, length: int) -> DataFrame:
     """`(record_no, input_ids)` of fixed-width int32 files; a partial last record is an error."""
     spark.dataSource.register(TokenRecords)
-    return spark.read.format("token_records").option("length", length).load(path)
+    return spark.read.format("token_records").option("length", length).load(qualified(spark, path))
 
 
 def synthetic_records(spark: SparkSession, records: int, length: int, vocab_size: int, seed: int = 42) -> DataFrame:
@@ -74,16 +74,16 @@ MERGE_LINE = r"^\s*([+-]?\d+)\s+([+-]?\d+)\s+([+-]?\d+)"
 
 
 def parse_merge_lines(lines: DataFrame, block: Column | None = None) -> DataFrame:
-    """`(left_id, right_id, id, priority)`; priority counts only lines that parse.
+    """`(left_id, right_id, id, priority)`; priority counts only lines that parse, so none with a number beyond INT.
 
     A later rule for the same pair replaces the earlier one.
     """
     from gristmill.operators.blocks import positions
 
     good = lines.filter(F.col("value").rlike(MERGE_LINE)).select(
-        *[F.regexp_extract("value", MERGE_LINE, i).cast("int").alias(n) for i, n in ((1, "left_id"), (2, "right_id"), (3, "id"))],
+        *[F.regexp_extract("value", MERGE_LINE, i).try_cast("int").alias(n) for i, n in ((1, "left_id"), (2, "right_id"), (3, "id"))],
         "line_no",
-    )
+    ).dropna(subset=["left_id", "right_id", "id"])
     block = F.shiftrightunsigned("line_no", 16) if block is None else block
     placed = positions(good, [], ["line_no"], block, "_p").withColumn("priority", F.col("_p") - 1)
     last = F.max(F.struct("priority", "id"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions.arrays import Layout
 from gristmill.operators.bpe import Rules
+from gristmill.session import cut_lineage, qualified
 from gristmill.sources.fixed_width import TokenRecords
 
 SPLITS = ("train", "val", "test")
@@ -22,13 +23,14 @@ def write_token_records(df: DataFrame, path: str, length: int, order: str | None
     df.sparkSession.dataSource.register(TokenRecords)
     rows = df if order is None else df.repartitionByRange(order).sortWithinPartitions(order)
     out = rows.select(F.lit(0).cast("bigint").alias("record_no"), F.col("input_ids").cast("array<int>"))
-    out.write.format("token_records").option("length", length).mode("overwrite").save(path)
+    out.write.format("token_records").option("length", length).mode("overwrite").save(qualified(df.sparkSession, path))
 
 
 def write_split_files(df: DataFrame, path: str, length: int, order: str | None = None) -> None:
     """One fixed-width folder per split, below `path`."""
+    rows = cut_lineage(df)  # encoded once, not once a split
     for split in SPLITS:
-        write_token_records(df.filter(F.col("split") == split), f"{path}/{split}", length, order)
+        write_token_records(rows.filter(F.col("split") == split), f"{path}/{split}", length, order)
 
 
 def dataset_meta(records: DataFrame, vocab_size: int, length: int, layout: Layout) -> DataFrame:

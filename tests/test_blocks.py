@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from gristmill.operators import ledger, metrics
+from gristmill.operators import corpus, ledger, metrics
 from gristmill.operators.blocks import nth_keys, number_in_order, positions, running, trailing
 
 
@@ -125,9 +125,8 @@ def simulate_gate(items, left):
     return out
 
 
-@pytest.mark.parametrize("fold_rows", [0, 10_000])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_affordable(spark, fold_rows, seed):
+def test_affordable(spark, seed):
     rng = random.Random(seed)
     due, left, want = [], [], {}
     for k in range(12):
@@ -138,10 +137,38 @@ def test_affordable(spark, fold_rows, seed):
         want.update({(k, p): ok for p, ok in simulate_gate(items, money).items()})
     d = spark.createDataFrame(due, "ledger int, pos bigint, cost bigint")
     b = spark.createDataFrame(left, "ledger int, remaining bigint")
-    got = ledger.affordable(d, b, fold_rows=fold_rows).collect()
+    got = ledger.affordable(d, b).collect()
     assert {(r.ledger, r.pos): r.accepted for r in got} == want
 
 
+def test_runs_without_a_budget_stay(spark):
+    due = spark.createDataFrame([(1, 1, 5), (2, 1, 5), (None, 1, 5), (1, 2, None)], "ledger int, pos bigint, cost bigint")
+    budgets = spark.createDataFrame([(1, 10), (3, 10), (None, 10)], "ledger int, remaining bigint")
+    got = {(r.ledger, r.pos): r.accepted for r in ledger.affordable(due, budgets).collect()}
+    assert got == {(1, 1): True, (1, 2): False, (2, 1): False, (None, 1): False}
+    assert [r.accepted for r in ledger.affordable(due, budgets.limit(0)).collect()] == [False] * 4
+
+
+def test_null_keys_and_orders_stay(spark):
+    df = spark.createDataFrame([(None, 1), ("a", None), ("a", 1), ("a", 2)], "k string, v int")
+    got = positions(df, ["k"], ["v"], F.floor(F.col("v") / 2)).collect()
+    assert sorted(((r.k or "", r.v or 0, r.pos) for r in got)) == [("", 1, 1), ("a", 0, 1), ("a", 1, 2), ("a", 2, 3)]
+    total = running(df, ["k"], ["v"], F.floor(F.col("v") / 2), {"n": ("sum", F.lit(1))}).collect()
+    assert sorted((r.k or "", r.n) for r in total) == [("", 1), ("a", 1), ("a", 2), ("a", 3)]
+
+
+def test_nth_keys_of_any_key(spark):
+    n = 300_000
+    hashes = spark.range(n).select(F.xxhash64("id").alias("k"))
+    want = sorted(r.k for r in hashes.collect())
+    assert nth_keys(hashes, "k", [1, 777, n]).keys == {1: want[0], 777: want[776], n: want[-1]}
+    names = spark.createDataFrame([("b",), ("a",), ("c",), ("b",), (None,)], "k string")
+    cuts = nth_keys(names, "k", lambda rows: [1, 2, rows])
+    assert cuts.rows == 4 and cuts.keys == {1: "a", 2: "b", 4: "c"} and cuts.inside_ties == {2}
+    docs = spark.createDataFrame([(k, k) for k in "dbac"], "doc_id string, text string")
+    assert sorted(r.doc_id for r in corpus.cap_rows(docs, "doc_id", 2).collect()) == ["a", "b"]
+
+
 def test_apply_events(spark):
     rng = random.Random(9)
     runs, events, want = [], [], {}
