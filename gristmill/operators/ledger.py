@@ -7,6 +7,9 @@ Points in time are parameters (`as_of`), never the clock.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -445,15 +448,19 @@ def config_mismatches(checkpoints: DataFrame, configs: DataFrame, key: str = "ru
 def rule_checks(configs: DataFrame) -> DataFrame:
     """`(run_id, check_name, passed, level)`: one row per rule and run configuration."""
     heads, kv, d = F.col("num_heads"), F.col("kv_heads"), F.col("d_model")
-    dropout = F.col("dropout")
+    within = lambda c: (F.col(c) >= 0.0) & (F.col(c) <= 1.0)
+    keys = [F.col(c).isNotNull() for c in ("vocab_size", "d_model", "num_heads", "num_layers")]
     rules = {
         "sections": (F.col("has_model") & F.col("has_training") & F.col("has_hardware"), "CRITICAL"),
+        "model_keys": (functools.reduce(operator.and_, keys), "CRITICAL"),
         "architecture": (F.col("architecture").isin("base", "enhanced", "professional"), "ERROR"),
         "head_dimensions": (F.try_mod(d, heads) == 0, "ERROR"),
         "feed_forward": (F.col("d_ff") >= d, "ERROR"),
         "kv_groups": (~F.col("grouped_query") | (F.try_mod(heads, kv) == 0), "ERROR"),
         "kv_heads": (~F.col("grouped_query") | (kv <= heads), "ERROR"),
-        "dropout": ((dropout >= 0.0) & (dropout <= 1.0), "WARNING"),
+        "dropout": (within("dropout"), "WARNING"),
+        "attention_dropout": (within("attention_dropout"), "WARNING"),
+        "residual_dropout": (within("residual_dropout"), "WARNING"),
     }
     rows = F.array(*[
         F.struct(

@@ -47,6 +47,11 @@ def pair_table(words: DataFrame) -> DataFrame:
     )
 
 
+def vocabulary_size(vocab: DataFrame, id_col: str = "id") -> DataFrame:
+    """One row: the size by the largest id and by the number of ids; they differ where ids are missing. None gives 0."""
+    return vocab.agg(F.coalesce(F.max(id_col) + 1, F.lit(0)).alias("by_id"), F.count_distinct(id_col).alias("by_count"))
+
+
 def top_pairs(pairs: DataFrame, n: int, ties: str = "first") -> DataFrame:
     """The `n` most frequent pairs; ties by first occurrence, or by symbol order."""
     return pairs.orderBy(F.desc("freq"), ties).limit(n)

@@ -128,6 +128,29 @@ def s08(spark, d):
     return readers.parse_vocab_lines(lines).select("token", F.col("id").cast("bigint").alias("id"))
 
 
+@query("S08_tokenizer_file", """SELECT p_partkey AS id, p_name AS token, 'merge' AS kind FROM part WHERE p_size <= 25
+    UNION ALL SELECT p_partkey, p_name || '|' || p_type, 'rule' FROM part WHERE p_size > 25
+    UNION ALL SELECT min(p_partkey), p_brand, 'special' FROM part GROUP BY p_brand""")
+def s08_file(spark, d):
+    out, part = scratch(spark, "s08"), table(spark, d, "part")
+    one = lambda c: F.encode(c, "UTF-8")
+    number = F.col("p_partkey").cast("int").alias("id")
+    writers.write_tokenizer_json(
+        part.filter("p_size <= 25").select(number, one("p_name").alias("token")),
+        part.filter("p_size > 25").dropDuplicates(["p_partkey"]).select(one(F.concat_ws("/", "p_partkey", "p_name")).alias("left"), one("p_type").alias("right"), number),
+        part.groupBy(F.col("p_brand").alias("token")).agg(F.min("p_partkey").cast("int").alias("id")), out,
+    )
+    read = readers.read_tokenizer_json(spark, out)
+    text = lambda c: F.decode(c, "UTF-8")
+    rules = F.concat_ws("|", F.substring_index(text("left"), "/", -1), text("right"))
+    return (
+        read["vocab"].select("id", text("token").alias("token"), F.lit("merge").alias("kind"))
+        .unionByName(read["merges"].select("id", rules.alias("token"), F.lit("rule").alias("kind")))
+        .unionByName(read["special_tokens"].select("id", "token", F.lit("special").alias("kind")))
+        .withColumn("id", F.col("id").cast("bigint"))
+    )
+
+
 @query("S09_merges_tsv", """WITH good AS (SELECT o_custkey AS left_id, year(o_orderdate) AS right_id, o_orderkey AS id,
     row_number() OVER (ORDER BY o_orderkey) - 1 AS priority FROM orders WHERE o_orderpriority <> '5-LOW')
     SELECT left_id, right_id, arg_max(id, priority) AS id, max(priority) AS priority FROM good GROUP BY left_id, right_id""")
@@ -295,7 +318,7 @@ def a03(spark, d):
 
 @query("A18_vocabulary_size", r"SELECT max(p_partkey) + 1 AS by_id, count(DISTINCT p_partkey) AS by_count FROM part")
 def a18(spark, d):
-    return table(spark, d, "part").agg((F.max("p_partkey") + 1).alias("by_id"), F.countDistinct("p_partkey").alias("by_count"))
+    return words.vocabulary_size(table(spark, d, "part"), "p_partkey")
 
 
 # One recursion step holds all words with their symbols, the round's best pair applied.

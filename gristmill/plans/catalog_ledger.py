@@ -6,8 +6,12 @@ checkpoints and phase results, `part` for run configurations.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gristmill.functions import scalars as S
 from gristmill.functions import text as X
@@ -538,13 +542,15 @@ def run_configs(spark, d) -> DataFrame:
         F.col("p_partkey").alias("run_id"), (F.col("p_type") != "PROMO").alias("has_model"), F.lit(True).alias("has_training"), F.lit(True).alias("has_hardware"),
         F.when(F.col("p_brand") == "Brand#5", "custom").otherwise("base").alias("architecture"), F.lit(384).alias("d_model"), size.alias("num_heads"),
         (size % 7).alias("kv_heads"), (size * 32).alias("d_ff"), (size > 25).alias("grouped_query"), (F.col("p_retailprice") / 1000 - 0.5).alias("dropout"),
+        (F.col("p_retailprice") / 2000).alias("attention_dropout"), (F.lit(1.5) - F.col("p_retailprice") / 1000).alias("residual_dropout"),
+        F.when(size % 5 > 0, size * 100).alias("vocab_size"), F.when(F.col("p_brand") != "Brand#2", 6).alias("num_layers"),
     )
 
 
-CHECKS_SQL = """c AS (SELECT p_partkey AS run_id, p_size AS h, p_size % 7 AS kv, p_size * 32 AS f, p_size > 25 AS g, p_retailprice / 1000 - 0.5::DOUBLE AS dr, p_type, p_brand FROM part),
-    checks AS (SELECT run_id, unnest(['sections', 'architecture', 'head_dimensions', 'feed_forward', 'kv_groups', 'kv_heads', 'dropout']) AS check_name,
-        unnest([p_type <> 'PROMO', p_brand <> 'Brand#5', 384 % h = 0, f >= 384, NOT g OR (kv > 0 AND h % nullif(kv, 0) = 0), NOT g OR kv <= h, dr >= 0 AND dr <= 1]) AS ok,
-        unnest(['CRITICAL', 'ERROR', 'ERROR', 'ERROR', 'ERROR', 'ERROR', 'WARNING']) AS bad FROM c),
+CHECKS_SQL = """c AS (SELECT p_partkey AS run_id, p_size AS h, p_size % 7 AS kv, p_size * 32 AS f, p_size > 25 AS g, p_retailprice / 1000 - 0.5::DOUBLE AS dr, p_retailprice / 2000 AS ad, 1.5::DOUBLE - p_retailprice / 1000 AS rd, p_type, p_brand FROM part),
+    checks AS (SELECT run_id, unnest(['sections', 'model_keys', 'architecture', 'head_dimensions', 'feed_forward', 'kv_groups', 'kv_heads', 'dropout', 'attention_dropout', 'residual_dropout']) AS check_name,
+        unnest([p_type <> 'PROMO', h % 5 > 0 AND p_brand <> 'Brand#2', p_brand <> 'Brand#5', 384 % h = 0, f >= 384, NOT g OR (kv > 0 AND h % nullif(kv, 0) = 0), NOT g OR kv <= h, dr >= 0 AND dr <= 1, ad >= 0 AND ad <= 1, rd >= 0 AND rd <= 1]) AS ok,
+        unnest(['CRITICAL', 'CRITICAL', 'ERROR', 'ERROR', 'ERROR', 'ERROR', 'ERROR', 'WARNING', 'WARNING', 'WARNING']) AS bad FROM c),
     rows_of AS (SELECT run_id, check_name, coalesce(ok, false) AS passed, CASE WHEN coalesce(ok, false) THEN 'INFO' ELSE bad END AS level FROM checks)"""
 
 
@@ -608,6 +614,46 @@ def s10(spark, d):
     return records.groupBy("tenant").agg(F.count(F.lit(1)).alias("records"), F.round(F.sum("cost_usd"), 2).alias("cost_usd"))
 
 
+# A run of each order: every field of the record is set from its columns, written as JSON and read back.
+RUN_SQL = """SELECT 'run_' || o_orderkey AS run_id, o_orderpriority AS phase, CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'P' THEN 'pending' ELSE 'running' END AS status,
+    o_custkey AS vocab_size, round(o_totalprice / 100, 6) AS final_loss, 2 * o_custkey AS steps_completed, round(o_totalprice, 6) AS actual_cost, 0.5::DOUBLE AS utilization,
+    o_orderpriority || ',' || o_orderstatus AS tags, 16 + 15 + 23 + 6 + 6 AS fields_set FROM orders"""
+
+
+def run_record(field, i: int):
+    """A value of the field's type that follows from the order."""
+    kind = field.dataType.simpleString()
+    if kind == "string":
+        return F.concat(F.lit(f"{field.name}_"), F.col("o_orderkey").cast("string"))
+    if kind == "boolean":
+        return F.col("o_orderkey") % 2 == 0
+    if kind == "array<double>":
+        return F.array(F.lit(1.0), F.col("o_totalprice"))
+    if kind == "array<string>":
+        return F.array("o_orderpriority", "o_orderstatus")
+    return (F.col("o_custkey") * i).cast(kind) if kind == "bigint" else F.lit(0.5)
+
+
+@query("S10_run_record", RUN_SQL)
+def s10_runs(spark, d):
+    schema, rows, out = T.StructType.fromDDL(readers.RUN), orders(spark, d), scratch(spark, "s10-runs")
+    status = F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "P", "pending").otherwise("running")
+    own = {
+        "run_id": F.concat(F.lit("run_"), F.col("o_orderkey").cast("string")), "phase": F.col("o_orderpriority"), "status": status,
+        "final_loss": F.col("o_totalprice") / 100, "vocab_size": F.col("o_custkey").cast("bigint"), "steps_completed": F.col("o_custkey") * 2, "actual_cost": F.col("o_totalprice"),
+    }
+    value = lambda f: own.get(f.name, run_record(f, 3)).alias(f.name)
+    fields = [F.struct(*map(value, f.dataType)).alias(f.name) if isinstance(f.dataType, T.StructType) else value(f) for f in schema]
+    rows.select(*fields).write.json(out)
+    back = readers.read_ledger(spark, out, "run_result", multiline=False)
+    leaves = [f"{f.name}.{g.name}" if g else f.name for f in schema for g in (f.dataType if isinstance(f.dataType, T.StructType) else [None])]
+    given = functools.reduce(operator.add, [F.col(c).isNotNull().cast("int") for c in leaves])
+    return back.select(
+        "run_id", "phase", "status", "config.vocab_size", F.round("metrics.final_loss", 6).alias("final_loss"), "metrics.steps_completed",
+        F.round("cost.actual_cost", 6).alias("actual_cost"), F.col("resources.gpu_utilization_pct").alias("utilization"), F.array_join("tags", ",").alias("tags"), given.alias("fields_set"),
+    )
+
+
 @query("S11_ledger_sink", "SELECT o_orderpriority AS phase, count(*) AS records, round(sum(o_totalprice), 2) AS cost FROM orders GROUP BY 1")
 def s11(spark, d):
     out = scratch(spark, "s11")

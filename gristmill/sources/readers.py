@@ -101,7 +101,28 @@ def read_merges_json(spark: SparkSession, path: str) -> DataFrame:
     return one.select(F.unbase64(F.get(parts, F.lit(0))).alias("left"), F.unbase64(F.get(parts, F.lit(1))).alias("right"), "id")
 
 
-# Record schemas of the ledgers, one JSON document per run, tenant or corpus.
+# The saved tokenizer is one JSON object; bytes are base64, a merge's key is `left|right`. Fixed values.
+TOKENIZER_FILE = "vocab_size int, vocab map<string,string>, merges map<string,int>, special_tokens map<string,int>"
+
+
+def read_tokenizer_json(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The tables of a saved tokenizer: vocab `(id, token)`, merges `(left, right, id)`, special_tokens `(token, id)`.
+
+    The file is bounded by its vocabulary; a field that is absent gives no rows.
+    """
+    text = spark.read.text(path, wholetext=True)
+    one = text.select(F.from_json("value", TOKENIZER_FILE).alias("_t")).select("_t.*")
+    vocab = one.select(F.explode("vocab").alias("id", "b64"))
+    merges = one.select(F.explode("merges").alias("k", "id"))
+    side = lambda i: F.unbase64(F.get(F.split("k", r"\|"), F.lit(i)))
+    return {
+        "vocab": vocab.select(F.col("id").try_cast("int").alias("id"), F.unbase64("b64").alias("token")),
+        "merges": merges.select(side(0).alias("left"), side(1).alias("right"), "id"),
+        "special_tokens": one.select(F.explode("special_tokens").alias("token", "id")),
+    }
+
+
+# Record schemas of the ledgers, one JSON document per run, tenant or corpus.
 SPEND = "timestamp string, dataset string, gpu_type string, duration_hours double, cost_usd double, steps_trained bigint, phase string"
 SCHEDULE = (
     "dataset string, config_path string, max_steps bigint, scheduled_date string, status string, started_at string, "
@@ -111,10 +132,27 @@ LINEAGE = (
     "dataset_name string, dataset_hash string, start_timestamp string, end_timestamp string, initial_val_loss double, "
     "final_val_loss double, best_val_loss double, total_steps bigint, model_path string"
 )
+RUN_CONFIG = (
+    "model_architecture:string,model_params_millions:double,vocab_size:bigint,d_model:bigint,n_layers:bigint,n_heads:bigint,"
+    "max_seq_len:bigint,batch_size:bigint,gradient_accumulation:bigint,learning_rate:double,weight_decay:double,"
+    "warmup_steps:bigint,max_steps:bigint,dataset:string,mixed_precision:boolean"
+)
+RUN_METRICS = (
+    "final_loss:double,best_loss:double,initial_loss:double,loss_improvement:double,final_perplexity:double,best_perplexity:double,"
+    "final_lr:double,peak_lr:double,avg_grad_norm:double,max_grad_norm:double,gradient_overflow_count:bigint,steps_completed:bigint,"
+    "epochs_completed:double,tokens_processed:bigint,avg_step_time_ms:double,tokens_per_second:double,samples_per_second:double,"
+    "checkpoints_saved:bigint,best_checkpoint_step:bigint,loss_history:array<double>,lr_history:array<double>,"
+    "perplexity_history:array<double>,step_times:array<double>"
+)
+RUN_RESOURCES = (
+    "gpu_type:string,gpu_memory_gb:double,peak_gpu_memory_gb:double,gpu_utilization_pct:double,cpu_memory_gb:double,disk_usage_gb:double"
+)
+RUN_COST = "estimated_cost:double,actual_cost:double,cost_per_step:double,cost_per_token:double,gpu_hours:double,gpu_type:string"
 RUN = (
-    "run_id string, run_name string, status string, started_at string, completed_at string, duration_hours double, "
-    "metrics struct<final_loss:double,best_loss:double,steps_completed:bigint,tokens_processed:bigint>, "
-    "cost struct<estimated_cost:double,actual_cost:double>, tags array<string>, notes string"
+    "run_id string, run_name string, phase string, status string, error_message string, error_traceback string, "
+    "started_at string, completed_at string, duration_seconds double, duration_hours double, "
+    f"config struct<{RUN_CONFIG}>, metrics struct<{RUN_METRICS}>, resources struct<{RUN_RESOURCES}>, cost struct<{RUN_COST}>, "
+    "checkpoint_path string, best_checkpoint_path string, tokenizer_path string, log_path string, tags array<string>, notes string"
 )
 LEDGERS: dict[str, str] = {
     "preprocessing_state": (

@@ -59,6 +59,33 @@ def write_rules(rules: Rules, spark, path: str) -> None:
     rules.merges_df(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/merges")
 
 
+def tokenizer_json(vocab: DataFrame, merges: DataFrame, special_tokens: DataFrame) -> DataFrame:
+    """One row `value`: the saved tokenizer of `(id, token)`, `(left, right, id)` and `(token, id)`.
+
+    One object holds the whole vocabulary, which its requested size bounds.
+    """
+    b64 = lambda c: F.translate(F.base64(c), "\r\n", "")
+    entries = lambda df, k, v: df.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(k, v)))).alias("m"))
+    parts = {
+        "vocab": entries(vocab, F.col("id").cast("string").alias("k"), b64("token").alias("v")),
+        "merges": entries(merges, F.concat_ws("|", b64("left"), b64("right")).alias("k"), F.col("id").alias("v")),
+        "special_tokens": entries(special_tokens, F.col("token").alias("k"), F.col("id").alias("v")),
+    }
+    one = vocab.agg(F.count(F.lit(1)).cast("int").alias("vocab_size"))
+    for name, part in parts.items():
+        one = one.withColumn("_1", F.lit(1)).join(part.select(F.lit(1).alias("_1"), F.col("m").alias(name)), "_1").drop("_1")
+    return one.select(F.to_json(F.struct("vocab_size", *parts)).alias("value"))
+
+
+def write_tokenizer_json(vocab: DataFrame, merges: DataFrame, special_tokens: DataFrame, path: str) -> None:
+    tokenizer_json(vocab, merges, special_tokens).coalesce(1).write.mode("overwrite").text(path)
+
+
+def merges_tsv_lines(merges: DataFrame) -> DataFrame:
+    """`left_id<TAB>right_id<TAB>id` lines in the order of `priority`."""
+    return merges.orderBy("priority").select(F.concat_ws("\t", *[F.col(c).cast("string") for c in ("left_id", "right_id", "id")]).alias("value"))
+
+
 def vocab_tsv_lines(vocab: DataFrame) -> DataFrame:
     """`token<TAB>id` lines in id order."""
     return vocab.orderBy("id").select(F.concat_ws("\t", "token", F.col("id").cast("string")).alias("value"))

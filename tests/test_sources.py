@@ -57,6 +57,8 @@ def test_vocab_and_merge_files(spark, tmp_path):
     (tmp_path / "m.tsv").write_text("1\t2\t3\nbad line\n4 5 6\n1 2 9\n")
     merges = {(r.left_id, r.right_id): (r.id, r.priority) for r in readers.read_merges_tsv(spark, str(tmp_path / "m.tsv")).collect()}
     assert merges == {(1, 2): (9, 2), (4, 5): (6, 1)}
+    (tmp_path / "big.tsv").write_text("99999999999 1 2\n1 2 3\n")
+    assert [tuple(r) for r in readers.read_merges_tsv(spark, str(tmp_path / "big.tsv")).collect()] == [(1, 2, 3, 0)]
     b64 = lambda b: base64.b64encode(b).decode()
     (tmp_path / "v.json").write_text(json.dumps({"0": b64(b"\xff"), "1": b64(b"ab")}))
     assert {r.id: bytes(r.token) for r in readers.read_vocab_json(spark, str(tmp_path / "v.json")).collect()} == {0: b"\xff", 1: b"ab"}
@@ -97,3 +99,33 @@ def test_random_records_are_reproducible(spark):
     a = readers.synthetic_records(spark, 100, 64, 500)
     assert a.filter(F.exists("input_ids", lambda x: (x < 0) | (x >= 500))).isEmpty() and a.count() == 100
     assert sorted(a.collect()) == sorted(readers.synthetic_records(spark, 100, 64, 500).repartition(3).collect())
+
+
+def test_saved_tokenizer_round_trip(spark, tmp_path):
+    vocab = spark.createDataFrame([(0, b"\xff"), (1, b"ab")], "id int, token binary")
+    merges = spark.createDataFrame([(b"a", b"|b", 260)], "left binary, right binary, id int")
+    special = spark.createDataFrame([("<PAD>", 256)], "token string, id int")
+    writers.write_tokenizer_json(vocab, merges, special, str(tmp_path / "t"))
+    back = readers.read_tokenizer_json(spark, str(tmp_path / "t"))
+    assert {r.id: bytes(r.token) for r in back["vocab"].collect()} == {0: b"\xff", 1: b"ab"}
+    assert [(bytes(r.left), bytes(r.right), r.id) for r in back["merges"].collect()] == [(b"a", b"|b", 260)]
+    assert [tuple(r) for r in back["special_tokens"].collect()] == [("<PAD>", 256)]
+    rules = spark.createDataFrame([(1, 2, 9, 1), (3, 4, 8, 0)], "left_id int, right_id int, id int, priority int")
+    assert [r.value for r in writers.merges_tsv_lines(rules).collect()] == ["3\t4\t8", "1\t2\t9"]
+
+
+def test_paths_need_a_file_system():
+    from gristmill.sources.fixed_width import _open
+
+    with pytest.raises(ValueError, match="names no file system"):
+        _open("/data/records")
+
+
+def test_no_local_scratch_on_a_cluster():
+    from types import SimpleNamespace
+
+    from gristmill.session import shared_dir
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=context))
