@@ -97,15 +97,45 @@ def pieces_of(raw: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(anchors).view(np.int64), np.concatenate(hashes).view(np.int64), np.concatenate(places)
 
 
+def _joined_spans(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of window starts, those that touch in one text made one."""
+    if not len(owner):
+        return owner, start, end
+    order = np.lexsort((start, owner))
+    owner, start, end = owner[order], start[order], end[order]
+    new = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (start[1:] != end[:-1])])
+    last = np.r_[new[1:], len(owner)] - 1
+    return owner[new], start[new], end[last]
+
+
 def _scan(docs: DataFrame, length: int, gram: int) -> DataFrame:
+    """Pieces (_a, _p, _at, _doc), and in rows without an _a spans (_at, _p) of windows known to come again.
+
+    Of a piece that a batch of texts has several times, only the first in the corpus goes on: its
+    further occurrences start later than that one, so their windows are marked on the spot. Copies
+    and periodic texts thus leave a task once for each batch.
+    """
+
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             found = [pieces_of((t or "").encode(), length, gram) for t in batch.column(1).to_pylist()]
-            if found:
-                owner = np.repeat(ids, [len(f[0]) for f in found])
-                columns = [np.concatenate([f[i] for f in found]) for i in range(3)]
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (*columns, owner)], names=["_a", "_p", "_at", "_doc"])
+            if not found:
+                continue
+            owner = np.repeat(ids, [len(f[0]) for f in found])
+            a, p, at = (np.concatenate([f[i] for f in found]) for i in range(3))
+            order = np.lexsort((at, owner, p, a))
+            a, p, at, owner = a[order], p[order], at[order], owner[order]
+            first = np.r_[True, (a[1:] != a[:-1]) | (p[1:] != p[:-1])] if len(a) else np.empty(0, bool)
+            start, count = at[~first] >> 20, at[~first] >> 10 & 1023
+            of, s, e = _joined_spans(owner[~first], start, start + count)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.concat_arrays([pa.array(a[first], pa.int64()), pa.nulls(len(of), pa.int64())]), pa.array(np.r_[p[first], e], pa.int64()),
+                    pa.array(np.r_[at[first], s], pa.int64()), pa.array(np.r_[owner[first], of], pa.int64()),
+                ],
+                names=["_a", "_p", "_at", "_doc"],
+            )
 
     return docs.mapInArrow(run, "_a bigint, _p bigint, _at bigint, _doc bigint")
 
@@ -250,7 +280,9 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     """(_doc, _s, _e): windows starting from _s up to before _e start earlier elsewhere, from (_doc, _text)."""
     gram = min(gram, length)
     steps = Steps(texts.sparkSession, "repeats")
-    scanned = steps.keep("pieces", _scan(texts, length, gram))
+    everything = steps.keep("pieces", _scan(texts, length, gram))
+    parts = [steps.keep("known", everything.filter("_a IS NULL").select("_doc", F.col("_at").alias("_s"), F.col("_p").alias("_e")))]
+    scanned = everything.filter("_a IS NOT NULL")
     again = scanned.groupBy("_a").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_a")
     shared = steps.keep("shared", scanned.join(again, "_a"))
     steps.drop("pieces")
@@ -267,7 +299,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     kinds = firsts.groupBy("_a").agg(F.count(F.lit(1)).alias("_kinds")).filter("_kinds > 1")
     differing = firsts.join(kinds, "_a")
     regular = _cut_pieces(texts, differing.filter(F.col("_kinds") <= HOT_PIECES), length)
-    parts = [steps.keep("later", later)]
+    parts.append(steps.keep("later", later))
     steps.drop("shared")
     parts.append(steps.keep("marked", _construct(regular.repartition("_a").sortWithinPartitions("_a"), length, gram)))
     if kinds.filter(F.col("_kinds") > HOT_PIECES).limit(1).count():
