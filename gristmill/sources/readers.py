@@ -101,6 +101,15 @@ def read_merges_json(spark: SparkSession, path: str) -> DataFrame:
     return one.select(F.unbase64(F.get(parts, F.lit(0))).alias("left"), F.unbase64(F.get(parts, F.lit(1))).alias("right"), "id")
 
 
+def read_rules(spark: SparkSession, path: str, layout):
+    """The byte-level merge rules that `write_rules` left; bounded by the vocabulary size."""
+    from gristmill.operators.bpe import Merge, Rules
+
+    rows = spark.read.parquet(f"{path}/merges").orderBy("rank").collect()
+    merges = [Merge(bytes(r["left"]), bytes(r["right"]), r["id"], r["freq"]) for r in rows]
+    return Rules(layout, merges, [bytes([b]) for b in range(256)])
+
+
 # The saved tokenizer is one JSON object; bytes are base64, a merge's key is `left|right`. Fixed values.
 TOKENIZER_FILE = "vocab_size int, vocab map<string,string>, merges map<string,int>, special_tokens map<string,int>"
 

@@ -185,6 +185,45 @@ def test_whole_preprocessing(spark, tmp_path):
     assert base64.b64encode(vocab[98]) == b"Yg=="
 
 
+def test_preprocessing_is_reused_and_resumed(spark, tmp_path, monkeypatch):
+    from gristmill.plans import preprocess as job
+
+    source = spark.createDataFrame([(f"k{i}", f"some text number {i}") for i in range(40)], "name string, text string")
+    args = {"key": "name", "out": str(tmp_path / "out"), "vocab_size": 265, "length": 12}
+
+    def broken(*_):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as m:
+        m.setattr(job, "write_records", broken)
+        with pytest.raises(OSError):
+            preprocess(source, **args)
+    assert job.read_state(spark, args["out"])["tokenizer_trained"]
+    with monkeypatch.context() as m:
+        m.setattr(job, "learn_vocabulary", broken)  # not needed again
+        preprocess(source, **args)
+        before = sorted((p, p.stat().st_mtime_ns) for p in (tmp_path / "out").rglob("*"))
+        m.setattr(job, "write_records", broken)
+        preprocess(source, **args)
+    assert sorted((p, p.stat().st_mtime_ns) for p in (tmp_path / "out").rglob("*")) == before
+    fewer = source.filter("name <> 'k3'")
+    preprocess(fewer, **args)
+    assert spark.read.parquet(f"{args['out']}/records").count() == 39
+
+
+def test_nothing_is_cut_by_default(spark):
+    from gristmill.plans.preprocess import learn_vocabulary, model_records, usable_texts
+
+    source = spark.createDataFrame([(i, f"word{i} " + "zz " * 50) for i in range(30)], "doc_id bigint, text string")
+    texts = usable_texts(source, "doc_id")
+    assert texts.count() == 30
+    rules = learn_vocabulary(texts, 262)
+    assert rules.merges[0].freq == 30 * 50  # a space and a z come first of the pairs that are as frequent
+    short = {r.doc_id: r.input_ids for r in model_records(texts, rules, 16).collect()}
+    whole = encode.encode_texts(texts, rules).withColumn("input_ids", A.pad_to(F.col("ids"), 16, rules.layout))
+    assert short == {r.doc_id: r.input_ids for r in whole.collect()}
+
+
 def test_expected_piece_counts_by_enumeration(spark):
     import math
 
