@@ -73,6 +73,17 @@ def with_row_key(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame
     return written(number_in_order(docs, order, "__row__").withColumn("__row__", F.col("__row__").cast("bigint")), "numbered"), "__row__"
 
 
+def hash_sample(rows: DataFrame, id_col: str, size: int, total: int, seed: int) -> DataFrame:
+    """At most `size` of `total` rows, those with the least hash of the id.
+
+    Only about twice as many rows as wanted come to the ranking, however large the table is.
+    """
+    span = 1 << 30
+    share = min(span, -(-2 * size * span // max(total, 1)) + 64 * span // max(total, 1))
+    rank = F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(span))
+    return rows.withColumn("_rank", rank).filter(F.col("_rank") < share).orderBy("_rank", id_col).limit(size).drop("_rank")
+
+
 def whole_groups(batches, key: int = 0):
     """Tables of whole groups from batches sorted by a BIGINT column; a group may go over several batches."""
     held: list[pa.RecordBatch] = []

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import bounded_batches
+from gristmill.llm.common import bounded_batches, hash_sample
 from gristmill.llm.suffix import _mix
 from gristmill.llm.toxicity import fold
 
@@ -153,7 +153,7 @@ def fit(learning: DataFrame, sample: int = SAMPLE) -> Model:
             )
 
     bounded_batches(spark)
-    chosen = learning.orderBy(F.xxhash64("_id", F.lit(3)), "_text").limit(sample).select("_lang", "_text")
+    chosen = hash_sample(learning, "_id", sample, rows, 3).select("_lang", "_text")
     taken = chosen.mapInArrow(run, "_lang string, _cells array<int>, _counts array<int>").collect()
     languages = sorted({r["_lang"] for r in taken})
     number = {lang: i for i, lang in enumerate(languages)}

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import bounded_batches
+from gristmill.llm.common import bounded_batches, hash_sample
 from gristmill.llm.suffix import _mix, _powers
 
 WINDOW = 40
@@ -285,20 +285,25 @@ def score_texts(model: Model, texts: list[bytes], chunk: int = 4_096) -> np.ndar
     return _sigmoid(_pooled(logits, text, len(texts))[0] + model.shift)
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> Model:
-    """Train on (_id, _text, _label); the driver gets at most `sample` rows of each label."""
-    counts = {r[0]: r[1] for r in labelled.groupBy("_label").count().collect()}
-    order = [F.xxhash64("_id", F.lit(7)), F.col("_text")]
-    windows = functools.reduce(
-        DataFrame.unionByName, [_sampled_text(labelled.filter(F.col("_label") == y).orderBy(*order).limit(sample)) for y in (0, 1)]
+def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample: int = SAMPLE, steps: int = STEPS) -> Model:
+    """Train on the learning labels' documents; the driver gets at most `sample` rows of each label.
+
+    Labels are chosen before they meet the texts, so the join broadcasts at most 2 * `sample` ids.
+    """
+    known = learning_labels(labels, id_col)
+    counts = {r[0]: r[1] for r in known.groupBy("_label").count().collect()}
+    chosen = functools.reduce(
+        DataFrame.unionByName, [hash_sample(known.filter(F.col("_label") == y), "_id", sample, counts.get(y, 0), 7) for y in (0, 1)]
     )
-    rows = windows.collect()
-    known = sum(counts.get(y, 0) for y in (0, 1))
-    return train([bytes(r["_raw"]) for r in rows], np.array([r["_label"] for r in rows], np.int64), counts.get(1, 0) / max(known, 1), steps)
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    rows = _sampled_text(texts.join(F.broadcast(chosen), "_id")).collect()
+    rows.sort(key=lambda r: (r["_rank"], r["_label"], bytes(r["_raw"])))  # the same order wherever tasks ran
+    total = sum(counts.get(y, 0) for y in (0, 1))
+    return train([bytes(r["_raw"]) for r in rows], np.array([r["_label"] for r in rows], np.int64), counts.get(1, 0) / max(total, 1), steps)
 
 
 def _sampled_text(rows: DataFrame) -> DataFrame:
-    """(_label, _raw): of a long text the words of SAMPLE_WINDOWS windows spread over it."""
+    """(_label, _raw, _rank): of a long text the words of SAMPLE_WINDOWS windows spread over it."""
 
     def run(batches):
         for batch in batches:
@@ -310,9 +315,9 @@ def _sampled_text(rows: DataFrame) -> DataFrame:
                     continue
                 first, lengths, _ = windows_of(count, SAMPLE_WINDOWS)
                 out.append(b"\n".join(raw[start[a] : end[a + n - 1]].tobytes() for a, n in zip(first, lengths)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["_label", "_raw"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), batch.column(2)], names=["_label", "_raw", "_rank"])
 
-    return rows.select("_label", "_text").mapInArrow(run, "_label int, _raw binary")
+    return rows.select("_label", "_text", F.xxhash64("_id", F.lit(7)).alias("_rank")).mapInArrow(run, "_label int, _raw binary, _rank bigint")
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
@@ -337,17 +342,15 @@ def fold(id_col: Column, parts: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(parts)), F.lit(0))
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(_id, _text, _label) of the documents outside fold 0 of 5 that have a label of 0 or 1."""
+def learning_labels(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(_id, _label): one label of 0 or 1 for each id outside fold 0 of 5; 1 if an id has both."""
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col(id_col).isNotNull() & (fold(F.col(id_col), 5) != 0))
-    known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max("toxic").cast("int").alias("_label"))
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    return texts.join(known, "_id")
+    return known.groupBy(F.col(id_col).alias("_id")).agg(F.max("toxic").cast("int").alias("_label"))
 
 
 def held_out_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, score, predicted) of every row of `docs`; fold 0 of 5 is held out from learning."""
-    model = fit(labelled_rows(docs, labels, id_col, text_col))
+    model = fit(docs, labels, id_col, text_col)
     scored = score(docs, model, id_col, text_col)
     return scored.select(id_col, (fold(F.col(id_col), 5) == 0).alias("held_out"), "score", "predicted")
 
@@ -356,7 +359,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     """The rows of `docs` that are not predicted toxic, with all their columns."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(fit(labelled_rows(docs, labels, id_col, text_col)))
+    shared = spark.sparkContext.broadcast(fit(docs, labels, id_col, text_col))
     at = docs.columns.index(text_col)
 
     def run(batches):
