@@ -346,8 +346,14 @@ ENCODED_SQL = rf"""WITH RECURSIVE {PRETOKENS_SQL}, {MERGE_ROUNDS_SQL},
     last AS (SELECT place, array_to_string([CASE WHEN unicode(c) < 600 THEN unicode(c) - 256 ELSE unicode(c) - 340 END
         FOR c IN string_split(symbols, '')], ',') AS ids FROM r WHERE round = (SELECT max(round) FROM r)),
     of_word AS (SELECT s.word, last.ids FROM s JOIN last USING (place))
-    SELECT d.doc_id, coalesce(md5(string_agg(of_word.ids, ',' ORDER BY occ.pos)), md5('')) AS digest
+"""
+IDS_SQL = ENCODED_SQL + """    SELECT d.doc_id, coalesce(md5(string_agg(of_word.ids, ',' ORDER BY occ.pos)), md5('')) AS digest
     FROM documents d LEFT JOIN occ USING (doc_id) LEFT JOIN of_word USING (word) GROUP BY d.doc_id"""
+# The record of a text: BOS, at most 254 ids, EOS, filled up with PAD.
+RECORDS_SQL = ENCODED_SQL + """, lists AS (SELECT d.doc_id, coalesce(string_split(string_agg(of_word.ids, ',' ORDER BY occ.pos), ','), []) AS ids
+        FROM documents d LEFT JOIN occ USING (doc_id) LEFT JOIN of_word USING (word) GROUP BY d.doc_id)
+    SELECT doc_id, 256::BIGINT AS length, md5(array_to_string(list_concat(list_concat(list_concat(['258'], ids[1:254]), ['259']),
+        ['256' FOR i IN range(least(254, 254 - len(ids)))]), ',')) AS digest FROM lists"""
 
 
 @query("K01_bpe_letters", f"WITH RECURSIVE {OCCURRENCES_SQL}, {MERGES_SQL}")
@@ -468,7 +474,7 @@ def _ids_digest(rows: DataFrame, rules: bpe.Rules) -> DataFrame:
     return rows.select("doc_id", F.md5(join_ints(F.col("ids")).cast("binary")).alias("digest"))
 
 
-@query("F04_encode_texts", ENCODED_SQL)
+@query("F04_encode_texts", IDS_SQL)
 def f04(spark, d):
     rules = learnt(spark, d)
     return _ids_digest(encode.encode_texts(docs(spark, d), rules), rules)
@@ -487,7 +493,7 @@ def f06(spark, d):
     return _digest_of_ids(rows.withColumn("ids", A.wrap(F.col("ids"), rules.layout)), rules)
 
 
-@query("J01_encode_distinct_words", ENCODED_SQL)
+@query("J01_encode_distinct_words", IDS_SQL)
 def j01(spark, d):
     rules = learnt(spark, d)
     return _ids_digest(encode.encode_by_distinct_word(docs(spark, d), rules), rules)

@@ -19,7 +19,7 @@ from gristmill.operators import encode
 from gristmill.operators import ledger as L
 from gristmill.operators.blocks import number_in_order, positions
 from gristmill.operators.gather import concat_in_order
-from gristmill.plans.catalog_corpus import learnt
+from gristmill.plans.catalog_corpus import RECORDS_SQL, learnt
 from gristmill.plans.catalog_metrics import rounded
 from gristmill.plans.registry import query, table
 from gristmill.session import scratch
@@ -68,10 +68,14 @@ def a11(spark, d):
 
 
 @query("A11_spend_map", f"""WITH {PHASE_SQL}, s AS (SELECT tenant, phase, sum(cost) AS cost FROM phases WHERE phase <> '' GROUP BY tenant, phase)
-    SELECT tenant, count(*) AS entries, string_agg(phase, ',' ORDER BY phase) AS names FROM s GROUP BY tenant""")
+    SELECT tenant, count(*) AS entries, string_agg(phase, ',' ORDER BY phase) AS names,
+        string_agg(round(cost * 100)::BIGINT, ',' ORDER BY phase) AS cents FROM s GROUP BY tenant""")
 def a11_map(spark, d):
     spent = L.spend_map(L.spend_by_phase(spend(spark, d)))
-    return spent.select("tenant", F.size("by_phase").cast("bigint").alias("entries"), F.array_join(F.map_keys("by_phase"), ",").alias("names"))
+    cents = F.transform(F.map_values("by_phase"), lambda c: F.round(c * 100).cast("bigint").cast("string"))
+    return spent.select(
+        "tenant", F.size("by_phase").cast("bigint").alias("entries"), F.array_join(F.map_keys("by_phase"), ",").alias("names"), F.array_join(cents, ",").alias("cents")
+    )
 
 
 @query("P05_period_filters", f"""SELECT o_orderkey, {MONTH_SQL} AS this_month, o_orderdate >= TIMESTAMP '{AS_OF}' - INTERVAL 30 DAYS AS last_30_days FROM orders""")
@@ -673,16 +677,14 @@ def u01(spark, d):
 # ---------------------------------------------------------------- streams
 
 
-@query("T01_stream_ingest", "SELECT doc_id, 256::BIGINT AS length, true AS is_prefix FROM documents")
+@query("T01_stream_ingest", RECORDS_SQL)
 def t01(spark, d):
     rules = learnt(spark, d)
     source = table(spark, d, "documents")
     out = scratch(spark, "t01")
     jobs.ingest(jobs.corpus_stream(spark, f"{d}/documents*.parquet", source.schema, "doc_id"), rules, 256, out)
-    # A cut inside a character decodes to a replacement character at the end.
-    start = F.rtrim(encode.decoded(F.col("input_ids"), rules), F.lit("\ufffd"))
-    both = spark.read.parquet(out).join(source.select("doc_id", "text"), "doc_id")
-    return both.select("doc_id", F.size("input_ids").cast("bigint").alias("length"), F.startswith("text", start).alias("is_prefix"))
+    ids = F.array_join(F.transform("input_ids", lambda i: i.cast("string")), ",")
+    return spark.read.parquet(out).select("doc_id", F.size("input_ids").cast("bigint").alias("length"), F.md5(ids.cast("binary")).alias("digest"))
 
 
 @query("T02_stream_cap", "SELECT doc_id FROM documents ORDER BY doc_id LIMIT 700")

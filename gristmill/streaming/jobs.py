@@ -15,7 +15,7 @@ from gristmill.operators.encode import encode_texts
 from gristmill.operators.gather import concat_in_order
 from gristmill.operators.metrics import BLOCK_STEPS, early_stop, overfit_streaks, run_summary
 from gristmill.session import broadcast_if_small, cut_lineage, scratch
-from gristmill.streaming.sinks import batches_before, previous_state, put_batch
+from gristmill.streaming.sinks import batches_before, previous_state, put_batch, put_state
 
 Put = Callable[[DataFrame, int], None]
 
@@ -90,7 +90,7 @@ def monitor(
         placed = positions(new, ["run_id"], ["step"], F.floor(F.col("step") / BLOCK_STEPS), "_p")
         placed = cut_lineage(placed.withColumn("_ready", F.col("step") == F.col("last_step") + F.col("_p")))
         ready = placed.filter("_ready").select("run_id", "step", "loss", "val_loss")
-        put_batch(placed.filter(~F.col("_ready")).select("run_id", "step", "loss", "val_loss"), f"{path}/waiting", batch_id)
+        put_state(placed.filter(~F.col("_ready")).select("run_id", "step", "loss", "val_loss"), f"{path}/waiting", batch_id)
 
         together = tail.unionByName(ready)
         means = trailing(together, ["run_id"], "step", width, {"avg_loss": F.avg("loss")}, BLOCK_STEPS)
@@ -103,7 +103,7 @@ def monitor(
             "run_id", F.coalesce("last_step", "_old").alias("last_step")
         )
         newest = together.join(broadcast_if_small(now), "run_id").filter(F.col("step") > F.col("last_step") - (width - 1)).drop("last_step")
-        put_batch(newest.select("run_id", "step", "loss", "val_loss"), f"{path}/tail", batch_id)
+        put_state(newest.select("run_id", "step", "loss", "val_loss"), f"{path}/tail", batch_id)
 
         evals = means.filter(F.col("val_loss").isNotNull()).select(
             "run_id", F.floor(F.col("step") / eval_interval).alias("eval_no"), "step", "val_loss",
@@ -130,7 +130,7 @@ def monitor(
                 F.least("_old_found", "_found").alias("detect_step"),
             )
         )
-        put_batch(state, f"{path}/runs", batch_id)
+        put_state(state, f"{path}/runs", batch_id)
 
     return put
 
@@ -168,7 +168,7 @@ def event_assembly(path: str) -> Put:
         done = assembled(events)
         put_batch(done, f"{path}/done", batch_id)
         finished = events.filter(F.col("kind").isin("complete", "error")).select("request_id").distinct()
-        put_batch(events.join(finished, "request_id", "left_anti"), f"{path}/open", batch_id)
+        put_state(events.join(finished, "request_id", "left_anti"), f"{path}/open", batch_id)
 
     return put
 

@@ -31,6 +31,14 @@ def previous_state(spark: SparkSession, path: str, schema: str, batch_id: int) -
     return spark.read.schema(schema).parquet(f"{path}/batch_id={batch_id - 1}")
 
 
+def put_state(df: DataFrame, path: str, batch_id: int) -> None:
+    """Write the state after this batch and drop all but the one before it, which a repeated batch starts from."""
+    put_batch(df, path, batch_id)
+    spark = df.sparkSession
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id={batch_id - 2}")
+    old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+
+
 def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """Last written row of each key among update-mode batches."""
     rows = spark.read.parquet(path)
