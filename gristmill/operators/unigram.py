@@ -16,6 +16,7 @@ from gristmill.session import cut_lineage
 LONGEST_PIECE = 16
 SEED_PIECES = 100_000
 KEEP_SHARE = 0.75
+LEAST_COUNT = 0.5
 
 
 def substring_counts(words: DataFrame, longest: int = LONGEST_PIECE) -> DataFrame:
@@ -29,18 +30,20 @@ def substring_counts(words: DataFrame, longest: int = LONGEST_PIECE) -> DataFram
     return ends.groupBy(F.substring("word", F.col("s"), F.col("n")).alias("piece")).agg(F.sum("freq").alias("freq"))
 
 
-def seed_pieces(words: DataFrame, size: int) -> DataFrame:
-    """All single characters and the repeated substrings with the highest freq x length."""
+def seed_pieces(words: DataFrame, size: int, longest: int = LONGEST_PIECE) -> DataFrame:
+    """All single characters and the `size` repeated substrings with the highest freq x length, ties by piece."""
     counted = cut_lineage(
-        substring_counts(words).filter((F.length("piece") == 1) | (F.col("freq") > 1))
+        substring_counts(words, longest).filter((F.length("piece") == 1) | (F.col("freq") > 1))
         .withColumn("score", F.col("freq") * F.length("piece"))
     )
-    many = counted.filter(F.length("piece") > 1).select((-F.col("score")).alias("k"))
-    cuts = nth_keys(many, "k", [size])
+    many = counted.filter(F.length("piece") > 1)
+    cuts = nth_keys(many.select((-F.col("score")).alias("k")), "k", [size])
     if not cuts.keys:
         return counted
-    kept = F.col("score") > -cuts.keys[size] if cuts.inside_ties else F.col("score") >= -cuts.keys[size]
-    return counted.filter((F.length("piece") == 1) | kept)
+    last = -cuts.keys[size]
+    above = counted.filter((F.length("piece") == 1) | (F.col("score") > last))
+    tied = many.filter(F.col("score") == last).orderBy("piece").limit(size - many.filter(F.col("score") > last).count())
+    return above.unionByName(tied)
 
 
 def _expected(word: str, logp: dict[str, float], longest: int) -> list[tuple[str, float]]:
@@ -87,28 +90,30 @@ def expected_counts(words: DataFrame, logp: dict[str, float]) -> DataFrame:
     return parts.groupBy("piece").agg(F.sum("expected").alias("expected"))
 
 
-def _log_shares(counts: dict[str, float]) -> dict[str, float]:
+def log_shares(counts: dict[str, float]) -> dict[str, float]:
     total = math.log(sum(counts.values()))
     return {piece: math.log(c) - total for piece, c in counts.items()}
 
 
 def train_unigram(
     words: DataFrame, vocab_size: int, layout: Layout = SPECIALS_FIRST, seed_size: int = SEED_PIECES,
-    em_rounds: int = 2,
+    em_rounds: int = 2, least: float = LEAST_COUNT, longest: int = LONGEST_PIECE,
 ) -> DataFrame:
     """`(id, piece, logp)`: specials first, then pieces by falling probability.
 
-    The piece table on the driver has at most `seed_size` entries plus the alphabet.
-    Single characters are never pruned, so every seen word keeps a segmentation.
+    The piece table on the driver has at most `seed_size` entries plus the alphabet. Single
+    characters are never pruned, so every seen word keeps a segmentation; longer pieces go as soon
+    as fewer than `least` of them are expected. Counts are rounded before they are ranked, so the
+    order in which tasks are summed has no influence.
     """
     spark = words.sparkSession
     table = cut_lineage(words.select("word", "freq"))
-    counts = {r.piece: float(r.freq) for r in seed_pieces(table, seed_size).select("piece", "freq").toLocalIterator()}
+    counts = {r.piece: float(r.freq) for r in seed_pieces(table, seed_size, longest).select("piece", "freq").toLocalIterator()}
     room = vocab_size - len(layout.specials)
     while True:
         for _ in range(em_rounds):
-            found = {r.piece: r.expected for r in expected_counts(table, _log_shares(counts)).collect()}
-            counts = {p: max(found.get(p, 0.0), 1e-9) for p in counts if len(p) == 1 or found.get(p, 0.0) >= 0.5}
+            found = {r.piece: round(r.expected, 6) for r in expected_counts(table, log_shares(counts)).collect()}
+            counts = {p: max(found.get(p, 0.0), 1e-9) for p in counts if len(p) == 1 or found.get(p, 0.0) >= least}
         ranked = sorted(counts, key=lambda p: (-counts[p], p))
         if len(ranked) <= room or all(len(p) == 1 for p in ranked):
             break
@@ -116,7 +121,7 @@ def train_unigram(
         single = sum(len(p) == 1 for p in ranked)
         longer = [p for p in ranked if len(p) > 1][: max(0, target - single)]
         counts = {p: counts[p] for p in [*(q for q in ranked if len(q) == 1), *longer]}
-    logp = _log_shares(counts)
+    logp = log_shares(counts)
     rows = [(i, t, None) for t, i in sorted(layout.specials.items(), key=lambda x: x[1])]
     rows += [(len(rows) + i, p, logp[p]) for i, p in enumerate(ranked)]
     return spark.createDataFrame(rows, "id int, piece string, logp double")

@@ -434,6 +434,34 @@ def k04_substrings(spark, d):
     )
 
 
+# Forward and backward sums over the positions of each distinct word, for pieces of up to three letters.
+EXPECTED_SQL = rf"""WITH RECURSIVE {OCCURRENCES_SQL},
+    w AS (SELECT word, count(*) AS freq, length(word) AS n FROM occ GROUP BY word),
+    c AS (SELECT piece, sum(freq)::DOUBLE AS f FROM (SELECT substr(word, i, k) AS piece, freq FROM
+        (SELECT word, freq, n, unnest(range(1, n + 1)) AS i FROM w), (SELECT unnest([1, 2, 3]) AS k) WHERE i + k - 1 <= n) GROUP BY piece),
+    p AS (SELECT piece, f / (SELECT sum(f) FROM c WHERE length(piece) = 1 OR f > 1) AS p FROM c WHERE length(piece) = 1 OR f > 1),
+    fwd(word, n, j, a1, a2, a3) AS (SELECT word, n, 0, 1.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM w
+        UNION ALL SELECT f.word, f.n, f.j + 1, a1 * coalesce(x.p, 0) + a2 * coalesce(y.p, 0) + a3 * coalesce(z.p, 0), a1, a2
+        FROM fwd f LEFT JOIN p x ON x.piece = substr(f.word, f.j + 1, 1) LEFT JOIN p y ON f.j >= 1 AND y.piece = substr(f.word, f.j, 2)
+        LEFT JOIN p z ON f.j >= 2 AND z.piece = substr(f.word, f.j - 1, 3) WHERE f.j < f.n),
+    bwd(word, n, j, b1, b2, b3) AS (SELECT word, n, n, 1.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM w
+        UNION ALL SELECT b.word, b.n, b.j - 1, b1 * coalesce(x.p, 0) + b2 * coalesce(y.p, 0) + b3 * coalesce(z.p, 0), b1, b2
+        FROM bwd b LEFT JOIN p x ON x.piece = substr(b.word, b.j, 1) LEFT JOIN p y ON b.j + 1 <= b.n AND y.piece = substr(b.word, b.j, 2)
+        LEFT JOIN p z ON b.j + 2 <= b.n AND z.piece = substr(b.word, b.j, 3) WHERE b.j > 0),
+    arcs AS (SELECT f.word, f.a1 AS a, b.b1 AS b, p.p, p.piece FROM fwd f, (SELECT unnest([1, 2, 3]) AS k), p, bwd b
+        WHERE f.j + k <= f.n AND p.piece = substr(f.word, f.j + 1, k) AND b.word = f.word AND b.j = f.j + k),
+    total AS (SELECT word, a1 AS t FROM fwd WHERE j = n)
+    SELECT piece, round(sum(w.freq * a * p / t * b), 2) AS expected FROM arcs JOIN total USING (word) JOIN w USING (word) GROUP BY piece"""
+
+
+@query("K04_expected_counts", EXPECTED_SQL)
+def k04_expected(spark, d):
+    table_of_words = words.word_table(docs(spark, d), X.letter_words(F.col("text"))).select("word", "freq")
+    counts = unigram.substring_counts(table_of_words, 3).filter((F.length("piece") == 1) | (F.col("freq") > 1))
+    shares = unigram.log_shares({r.piece: float(r.freq) for r in counts.collect()})  # at most a few letters' combinations
+    return unigram.expected_counts(table_of_words, shares).select("piece", F.round("expected", 2).alias("expected"))
+
+
 @query("K04_unigram_train")
 def k04(spark, d):
     freq = words.word_table(docs(spark, d), X.plain_words(F.col("text")))
