@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gristmill.functions.text import pretokens
 
@@ -12,14 +15,21 @@ def word_table(docs: DataFrame, words: Column | None = None, key: str = "doc_id"
     """`(word, freq, first)`: how often and where first (document key, index) a word occurs.
 
     Counting happens before the shuffle, so a word that makes up much of the corpus still
-    reaches its reducer as one row per task.
+    reaches its reducer as one row per task. A whole-number key and the index are packed into
+    one decimal, which a hash aggregate can keep the least of; other keys are sorted.
     """
     words = pretokens(F.col("text")) if words is None else words
-    return (
-        docs.select(F.col(key).alias("_doc"), F.posexplode(words).alias("_pos", "word"))
-        .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("freq"), F.min(F.struct("_doc", "_pos")).alias("first"))
-    )
+    found = docs.select(F.col(key).alias("_doc"), F.posexplode(words).alias("_pos", "word")).groupBy("word")
+    kind = docs.schema[key].dataType
+    freq = F.count(F.lit(1)).alias("freq")
+    if not isinstance(kind, T.IntegralType):
+        return found.agg(freq, F.min(F.struct("_doc", "_pos")).alias("first"))
+    lowest, width = F.lit(Decimal(1 << 63)), F.lit(Decimal(1 << 31))
+    packed = ((F.col("_doc").cast("decimal(20, 0)") + lowest) * width + F.col("_pos").cast("decimal(10, 0)")).cast("decimal(38, 0)")
+    pos = F.col("_f") % width
+    doc = ((F.col("_f") - pos) / width).cast("decimal(21, 0)") - lowest
+    first = F.struct(doc.cast("bigint").cast(kind).alias("_doc"), pos.cast("int").alias("_pos")).alias("first")
+    return found.agg(freq, F.min(packed).alias("_f")).select("word", "freq", first)
 
 
 def symbol_pairs(words: DataFrame, *carry: str) -> DataFrame:

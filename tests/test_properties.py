@@ -211,6 +211,18 @@ def test_preprocessing_is_reused_and_resumed(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(f"{args['out']}/records").count() == 39
 
 
+def test_word_table_of_any_key(spark):
+    rows = [(-5, "b a"), (3, "a a b"), (7, "c"), (2**63 - 1, "d"), (-(2**63), "d e")]
+    for kind in ("bigint", "string"):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("doc_id", F.col("doc_id").cast(kind))
+        table = words.word_table(df, F.split("text", " "))
+        got = {r.word: (r.freq, int(r["first"]["_doc"]), r["first"]["_pos"]) for r in table.collect()}
+        assert {w: g[0] for w, g in got.items()} == {"a": 3, "b": 2, "c": 1, "d": 2, "e": 1}
+        if kind == "bigint":
+            assert got["a"][1:] == (-5, 1) and got["d"][1:] == (-(2**63), 0) and got["c"][1:] == (7, 0)
+            assert "SortAggregate" not in table._jdf.queryExecution().toString()
+
+
 def test_nothing_is_cut_by_default(spark):
     from gristmill.plans.preprocess import learn_vocabulary, model_records, usable_texts
 
