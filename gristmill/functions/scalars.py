@@ -108,6 +108,7 @@ def budget_columns(cost: Column, spent: Column, budget: Column) -> dict[str, Col
     safe_left = budget * SAFETY_MARGIN - spent
     use = (spent + cost) / budget * 100
     within_safety = cost <= safe_left
+    # The two warning texts.
     warning = (
         F.when(
             ~within_safety,

@@ -510,7 +510,7 @@ def stale_requests(requests: DataFrame, manifest: DataFrame) -> DataFrame:
     return requests.join(manifest.select("corpus", "fingerprint").distinct(), ["corpus", "fingerprint"], "left_anti")
 
 
-# Path, type, default and name of each run parameter taken from a nested record.
+# Path, type, default and name of each run parameter taken from a nested record.
 RUN_PARAMETERS = [
     ("model_architecture.dimensions.vocabulary_size", "int", 50000, "vocab_size"),
     ("model_architecture.dimensions.embedding_dimension", "int", 768, "d_model"),
