@@ -101,6 +101,11 @@ def cycle(df: DataFrame, key: str, batch_size: int, max_steps: int, seed: int =
     epochs = -(-max_steps // per_epoch)
     work = df.select(key, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(epochs - 1).cast("bigint"))).alias("epoch"))
     work = work.withColumn("_h", order_hash(F.col(key), F.concat_ws(":", F.lit(str(seed)), F.col("epoch"))))
+    # Of the last epoch only the rows up to the last step are ordered.
+    needed = (max_steps - (epochs - 1) * per_epoch) * batch_size
+    bits = df.select(_leading_bits(order_hash(F.col(key), f"{seed}:{epochs - 1}")).alias("k"))
+    cut = nth_keys(bits, "k", [needed]).keys[needed]
+    work = work.filter((F.col("epoch") < epochs - 1) | (_leading_bits(F.col("_h")) <= cut))
     placed = positions(work, ["epoch"], ["_h", key], _block(F.col("_h")), "_pos")
     batch = F.expr(f"(_pos - 1) div {batch_size}")
     return (
