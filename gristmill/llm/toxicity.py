@@ -33,6 +33,7 @@ GRAM_CELLS = 1 << 15
 STEPS = 360
 BATCH_DOCS = 48
 RATE = 0.01
+BATCH_MB = 4  # of text that a Python worker scores at once
 GRAMS = (3, 4, 5)
 PREFIXES = (3, 4, 5, 6, 7, 8)
 
@@ -323,7 +324,7 @@ def _sampled_text(rows: DataFrame) -> DataFrame:
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """(id, score, predicted) of each row; null counts as empty, and an empty text gets the score of no evidence."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, BATCH_MB)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
@@ -358,7 +359,7 @@ def held_out_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of `docs` that are not predicted toxic, with all their columns."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, BATCH_MB)
     shared = spark.sparkContext.broadcast(fit(docs, labels, id_col, text_col))
     at = docs.columns.index(text_col)
 
