@@ -29,6 +29,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gristmill.llm.common import Steps, bounded_batches, keyed, whole_groups, with_row_key, written
@@ -284,27 +285,20 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     parts = [steps.keep("known", everything.filter("_a IS NULL").select("_doc", F.col("_at").alias("_s"), F.col("_p").alias("_e")))]
     scanned = everything.filter("_a IS NOT NULL")
     again = scanned.groupBy("_a").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_a")
-    shared = steps.keep("shared", scanned.join(again, "_a"))
+    # A piece comes once from each batch at most, so the rows of one piece stay few for a task to number.
+    nth = F.row_number().over(W.partitionBy("_a", "_p").orderBy("_doc", "_at"))
+    shared = steps.keep("shared", scanned.join(again, "_a").repartition("_a", "_p").withColumn("_nth", nth))
     steps.drop("pieces")
-    firsts = steps.keep(
-        "firsts", shared.groupBy("_a", "_p").agg(F.min(F.struct("_doc", "_at")).alias("_f")).select("_a", "_p", "_f._doc", "_f._at")
-    )
-    steps.drop()
-    first = firsts.select("_a", "_p", F.col("_doc").alias("_fd"), F.col("_at").alias("_fa"))
     start, count = F.shiftright("_at", 20), F.shiftright("_at", 10).bitwiseAND(F.lit(1023))
-    later = (
-        shared.join(first, ["_a", "_p"]).filter("_doc != _fd OR _at != _fa")
-        .select("_doc", start.alias("_s"), (start + count).alias("_e"))
-    )
+    parts.append(steps.keep("later", shared.filter("_nth > 1").select("_doc", start.alias("_s"), (start + count).alias("_e"))))
+    firsts = shared.filter("_nth = 1").select("_a", "_doc", "_at")
     kinds = firsts.groupBy("_a").agg(F.count(F.lit(1)).alias("_kinds")).filter("_kinds > 1")
     differing = firsts.join(kinds, "_a")
     regular = _cut_pieces(texts, differing.filter(F.col("_kinds") <= HOT_PIECES), length)
-    parts.append(steps.keep("later", later))
-    steps.drop("shared")
     parts.append(steps.keep("marked", _construct(regular.repartition("_a").sortWithinPartitions("_a"), length, gram)))
     if kinds.filter(F.col("_kinds") > HOT_PIECES).limit(1).count():
         parts.append(steps.keep("hot", _single_windows(texts, differing.filter(F.col("_kinds") > HOT_PIECES), length)))
-    steps.drop("firsts")
+    steps.drop("shared")
     return functools.reduce(DataFrame.unionByName, parts)
 
 
@@ -349,7 +343,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the removed bytes only partly cover; the digest is of exactly the remaining bytes.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, 4)
     texts, _ = keyed(docs, id_col, text_col)
     spans = repeated_spans(texts.select("_doc", "_text"), length).groupBy("_doc").agg(F.collect_list(F.struct("_s", "_e")).alias("_spans"))
 
