@@ -291,11 +291,13 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     steps.drop("pieces")
     start, count = F.shiftright("_at", 20), F.shiftright("_at", 10).bitwiseAND(F.lit(1023))
     parts.append(steps.keep("later", shared.filter("_nth > 1").select("_doc", start.alias("_s"), (start + count).alias("_e"))))
+    steps.drop()
     firsts = shared.filter("_nth = 1").select("_a", "_doc", "_at")
     kinds = firsts.groupBy("_a").agg(F.count(F.lit(1)).alias("_kinds")).filter("_kinds > 1")
     differing = firsts.join(kinds, "_a")
     regular = _cut_pieces(texts, differing.filter(F.col("_kinds") <= HOT_PIECES), length)
     parts.append(steps.keep("marked", _construct(regular.repartition("_a").sortWithinPartitions("_a"), length, gram)))
+    steps.drop()
     if kinds.filter(F.col("_kinds") > HOT_PIECES).limit(1).count():
         parts.append(steps.keep("hot", _single_windows(texts, differing.filter(F.col("_kinds") > HOT_PIECES), length)))
     steps.drop("shared")
