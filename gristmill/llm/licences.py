@@ -2,12 +2,14 @@
 
 Rules are regular expressions over the normalised text: words of ASCII letters, digits and all other
 characters beyond ASCII, lower-cased, with one space before and after each. A rule runs only on texts
-with its keyword. Of the detections in one text, those inside another one go, of equal ones all but
+with its keyword, which all of its matches contain. Of the detections in one text, those inside another one go, of equal ones all but
 the first rule's, and of two that cross the later rule's. No row leaves its place.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,7 +53,7 @@ FAMILIES = [
     ("bsd-3-clause", " bsd", f"(?:new|revised|modified) bsd {_LICEN}", None),
     ("bsd-2-clause", " bsd", f"(?:simplified|freebsd) bsd {_LICEN}", None),
     ("bsd-4-clause", " bsd", f"(?:original|old) bsd {_LICEN}", None),
-    ("0bsd", " 0bsd ", f"(?:zero clause bsd|0bsd) {_LICEN}", "0bsd"),
+    ("0bsd", "bsd", f"(?:zero clause bsd|0bsd) {_LICEN}", "0bsd"),
     ("bsd", " bsd", f"bsd (?:style )?{_LICEN}", None),
     ("isc", " isc ", f"isc {_LICEN}", "isc"),
     ("mpl-2", " mozilla", f"mozilla public {_LICEN} (?:version |v )?v?2(?: 0)?", None),
@@ -80,7 +82,8 @@ FAMILIES = [
     ("postgresql", " postgresql", f"postgresql {_LICEN}", "postgresql"),
     ("openssl", " openssl", f"openssl {_LICEN}", "openssl"),
     ("unlicense", "unlicen", f"the unlicen[cs]e|un{_LICEN} org", "unlicense"),
-    ("wtfpl", "wtfpl", f"wtfpl|do what the fuck you want to public {_LICEN}", "wtfpl"),
+    ("wtfpl", "wtfpl", "wtfpl", "wtfpl"),
+    ("wtfpl", " what the fuck ", f"do what the fuck you want to public {_LICEN}", None),
     ("ms-pl", " microsoft public", f"microsoft public {_LICEN}", "ms pl"),
     ("ms-rl", " microsoft reciprocal", f"microsoft reciprocal {_LICEN}", "ms rl"),
     ("odbl-1", " open database", f"open database {_LICEN}(?: (?:version |v )?1(?: 0)?)?", "odbl 1 0"),
@@ -88,7 +91,7 @@ FAMILIES = [
     ("pddl-1", " public domain dedication", f"public domain dedication and {_LICEN}(?: (?:version |v )?1(?: 0)?)?", "pddl 1 0"),
     ("ofl-1.1", " open font", f"(?:sil )?open font {_LICEN}(?: (?:version |v )?1 1)?", "ofl 1 1"),
     ("openrail", "openrail", f"(?:bigscience |creativeml )?openrail(?: m)?(?: {_LICEN})?", None),
-    ("llama", " community license", f"llama (?:[0-9] )+community {_LICEN}", None),
+    ("llama", " llama ", f"llama (?:[0-9] )+community {_LICEN}", None),
     ("elastic-2", " elastic", f"elastic {_LICEN} (?:version |v )?2(?: 0)?", "elastic 2 0"),
     ("sspl-1", " server side public", f"server side public {_LICEN}(?: (?:version |v )?1)?", "sspl 1 0"),
     ("busl-1.1", " business source", f"business source {_LICEN}(?: (?:version |v )?1 1)?", "busl 1 1"),
@@ -101,10 +104,10 @@ PASSAGES = [
     ("isc", "permission to use copy", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
     ("bsd", "redistribution and use", "redistribution and use in source and binary forms with or without modification are permitted"),
     ("bsd-3-clause", " endorse or promote", "may be used to endorse or promote products derived from this software without specific prior written permission"),
-    ("apache-2", " apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    ("apache-2", " as is basis", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
     ("apache-2", " apache", "www apache org licenses license 2 0"),
-    ("gpl", " free software foundation", "free software you can redistribute it and or modify it under the terms of the gnu general public license"),
-    ("lgpl", " free software foundation", "free software you can redistribute it and or modify it under the terms of the gnu lesser general public license"),
+    ("gpl", "free software you can", "free software you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("lgpl", "free software you can", "free software you can redistribute it and or modify it under the terms of the gnu lesser general public license"),
     ("gpl", " gnu org", "www gnu org licenses gpl(?: [0-9 ]+)?(?:html|txt)"),
     ("mpl-2", " mozilla", "mozilla org mpl 2 0"),
     ("mit", " opensource org", "opensource org licenses mit"),
@@ -133,6 +136,13 @@ _CC_PARTS = [
 _LEADS = "(?:licensed|released|distributed|published|available|provided) under (?:the )?(?:terms of )?(?:the )?"
 
 
+def _keyword(keyword: str, identifier: str) -> str:
+    """The family's keyword if the identifier always contains it, else the identifier's first word."""
+    literal = re.match("[a-z0-9 ]+", identifier)[0]
+    always = f" {literal} " if literal == identifier else f" {literal}"
+    return keyword if keyword in always else f" {literal.split()[0]} "
+
+
 def rules() -> list[tuple[int, str, str, str, float]]:
     """(priority, label, keyword, pattern, confidence), the most specific first."""
     out: list[tuple[str, str, str, float]] = []
@@ -145,7 +155,8 @@ def rules() -> list[tuple[int, str, str, str, float]]:
     out.append(("cc0-1", "spdx", "spdx license identifier cc0 1 0", 1.0))
     out += [(label, keyword, pattern, 0.95) for label, keyword, pattern in PASSAGES]
     for label, keyword, name, identifier in FAMILIES:
-        out += [(label, keyword, f"{_LEADS}(?:{form})(?: {_LICEN})?", 0.98) for form in (name, identifier) if form]
+        forms = [(name, keyword), (identifier, identifier and _keyword(keyword, identifier))]
+        out += [(label, word, f"{_LEADS}(?:{form})(?: {_LICEN})?", 0.98) for form, word in forms if form]
     for part, short, long in _CC_PARTS:
         for version, pattern in _VERSIONS.items():
             out.append((f"cc-{part}-{version}", " cc ", f"(?:{_LEADS}(?:a )?)?cc {short} {pattern}(?: international| unported)?", 0.97))

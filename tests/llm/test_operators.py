@@ -164,6 +164,63 @@ def test_licence_scan(spark, docs, none):
     assert all(0 <= s <= 1 for s in scores) and licences.scan(none).count() == 0
 
 
+def spelled(pattern):
+    """Strings that a rule's pattern matches: every alternative and every optional part with and without."""
+    parser = re._parser
+    code = {"IN": lambda v: [chr(x[1][0] if str(x[0]) == "RANGE" else x[1]) for x in v], "LITERAL": lambda v: [chr(v)]}
+
+    def go(items):
+        out = [""]
+        for op, v in items:
+            name = str(op)
+            if name in ("ASSERT", "AT"):
+                continue
+            if name in code:
+                found = code[name](v)
+            elif name == "SUBPATTERN":
+                found = go(v[3])
+            elif name == "BRANCH":
+                found = [s for b in v[1] for s in go(b)]
+            else:
+                assert name == "MAX_REPEAT"
+                once = go(v[2])
+                found = ([""] if v[0] == 0 else []) + once + ([a + b for a in once for b in once] if str(v[1]) == "MAXREPEAT" else [])
+            out = [a + b for a in out for b in found]
+        return out
+
+    return go(parser.parse(pattern))
+
+
+def test_licence_keywords_are_in_every_match():
+    for priority, label, keyword, pattern, _ in licences.rules():
+        for form in spelled(pattern):
+            norm = f" {form} "
+            if re.search(pattern, norm):
+                assert keyword in norm and any(g in norm for g in licences.GATES), (priority, label, keyword, norm)
+
+
+SHORT_NAMED = {
+    "Licensed under EPL-2.0": "epl-2", "Licensed under BSL-1.0": "bsl-1", "released under the OFL 1.1": "ofl-1.1", "available under SSPL-1.0": "sspl-1",
+    "Licensed under MS-PL.": "ms-pl", "licensed under MS-RL": "ms-rl", "Licensed under CDDL-1.1": "cddl-1.1", "provided under CPL-1.0": "cpl-1",
+    "licensed under EUPL-1.2": "eupl-1.2", "distributed under the GFDL-1.3": "gfdl-1.3", "licensed under ODbL-1.0": "odbl-1",
+    "licensed under ODC-By-1.0": "odc-by-1", "licensed under PDDL-1.0": "pddl-1", "licensed under BUSL-1.1": "busl-1.1", "licensed under PSF-2.0": "python-2",
+    "Do What The Fuck You Want To Public License": "wtfpl", "WTFPL": "wtfpl", "Zero-Clause BSD License": "0bsd", "0BSD license": "0bsd",
+    "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS": "apache-2",
+    "free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License": "lgpl",
+    "Llama 3.1 Community Licence": "llama", "Llama 2 Community License": "llama",
+}
+
+
+def test_licence_scan_without_keywords(spark, monkeypatch):
+    texts = [*SHORT_NAMED, *LICENSED, *(f"see {a}, or {b}" for a, b in zip(SHORT_NAMED, LICENSED))]
+    got = {r.doc_id: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels) for r in licences.scan(table(spark, texts)).collect()}
+    assert [got[i][5] for i in range(len(SHORT_NAMED))] == list(SHORT_NAMED.values())
+    every = [(p, label, "", pattern, s) for p, label, _, pattern, s in licences.rules()]
+    monkeypatch.setattr(licences, "rules", lambda: every)
+    monkeypatch.setattr(licences, "GATES", [""])
+    assert [got[i] for i in range(len(texts))] == [scan_by_hand(t) for t in texts]
+
+
 # ------------------------------------------------------------------ fingerprints
 
 
