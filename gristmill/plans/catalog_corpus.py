@@ -465,7 +465,7 @@ def k04_expected(spark, d):
 @query("K04_unigram_train")
 def k04(spark, d):
     freq = words.word_table(docs(spark, d), X.plain_words(F.col("text")))
-    vocab = unigram.train_unigram(freq, 3000, seed_size=4000, em_rounds=1)
+    vocab = unigram.train_unigram(freq, 3000)
     return vocab.select(F.col("id").cast("bigint").alias("id"), "piece", F.round("logp", 6).alias("logp"))
 
 
