@@ -4,7 +4,9 @@ Documents with equal sets are one class from the start. Each class has a signatu
 A tree starts from all classes; a node chooses `BRANCHES` places of the signature by a hash of its path
 and sends each member to the child named by its token there. Small nodes are compared exhaustively,
 large ones branch again, and independent trees are repeated until a pair at the threshold is missed
-with a probability of at most (1 - threshold) ** (TREES * BRANCHES), about 3e-7 at 0.85.
+with a probability of at most (1 - threshold) ** (TREES * BRANCHES), 2.6e-7 at 0.85 and 2.6e-6 at 0.80. The
+filter on signatures misses a further 1.3e-7 and 5.6e-7; together 3.8e-7 and 3.1e-6. Where all nodes of the pair
+branch once more, the trees miss 6.7e-7 and 8.4e-6 instead. A pair linked through others is not lost.
 
 Comparing is a filter on signatures, then an exact test on the full sets, most similar pairs first and
 none inside a component known already, so a node gives fewer links than it has members. The first path
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +44,18 @@ MANY = 32
 _U = np.uint64
 
 
+def missed_by_signature(percent: int, least: int) -> float:
+    """Probability that a pair at the threshold has fewer than `least` equal tokens."""
+    share = percent / 100
+    return sum(math.comb(TOKENS, k) * share**k * (1 - share) ** (TOKENS - k) for k in range(least))
+
+
+def least_alike(percent: int) -> int:
+    """Equal tokens from which a pair is compared exactly: the most that miss a pair half as often as the trees do."""
+    limit = (1 - percent / 100) ** (TREES * BRANCHES) / 2
+    return max(k for k in range(TOKENS + 1) if k == 0 or missed_by_signature(percent, k) <= limit)
+
+
 @functools.lru_cache(maxsize=1)
 def _token_hashes() -> tuple[np.ndarray, np.ndarray]:
     draw = np.random.default_rng(20_240)
@@ -153,8 +168,7 @@ def _pair_units(nodes: DataFrame) -> DataFrame:
 
 def _promising(units: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Members of a unit whose signature comes near that of a member in another component."""
-    share = percent / 100
-    least = int(np.floor(TOKENS * (share - 4.2 * np.sqrt(share * (1 - share) / TOKENS))))
+    least = least_alike(percent)
 
     def run(batches):
         for table in whole_groups(batches):
@@ -206,8 +220,7 @@ def _postings(sets: list[np.ndarray]):
 def _confirmed(members: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (_u, _v) of a unit's members, by exact comparison of their full sets."""
 
-    share = percent / 100
-    least = int(np.floor(TOKENS * (share - 4.2 * np.sqrt(share * (1 - share) / TOKENS))))
+    least = least_alike(percent)
 
     def links(doc, label, texts):
         sets = [shingle_set(t, width) for t in texts]

@@ -1,6 +1,7 @@
 """The ten operators against brute force, and on nulls, empty and long texts, repeated rows and empty tables."""
 
 import hashlib
+import math
 import itertools
 import random
 import re
@@ -497,6 +498,16 @@ def edited_copies(seed):
     return out
 
 
+@pytest.mark.parametrize("percent", [50, 80, 85, 95])
+def test_signatures_miss_less_than_trees(percent):
+    found = near._promising.__code__.co_names, near._confirmed.__code__.co_names
+    assert all("least_alike" in names for names in found)
+    least = near.least_alike(percent)
+    trees = (1 - percent / 100) ** (near.TREES * near.BRANCHES)
+    tail = lambda k: sum(math.comb(128, i) * (percent / 100) ** i * (1 - percent / 100) ** (128 - i) for i in range(k))
+    assert tail(least) <= trees / 2 < tail(least + 1)
+
+
 @pytest.mark.parametrize("block, large, width, percent", [(1024, 4096, 3, 85), (4, 8, 5, 80)])
 def test_near_copies(spark, monkeypatch, block, large, width, percent):
     monkeypatch.setattr(near, "BLOCK", block)
