@@ -90,6 +90,32 @@ def expected_counts(words: DataFrame, logp: dict[str, float]) -> DataFrame:
     return parts.groupBy("piece").agg(F.sum("expected").alias("expected"))
 
 
+def expected_counts_of_table(words: DataFrame, counts: DataFrame, longest: int) -> DataFrame:
+    """E-step from counts `(piece, freq)` in a table of any size: no piece table on the driver or in a task.
+
+    A word meets the pieces that are its own substrings; words without a segmentation give nothing.
+    """
+    total = counts.agg(F.sum(F.col("freq").cast("double")).alias("total"))
+    logp = counts.crossJoin(F.broadcast(total)).select("piece", (F.log(F.col("freq").cast("double")) - F.log("total")).alias("logp"))
+    n = F.length("word")
+    starts = words.select("word", "freq", F.explode(F.sequence(F.lit(1), n)).alias("s"))
+    ends = starts.select(
+        "word", "freq", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("s") + 1))).alias("n")
+    ).select("word", "freq", F.substring("word", F.col("s"), F.col("n")).alias("piece")).distinct()
+    own = ends.join(logp, "piece").groupBy("word", "freq").agg(F.collect_list(F.struct("piece", "logp")).alias("pieces"))
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sums: dict[str, float] = {}
+            for word, freq, pieces in zip(batch["word"], batch["freq"], batch["pieces"]):
+                for piece, share in _expected(word, {p["piece"]: p["logp"] for p in pieces}, longest):
+                    sums[piece] = sums.get(piece, 0.0) + share * freq
+            yield pd.DataFrame({"piece": pd.Series(list(sums), dtype=str), "expected": pd.Series(list(sums.values()), dtype=float)})
+
+    parts = own.mapInPandas(count, "piece string, expected double")
+    return parts.groupBy("piece").agg(F.sum("expected").alias("expected"))
+
+
 def log_shares(counts: dict[str, float]) -> dict[str, float]:
     total = math.log(sum(counts.values()))
     return {piece: math.log(c) - total for piece, c in counts.items()}

@@ -458,8 +458,7 @@ EXPECTED_SQL = rf"""WITH RECURSIVE {OCCURRENCES_SQL},
 def k04_expected(spark, d):
     table_of_words = words.word_table(docs(spark, d), X.letter_words(F.col("text"))).select("word", "freq")
     counts = unigram.substring_counts(table_of_words, 3).filter((F.length("piece") == 1) | (F.col("freq") > 1))
-    shares = unigram.log_shares({r.piece: float(r.freq) for r in counts.collect()})  # at most a few letters' combinations
-    return unigram.expected_counts(table_of_words, shares).select("piece", F.round("expected", 2).alias("expected"))
+    return unigram.expected_counts_of_table(table_of_words, counts, 3).select("piece", F.round("expected", 2).alias("expected"))
 
 
 @query("K04_unigram_train")

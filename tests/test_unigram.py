@@ -71,3 +71,19 @@ def test_registered_training_takes_the_defaults(spark, monkeypatch):
     singles = table.select(F.explode(F.split("word", "")).alias("c")).filter("c <> ''").distinct().count()
     assert taken == [100_000] and rounds[0] == singles + min(seeds, 100_000) and len(rounds) % 2 == 0
     assert len(rows) <= 3_000 and [r.id for r in rows] == list(range(len(rows)))
+
+
+def test_expected_counts_need_no_piece_table(spark, monkeypatch):
+    freq = {"lower": 5, "lowest": 3, "newer": 6, "你好嗎": 4, "x": 1}
+    table = spark.createDataFrame(list(freq.items()), "word string, freq bigint")
+    counts = unigram.substring_counts(table, 3).filter("length(piece) = 1 or freq > 1")
+    shares = unigram.log_shares({r.piece: float(r.freq) for r in counts.collect()})
+    want = {r.piece: r.expected for r in unigram.expected_counts(table, shares).collect()}
+    got = {r.piece: r.expected for r in unigram.expected_counts_of_table(table, counts, 3).collect()}
+    assert set(got) == set(want) and all(abs(got[p] - want[p]) < 1e-9 for p in want)
+
+    def refuse(*_):
+        raise AssertionError("the pieces came to the driver")
+
+    monkeypatch.setattr(unigram, "log_shares", refuse)
+    assert entry_point.queries()["K04_expected_counts"](spark, SF).count() > 100
