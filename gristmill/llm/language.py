@@ -2,9 +2,10 @@
 
 Features are hashed n-grams of 1 to 4 lower-cased characters of the whole text. Document frequencies
 are counted over all learning rows. The weights are fitted by follow-the-regularised-leader with
-elastic-net penalties, which leaves most of them zero, on at most SAMPLE rows (those with the least
-hash of the id); a temperature, fitted on a part of the sample that the weights have not seen, makes
-the probabilities honest.
+elastic-net penalties, which leaves most of them zero, on a sample: of each language of the learning
+rows those with the least hash of the id, SAMPLE divided by the number of languages of them, LEAST at
+least. The shares of the languages among all learning rows correct the balance of the sample; a
+temperature, fitted on a part of the sample that the weights have not seen, makes the probabilities honest.
 """
 
 from __future__ import annotations
@@ -14,15 +15,17 @@ import re
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import bounded_batches, hash_sample
+from gristmill.llm.common import bounded_batches
 from gristmill.llm.suffix import _mix
 from gristmill.llm.toxicity import fold
 
 CELLS = 1 << 15
 ORDERS = (1, 2, 3, 4)
 SAMPLE = 4_000
+LEAST = 50
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.002, 0.0005
 UNKNOWN = "und"
@@ -138,8 +141,21 @@ def _document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
     return int(out[CELLS]), out[:CELLS]
 
 
+def _sampled(learning: DataFrame, totals: dict[str, int], size: int) -> DataFrame:
+    """Up to `size` rows of each language, those with the least hash of the id; about twice as many come to the ranking."""
+    span = 1 << 30
+    spark = learning.sparkSession
+    shares = spark.createDataFrame(
+        [(lang, min(span, -(-(2 * size + 64) * span // n))) for lang, n in totals.items()], "_lang string, _share bigint"
+    )
+    rank = F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(span))
+    near = learning.withColumn("_rank", rank).join(F.broadcast(shares), "_lang").filter(F.col("_rank") < F.col("_share"))
+    order = W.partitionBy("_lang").orderBy("_rank", "_id", "_text")
+    return near.withColumn("_no", F.row_number().over(order)).filter(F.col("_no") <= size).select("_lang", "_text", "_no")
+
+
 def fit(learning: DataFrame, sample: int = SAMPLE) -> Model:
-    """Train on (_id, _text, _lang) without nulls; the driver gets the features of at most `sample` rows."""
+    """Train on (_id, _text, _lang) without nulls, on all languages of it; the driver gets the features of the sample."""
     spark = learning.sparkSession
     rows, frequency = _document_frequencies(learning)
     idf = np.log((1 + rows) / (1 + frequency)) + 1
@@ -148,28 +164,33 @@ def fit(learning: DataFrame, sample: int = SAMPLE) -> Model:
         for batch in batches:
             found = [counts_of(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([c.tolist() for c, _ in found], pa.list_(pa.int32())), pa.array([n.tolist() for _, n in found], pa.list_(pa.int32()))],
-                names=["_lang", "_cells", "_counts"],
+                [batch.column(0), batch.column(2), pa.array([c.tolist() for c, _ in found], pa.list_(pa.int32())), pa.array([n.tolist() for _, n in found], pa.list_(pa.int32()))],
+                names=["_lang", "_no", "_cells", "_counts"],
             )
 
     bounded_batches(spark)
-    chosen = hash_sample(learning, "_id", sample, rows, 3).select("_lang", "_text")
-    taken = chosen.mapInArrow(run, "_lang string, _cells array<int>, _counts array<int>").collect()
-    languages = sorted({r["_lang"] for r in taken})
+    totals = {r[0]: r[1] for r in learning.groupBy("_lang").count().collect()}  # one row a language
+    languages = sorted(totals)
+    if not languages:
+        return Model([], idf, np.zeros((CELLS, 1)), np.zeros(1), 1.0)
+    chosen = _sampled(learning, totals, max(LEAST, sample // len(languages)))
+    taken = chosen.mapInArrow(run, "_lang string, _no int, _cells array<int>, _counts array<int>").collect()
+    taken.sort(key=lambda r: (r["_no"], r["_lang"]))  # the same order wherever tasks ran
     number = {lang: i for i, lang in enumerate(languages)}
     features = []
     for r in taken:
         cells = np.array(r["_cells"], np.int64)
         features.append((cells, tf_idf(cells, np.array(r["_counts"], np.int64), idf)))
     labels = np.array([number[r["_lang"]] for r in taken], np.int64)
-    if not languages:
-        return Model([], idf, np.zeros((CELLS, 1)), np.zeros(1), 1.0)
-    calibrating = np.arange(len(features)) % 5 == 4
+    calibrating = np.array([r["_no"] % 5 == 0 for r in taken])  # within each language; its first four rows are learnt
     inside = np.flatnonzero(~calibrating)
     weights, bias = fit_ftrl([features[i] for i in inside], labels[inside], len(languages))
     held = np.flatnonzero(calibrating)
     logits = np.array([features[i][1] @ weights[features[i][0]] + bias for i in held]).reshape(len(held), len(languages))
-    return Model(languages, idf, weights, bias, fit_temperature(logits, labels[held]))
+    temperature = fit_temperature(logits, labels[held])
+    # Shares of all rows against those of the sample, in honest logits: hence times the temperature.
+    shift = np.log([totals[lang] / rows for lang in languages]) - np.log(np.bincount(labels, minlength=len(languages)) / len(labels))
+    return Model(languages, idf, weights, bias + temperature * shift, temperature)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -311,6 +311,17 @@ def test_language(spark, docs, none):
     assert language.held_out_languages(docs).count() == len(TEXTS) and language.held_out_languages(none).count() == 0
 
 
+def test_rare_languages_are_learnt(spark):
+    draw = random.Random(2)
+    of = lambda words: " ".join(draw.choices(words.split(), k=25))
+    rows = [(i, of("the and of to house water day night"), "en") for i in range(9_000)]
+    rows += [(20_000 + i, of("szybko zawsze dzień noc woda dom żółty już"), "pl") for i in range(12)]
+    learning = spark.createDataFrame(rows, "_id bigint, _text string, _lang string")
+    model = language.fit(learning, sample=60)
+    assert model.languages == ["en", "pl"]
+    assert model.predict(of("noc woda dom żółty szybko"))[0] == "pl" and model.predict(of("the house night day"))[0] == "en"
+
+
 def test_temperature_and_sparsity():
     draw = np.random.default_rng(0)
     logits = draw.normal(size=(4000, 3))
