@@ -172,6 +172,15 @@ def test_wordpiece_and_unigram_cover_the_corpus(spark, docs):
     assert unseen.select(unigram.unigram_encoder(spark, uni)(F.col("word"))).first()[0] == [3]
 
 
+def test_300_merges_of_the_corpus(spark, docs):
+    counts: dict[str, int] = {}
+    for r in docs.select("doc_id", X.pretokens(F.col("text")).alias("w")).orderBy("doc_id").collect():
+        for w in r.w:
+            counts[w] = counts.get(w, 0) + 1
+    rules = bpe.train_bpe(words.word_table(docs), 260 + 300)
+    assert [(m.left, m.right, m.freq) for m in rules.merges] == one_at_a_time(counts, 300)
+
+
 def test_whole_preprocessing(spark, tmp_path):
     source = spark.read.parquet(f"{SF}/documents.parquet")
     out = preprocess(source, "doc_id", str(tmp_path / "out"), vocab_size=280, length=32)
