@@ -1,11 +1,11 @@
-"""The ten registered queries, the pipeline, and their SQL where SQL can say the same."""
+"""The registered queries of the operators, the pipeline, and their SQL where SQL can say the same."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from gristmill.llm import codec, exact, fingerprints, language, licences, near, packing, sharding, suffix, toxicity
+from gristmill.llm import codec, conversations, exact, fingerprints, grouptree, language, licences, near, packing, sharding, suffix, toxicity, whitening
 from gristmill.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -112,11 +112,19 @@ SELECT s.doc_id, len(s.s) AS n_shingles, c.component_id, s.doc_id = c.component_
 """
 
 
+JACCARD_SQL = NEAR_SQL.replace("85 *", "90 *").replace(", s.doc_id = c.component_id AS kept", "")
+
+
 @query("op10_near_dedup", NEAR_SQL)
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_copies(documents(spark, sf_dir), width=3, percent=85)
 
 
+@query("op12_jaccard_join", JACCARD_SQL)
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grouptree.jaccard_components(documents(spark, sf_dir), width=3, percent=90)
+
+
 @query("op3_license_scan")
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(documents(spark, sf_dir)).drop("detections")
@@ -142,4 +150,45 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.held_out_scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+@query("op11_embedding_whitening")
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+TRIE_SQL = """
+WITH ids AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL),
+codes AS (SELECT c, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten([[ord(x), -1, -1, -1, -1, -1, -1, -1, -1] FOR x IN
+        string_split(c::VARCHAR, '')])), lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384)
+        ELSE a >> 1 END), 4294967295) % 9 AS h FROM ids),
+t AS (
+    SELECT conv_id AS c, struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) AS t, row_number() OVER (
+        PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+l AS (SELECT c, list(t ORDER BY p) AS l FROM t GROUP BY c),
+s AS (
+    SELECT codes.c, list_concat(coalesce(base.l[1:h], []), own.l[h + 1:]) AS s
+    FROM codes JOIN l AS own USING (c) LEFT JOIN l AS base ON base.c = codes.c - codes.c % 5
+),
+p AS (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM s),
+n AS (
+    SELECT s[1:d] AS k, d, min(c) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(s) = d), '')) AS ends_sha256,
+           CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * strlen(any_value(s[d].x)) END AS saved
+    FROM p GROUP BY s[1:d], d
+),
+up AS (SELECT n.k[1:n.d - 1] AS k, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN up USING (k)),
+a AS (SELECT k, saved, n_children, unnest(range(0, d + 1)) AS e FROM m),
+u AS (SELECT k[1:e] AS k, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM a GROUP BY k[1:e])
+SELECT m.conv_id, m.d AS depth, parent.conv_id AS parent_conv_id, m.n_convs, m.n_children, u.n_leaves, u.saved_tokens, m.ends_sha256
+FROM m JOIN u USING (k) LEFT JOIN n AS parent ON m.d > 0 AND parent.d = m.d - 1 AND parent.k = m.k[1:m.d - 1]
+"""
+
+
+@query("op13_conversation_trie", TRIE_SQL)
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
