@@ -8,10 +8,11 @@ sizes don't fit. Pairs of points that survive are verified on the full sets.
 
 One tree over all documents would not do: points of unrelated sets of n shingles lie about sqrt(GROUPS * n)
 apart, linked ones up to n / 10, so boxes of long texts overlap and the join is quadratic. Trees are
-therefore built per shard. Shingles are ordered by how many documents their hash bucket has, rare ones first;
-linked sets share one of their first n - ceil(percent * n / 100) + 1 shingles, so every linked pair meets in the
-shard of such a shingle. Most shards have one member and go at once, and of shards with the same members
-one stays.
+therefore built per shard. Shingles are ordered by how many documents have them, hot ones last (the most
+frequent ones are told apart by a table of bounded size; any order gives the same links). Linked sets share
+one of their first n - ceil(percent * n / 100) + 1 shingles, so every linked pair meets in the shard of such
+a shingle. Members of a shard are parted by size, so most shards have one member and go at once, and of
+shards with the same members one stays.
 
 A shard of up to `SHARD` members is one unit: its tree gives the members that may have a partner, their sets
 are fetched, and all pairs that survive the tree and are not connected yet are verified. Pairs that share a
@@ -23,10 +24,10 @@ members outside its largest component meet all others block by block, and only t
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +38,8 @@ from gristmill.llm.shingles import shingle_hashes
 GROUPS = 64
 # Members of a unit, and shingles that its sets have together unless it holds fewer than two members.
 SHARD, SHARD_SHINGLES = 1_024, 4 << 20
-# Hash buckets in which the documents of a shingle are counted, counters of a part, and parts summed at a time.
-BUCKETS, PART, FAN = 1 << 21, 1 << 12, 64
+# Documents from which a shingle counts as hot, hot shingles that are told apart at most, and cells of their table.
+HOT, MOST_HOT, CELLS = 4, 1 << 22, 1 << 25
 # Points of a leaf of the tree, and boxes of a node.
 LEAF, BOXES = 16, 8
 # Bits of the filter that keeps texts without a possible partner out of the exchange.
@@ -122,40 +123,58 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def _bucket(shingles: np.ndarray) -> np.ndarray:
-    return (shingles & _U(BUCKETS - 1)).astype(np.int64)
+    return (shingles >> _U(32)).astype(np.uint32)
 
 
-def _frequency_classes(steps: Steps, texts: DataFrame, width: int) -> np.ndarray:
-    """For each hash bucket the binary logarithm of how often documents have a shingle of it, one byte a bucket."""
+def _counted(texts: DataFrame, width: int, bits: int) -> DataFrame:
+    """(_bucket, _class): 32-bit buckets of shingles that `HOT` documents or more have, and the binary logarithm of how many.
 
-    def count(batches):
-        total = np.zeros(BUCKETS, np.uint32)
+    A task sends the sorted buckets of its documents as differences, one row for each of 2 ** bits ranges.
+    """
+    low = np.uint32(32 - bits)
+
+    def cut(batches):
         for batch in batches:
-            found = [_bucket(shingle_hashes(t, width)) for t in batch.column(0).to_pylist()]
-            total += np.bincount(np.concatenate(found), minlength=BUCKETS).astype(np.uint32) if found else 0
-        yield from parts(TaskContext.get().partitionId(), total.reshape(-1, PART), range(BUCKETS // PART))
+            found = np.sort(np.concatenate([np.empty(0, np.uint32), *[_bucket(shingle_hashes(t, width)) for t in batch.column(0).to_pylist()]]))
+            starts = _starts(found >> low) if len(found) else []
+            packed = [np.diff(found[a:b], prepend=np.uint32(0)).tobytes() for a, b in starts]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(found[a] >> low) for a, _ in starts], pa.int64()), pa.array(packed, pa.binary())], names=["_range", "_packed"]
+            )
 
-    def parts(task, rows, at):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([task] * len(rows), pa.int64()), pa.array(at, pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary())], names=["_task", "_at", "_counts"]
-        )
+    def count(batches):
+        for table in whole_groups(batches):
+            at = table.column(0).to_numpy()
+            for a, b in _starts(at):
+                parts = [np.cumsum(np.frombuffer(raw.as_py(), np.uint32), dtype=np.uint32) for raw in table.column(1).slice(a, b - a)]
+                bucket, n = np.unique(np.concatenate(parts), return_counts=True)
+                hot = n >= HOT
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bucket[hot].astype(np.int64)), pa.array(np.log2(n[hot]).astype(np.int32))], names=["_bucket", "_class"]
+                )
 
-    def merged(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(raw.as_py(), np.uint32).astype(np.int64) for raw in table.column("_counts"))
-        counts = np.minimum(total, 2**32 - 1).astype(np.uint32)
-        return pa.table({"_task": [table.column("_group")[0].as_py()], "_at": table.column("_at")[:1], "_counts": pa.array([counts.tobytes()], pa.binary())})
+    ranges = texts.select("_text").mapInArrow(cut, "_range bigint, _packed binary")
+    return ranges.repartition("_range").sortWithinPartitions("_range").mapInArrow(count, "_bucket bigint, _class int")
 
-    schema = "_task bigint, _at int, _counts binary"
-    level, at = steps.keep("counts-0", texts.select("_text").mapInArrow(count, schema)), 0
-    while level.agg(F.max("_task")).first()[0] not in (0, None):
-        grouped = level.withColumn("_group", F.floor(F.col("_task") / FAN)).groupBy("_at", "_group").applyInArrow(merged, schema)
-        level, at = steps.keep(f"counts-{at + 1}", grouped), at + 1
-        steps.drop(f"counts-{at - 1}")
-    found = np.zeros((BUCKETS // PART, PART), np.uint8)
-    for r in level.select("_at", "_counts").toLocalIterator():
-        found[r["_at"]] += np.ceil(np.log2(np.frombuffer(bytes(r["_counts"]), np.uint32) + 1.0)).astype(np.uint8)
-    steps.drop(f"counts-{at}")
-    return found.ravel()
+
+def _frequency_classes(steps: Steps, texts: DataFrame, width: int) -> np.ndarray:
+    """One byte for each of `CELLS` cells of buckets: how frequent its most frequent shingle is, 0 where none is hot.
+
+    Documents of a shingle are counted over the whole corpus; the table has the most frequent ones, at most `MOST_HOT`.
+    """
+    bits = min(20, max(6, (4 * texts.rdd.getNumPartitions()).bit_length()))
+    hot = steps.keep("hot", _counted(texts, width, bits))
+    least, room = 64, MOST_HOT
+    for r in sorted(hot.groupBy("_class").agg(F.count(F.lit(1)).alias("_n")).collect(), reverse=True):
+        room -= r["_n"]
+        if room < 0:
+            break
+        least = r["_class"]
+    rows = hot.filter(F.col("_class") >= least).toArrow()
+    table = np.zeros(CELLS, np.uint8)
+    np.maximum.at(table, rows.column(0).to_numpy() * CELLS >> 32, rows.column(1).to_numpy().astype(np.uint8))
+    steps.drop("hot")
+    return table
 
 
 def _sketches(texts: DataFrame, classes, width: int, percent: int) -> DataFrame:
@@ -169,7 +188,7 @@ def _sketches(texts: DataFrame, classes, width: int, percent: int) -> DataFrame:
                 sizes.append(len(s))
                 sets.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 points.append(point(s).tobytes())
-                order = (classes.value[_bucket(s)].astype(np.uint64) << _U(58)) | (s >> _U(6))
+                order = (classes.value[(_bucket(s).astype(np.int64) * CELLS) >> 32].astype(np.uint64) << _U(58)) | (s >> _U(6))
                 firsts.append(s[np.argsort(order, kind="stable")[: prefix_length(len(s), percent)]].view(np.int64))
             ends = np.cumsum([0, *map(len, firsts)])
             yield pa.RecordBatch.from_arrays(
@@ -183,15 +202,25 @@ def _sketches(texts: DataFrame, classes, width: int, percent: int) -> DataFrame:
     return texts.select("_doc", "_text").mapInArrow(run, "_doc bigint, _n bigint, _set binary, _point binary, _first array<bigint>")
 
 
-def _shards(steps: Steps, firsts: DataFrame) -> DataFrame:
-    """(_shard, _doc, _size, _weight, _pivot) of the shards with several members, each set of members once."""
-    postings = firsts.select(F.explode("_first").alias("_shard"), "_doc", "_n")
-    sizes = postings.groupBy("_shard").agg(
+def _shards(steps: Steps, firsts: DataFrame, percent: int) -> DataFrame:
+    """(_shard, _doc, _size, _weight, _pivot) of the shards with several members, each set of members once.
+
+    A shard has the documents of one shingle whose sizes lie in two neighbouring levels. A level is as wide as the sizes
+    of linked sets may differ, so each document stands in two shards of a shingle and each linked pair meets in one.
+    """
+    postings = firsts.select(F.explode("_first").alias("_shingle"), "_doc", "_n")
+    shared = postings.groupBy("_shingle").agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1").select("_shingle")
+    level = F.floor(F.log("_n") / (math.log(100 / percent) * (1 + 1e-9)))
+    rows = postings.join(shared, "_shingle").select(F.explode(F.array(level, level + 1)).alias("_level"), "_shingle", "_doc", "_n").select(
+        F.xxhash64("_shingle", "_level").alias("_shard"), "_doc", "_n"
+    )
+    rows = steps.keep("levels", rows)
+    sizes = rows.groupBy("_shard").agg(
         F.count(F.lit(1)).alias("_size"), F.sum("_n").alias("_weight"), F.min("_doc").alias("_pivot"), F.max("_doc").alias("_top"),
         F.bit_xor(F.xxhash64("_doc", F.lit(1))).alias("_x"), F.bit_xor(F.xxhash64("_doc", F.lit(2))).alias("_y"),
     ).filter("_size > 1")
-    kept = steps.keep("shards", sizes.groupBy("_size", "_weight", "_pivot", "_top", "_x", "_y").agg(F.min("_shard").alias("_shard")))
-    return steps.keep("members", postings.join(kept.select("_shard", "_size", "_weight", "_pivot"), "_shard").drop("_n"))
+    kept = sizes.groupBy("_size", "_weight", "_pivot", "_top", "_x", "_y").agg(F.min("_shard").alias("_shard"))
+    return steps.keep("members", rows.join(kept.select("_shard", "_size", "_weight", "_pivot"), "_shard").drop("_n"))
 
 
 def _blocks():
@@ -314,7 +343,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sketches = steps.keep("sketches", _sketches(texts, classes, width, percent))
     firsts = steps.keep("firsts", sketches.filter("_n > 0").groupBy("_set").agg(F.min("_doc").alias("_first")))
     different = sketches.join(firsts.select(F.col("_first").alias("_doc")), "_doc", "left_semi")
-    members = _shards(steps, different.select("_doc", "_n", "_first").filter(F.size("_first") > 0))
+    members = _shards(steps, different.select("_doc", "_n", "_first").filter(F.size("_first") > 0), percent)
+    steps.drop("levels")
 
     # Small shards as they are, larger ones in blocks with their first member.
     whole = _blocks() == 1
@@ -357,7 +387,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         steps.drop()
         labels = components(links.unionByName(more))
 
-    steps.drop("shards", "members", "points", "possible", "links", "large", "possible-large", "links-large")
+    steps.drop("members", "points", "possible", "links", "large", "possible-large", "links-large")
     named = firsts.join(labels, firsts["_first"] == labels["_doc"], "left").select("_set", F.coalesce("_label", "_first").alias("_component"))
     rows = sketches.select("_doc", "_n", F.when(F.col("_n") > 0, F.col("_set")).alias("_set")).join(named, "_set", "left").select(
         "_doc", "_n", F.coalesce("_component", "_doc").alias("_component")
