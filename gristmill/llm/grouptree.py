@@ -28,12 +28,14 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.llm.common import Steps, bounded_batches, keyed, whole_groups
 from gristmill.llm.near import components
 from gristmill.llm.shingles import shingle_hashes
+from gristmill.session import broadcast_if_small
 
 GROUPS = 64
 # Members of a unit, and shingles that its sets have together unless it holds fewer than two members.
@@ -42,6 +44,8 @@ SHARD, SHARD_SHINGLES = 1_024, 4 << 20
 HOT, MOST_HOT, CELLS = 4, 1 << 22, 1 << 25
 # Points of a leaf of the tree, and boxes of a node.
 LEAF, BOXES = 16, 8
+# Shingles whose buckets a task sorts and packs together.
+PACKED = 1 << 22
 # Bits of the filter that keeps texts without a possible partner out of the exchange.
 FILTER_BITS = 1 << 24
 
@@ -126,27 +130,50 @@ def _bucket(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> _U(32)).astype(np.uint32)
 
 
+def _packed(ascending: np.ndarray) -> bytes:
+    """Differences of ascending numbers, their bytes by significance, compressed."""
+    steps = np.diff(ascending, prepend=np.uint32(0))
+    return zstandard.ZstdCompressor(level=1).compress(steps.view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint32).ravel(), dtype=np.uint32)
+
+
 def _counted(texts: DataFrame, width: int, bits: int) -> DataFrame:
     """(_bucket, _class): 32-bit buckets of shingles that `HOT` documents or more have, and the binary logarithm of how many.
 
-    A task sends the sorted buckets of its documents as differences, one row for each of 2 ** bits ranges.
+    A task sends the sorted buckets of some million shingles as packed differences, one row for each of 2 ** bits ranges.
     """
     low = np.uint32(32 - bits)
 
+    def ranges_of(held):
+        found = np.sort(np.concatenate(held))
+        starts = _starts(found >> low)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([int(found[a] >> low) for a, _ in starts], pa.int64()), pa.array([_packed(found[a:b]) for a, b in starts], pa.binary())],
+            names=["_range", "_packed"],
+        )
+
     def cut(batches):
+        held, n = [], 0
         for batch in batches:
-            found = np.sort(np.concatenate([np.empty(0, np.uint32), *[_bucket(shingle_hashes(t, width)) for t in batch.column(0).to_pylist()]]))
-            starts = _starts(found >> low) if len(found) else []
-            packed = [np.diff(found[a:b], prepend=np.uint32(0)).tobytes() for a, b in starts]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int(found[a] >> low) for a, _ in starts], pa.int64()), pa.array(packed, pa.binary())], names=["_range", "_packed"]
-            )
+            for text in batch.column(0).to_pylist():
+                if len(bucket := _bucket(shingle_hashes(text, width))):
+                    held.append(bucket)
+                    n += len(bucket)
+                if n >= PACKED:
+                    yield ranges_of(held)
+                    held, n = [], 0
+        if held:
+            yield ranges_of(held)
 
     def count(batches):
         for table in whole_groups(batches):
             at = table.column(0).to_numpy()
             for a, b in _starts(at):
-                parts = [np.cumsum(np.frombuffer(raw.as_py(), np.uint32), dtype=np.uint32) for raw in table.column(1).slice(a, b - a)]
+                parts = [_unpacked(raw.as_py()) for raw in table.column(1).slice(a, b - a)]
                 bucket, n = np.unique(np.concatenate(parts), return_counts=True)
                 hot = n >= HOT
                 yield pa.RecordBatch.from_arrays(
@@ -178,15 +205,24 @@ def _frequency_classes(steps: Steps, texts: DataFrame, width: int) -> np.ndarray
 
 
 def _sketches(texts: DataFrame, classes, width: int, percent: int) -> DataFrame:
-    """(_doc, _n, _set, _point, _first): size, digest, count vector and the shingles whose shards a set belongs to."""
+    """(_doc, _n, _set, _point, _first): size, digest, count vector and the shingles whose shards a set belongs to.
+
+    Of equal sets in a batch only the one with the least `_doc` has the last two.
+    """
 
     def run(batches):
         for batch in batches:
-            sizes, sets, points, firsts = [], [], [], []
+            batch = batch.sort_by("_doc")
+            sizes, sets, points, firsts, seen = [], [], [], [], set()
             for text in batch.column(1).to_pylist():
                 s = shingle_hashes(text, width)
                 sizes.append(len(s))
                 sets.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+                if sets[-1] in seen:
+                    points.append(None)
+                    firsts.append(np.empty(0, np.int64))
+                    continue
+                seen.add(sets[-1])
                 points.append(point(s).tobytes())
                 order = (classes.value[(_bucket(s).astype(np.int64) * CELLS) >> 32].astype(np.uint64) << _U(58)) | (s >> _U(6))
                 firsts.append(s[np.argsort(order, kind="stable")[: prefix_length(len(s), percent)]].view(np.int64))
@@ -202,19 +238,21 @@ def _sketches(texts: DataFrame, classes, width: int, percent: int) -> DataFrame:
     return texts.select("_doc", "_text").mapInArrow(run, "_doc bigint, _n bigint, _set binary, _point binary, _first array<bigint>")
 
 
-def _shards(steps: Steps, firsts: DataFrame, percent: int) -> DataFrame:
+def _shards(steps: Steps, sketches: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
     """(_shard, _doc, _size, _weight, _pivot) of the shards with several members, each set of members once.
 
     A shard has the documents of one shingle whose sizes lie in two neighbouring levels. A level is as wide as the sizes
     of linked sets may differ, so each document stands in two shards of a shingle and each linked pair meets in one.
     """
-    postings = firsts.select(F.explode("_first").alias("_shingle"), "_doc", "_n")
+    postings = sketches.select(F.explode("_first").alias("_shingle"), "_doc", "_n")
     shared = postings.groupBy("_shingle").agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1").select("_shingle")
     level = F.floor(F.log("_n") / (math.log(100 / percent) * (1 + 1e-9)))
-    rows = postings.join(shared, "_shingle").select(F.explode(F.array(level, level + 1)).alias("_level"), "_shingle", "_doc", "_n").select(
+    # An inner join, as Spark would put a semi join below the explode and shuffle all prefixes for it.
+    rows = postings.join(shared, "_shingle").join(firsts.select(F.col("_first").alias("_doc")), "_doc").select(F.explode(F.array(level, level + 1)).alias("_level"), "_shingle", "_doc", "_n").select(
         F.xxhash64("_shingle", "_level").alias("_shard"), "_doc", "_n"
     )
     rows = steps.keep("levels", rows)
+    steps.drop()
     sizes = rows.groupBy("_shard").agg(
         F.count(F.lit(1)).alias("_size"), F.sum("_n").alias("_weight"), F.min("_doc").alias("_pivot"), F.max("_doc").alias("_top"),
         F.bit_xor(F.xxhash64("_doc", F.lit(1))).alias("_x"), F.bit_xor(F.xxhash64("_doc", F.lit(2))).alias("_y"),
@@ -316,7 +354,7 @@ def _verified(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 out += links(doc[a:b], label[a:b], sets)
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["_u", "_v"])
 
-    rows = members.join(sets, "_doc").select("_unit", "_doc", "_label", "_shingles")
+    rows = broadcast_if_small(members).join(sets, "_doc").select("_unit", "_doc", "_label", "_shingles")
     return rows.repartition("_unit").sortWithinPartitions("_unit").mapInArrow(run, "_u bigint, _v bigint")
 
 
@@ -342,8 +380,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = spark.sparkContext.broadcast(_frequency_classes(steps, texts, width))
     sketches = steps.keep("sketches", _sketches(texts, classes, width, percent))
     firsts = steps.keep("firsts", sketches.filter("_n > 0").groupBy("_set").agg(F.min("_doc").alias("_first")))
-    different = sketches.join(firsts.select(F.col("_first").alias("_doc")), "_doc", "left_semi")
-    members = _shards(steps, different.select("_doc", "_n", "_first").filter(F.size("_first") > 0), percent)
+    members = _shards(steps, sketches, firsts, percent)
     steps.drop("levels")
 
     # Small shards as they are, larger ones in blocks with their first member.
@@ -353,7 +390,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     place = F.when(F.col("_doc") == F.col("_pivot"), F.transform(F.sequence(F.lit(0).cast("bigint"), _blocks() - 1), of)).otherwise(F.array(of(own)))
     small = F.filter(F.col("_own"), lambda s: s < F.when(whole, F.col("_shard")).otherwise(F.lit((1 << 63) - 1)))
     mine = members.filter(whole).groupBy("_doc").agg(F.collect_list("_shard").alias("_own"))
-    points = different.select("_doc", "_point").join(members.select("_doc").distinct(), "_doc", "left_semi")
+    points = sketches.select("_doc", "_point").join(members.select("_doc").distinct(), "_doc", "left_semi")
     known = steps.keep("points", points.join(mine, "_doc", "left"))
     units = members.join(known, "_doc").select(F.explode(place).alias("_unit"), "_doc", F.col("_doc").alias("_label"), "_point", small.alias("_less"))
     possible = steps.keep("possible", _possible(units, percent))
