@@ -1,14 +1,24 @@
-"""Learning merge rules: one Spark aggregation per round, several exact merges per round.
+"""Learning merge rules: one Spark aggregation per round, many exact merges per round.
 
 A word is a string with one character per symbol: code point 0-255 for the bytes, higher
 ones for merged symbols. Replacing a two-character string left to right is then exactly
 "merge this pair without overlap", and runs inside Spark's own `replace`.
+
+A round counts all pairs and lists the most frequent ones. While these are widespread, it merges several that
+can't influence each other (`choose_merges`) on all words. Once many of them occur in few distinct words
+together, it fetches these words and merges on, one pair after the other, as long as they decide what comes
+next (`merge_ahead`): an index leads from a pair to its words, and only words of a merged pair take counts from
+their old pairs and give them to the new ones.
 """
 
 from __future__ import annotations
 
+import heapq
+import itertools
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +29,10 @@ from gristmill.operators.blocks import number_in_order
 from gristmill.operators.words import pair_table, top_pairs
 from gristmill.session import cut_lineage, spread
 
-CANDIDATES = 512
+# Pairs that are listed.
+CANDIDATES = 4_096
+# Occurrences in distinct words that a round on the driver takes at most, and pairs for which it is worth while.
+AHEAD, AHEAD_PAIRS = 50_000, 32
 MERGES_PER_CUT = 32
 
 MERGE_SCHEMA = T.StructType([
@@ -79,19 +92,17 @@ def joined(left: bytes, right: bytes, prefix: bytes = b"") -> bytes:
     return left + (right[len(prefix):] if prefix and right.startswith(prefix) else right)
 
 
-def choose_merges(listed: list[tuple[str, int]], complete: bool, token_of, known: set[bytes], limit: int):
+def choose_merges(listed: list[tuple[str, int]], floor: int, token_of, known: set[bytes], limit: int):
     """Pairs at the head of the list that one-at-a-time merging would take next, in order.
 
     A pair is taken while it shares no symbol with one already taken and makes a token not
     seen before. Merging can only lower the counts of pairs that share a symbol with it, and
     new pairs are at most as frequent as such a pair, so every taken pair must be strictly
-    more frequent than all of them. Pairs below the end of an incomplete list are at most as
-    frequent as its last one. A pair of equal symbols overlaps itself and ends the round.
+    more frequent than all of them. Pairs that aren't listed are at most as frequent as `floor`. A pair of equal symbols overlaps itself and ends the round.
     """
     taken: list[tuple[str, int, bytes]] = []
     used: set[str] = set()
     made: set[bytes] = set()
-    floor = 0 if complete else listed[-1][1]
     for pair, freq in listed[:limit]:
         token = token_of(pair)
         fresh = token not in known and token not in made
@@ -128,6 +139,93 @@ def numbered(words: DataFrame, order=("first",), place: str = "place") -> DataFr
     return number_in_order(words, list(order), place)
 
 
+def having(words: DataFrame, pairs: list[str]) -> DataFrame:
+    """Words that contain one of the pairs. One pattern, so that the symbols are worked out once for each word."""
+    return words.filter(F.col("symbols").rlike("|".join("".join(f"\\x{{{ord(c):x}}}" for c in pair) for pair in pairs)))
+
+
+def merge_ahead(
+    words: list[tuple[str, int]], listed: list[tuple[str, int]], own: int, floor: int,
+    merge: Callable[[str, int], tuple[str, bool]], limit: int, ties: str,
+) -> dict[int, str]:
+    """Merge one pair after the other while the words at hand decide which one is next; the words that changed.
+
+    `words` are all words, in order of place, that contain one of the first `own` pairs of `listed`. Any pair
+    made by a merge occurs in these words only, so counts and first places of the own and the new pairs are
+    exact throughout. The other listed pairs only lose occurrences, all of them in these words, and a pair
+    that is not listed is at most as frequent as `floor`. The loop goes on while the most
+    frequent own pair is above all of them. `merge` records a pair and gives its symbol, and whether that
+    symbol is new; a symbol that other words may have ends the round.
+    """
+    split = [list(symbols) for symbols, _ in words]
+    count = dict(listed)
+    where: dict[str, set[int]] = {pair: set() for pair, _ in listed[:own]}
+    for i, w in enumerate(split):
+        for a, b in zip(w, w[1:]):
+            if a + b in where:
+                where[a + b].add(i)
+    mine = [(-count[pair], pair) for pair in where]
+    others = [(-freq, pair) for pair, freq in listed[own:]]
+    heapq.heapify(mine)
+    heapq.heapify(others)
+    changed: set[int] = set()
+
+    def best(heap) -> int:
+        while heap and -heap[0][0] != count[heap[0][1]]:
+            heapq.heappop(heap)
+        return -heap[0][0] if heap else 0
+
+    def place(pair: str):
+        if ties == "pair":
+            return pair
+        i = min(i for i in where[pair] if pair in map(str.__add__, split[i], split[i][1:]))
+        return i, next(k for k, p in enumerate(map(str.__add__, split[i], split[i][1:])) if p == pair)
+
+    while limit > 0:
+        freq = best(mine)
+        if freq <= max(best(others), floor):
+            break
+        tied = set()
+        while best(mine) == freq:
+            tied.add(heapq.heappop(mine)[1])
+        pair = min(tied, key=place) if len(tied) > 1 else next(iter(tied))
+        for other in tied - {pair}:
+            heapq.heappush(mine, (-freq, other))
+        symbol, fresh = merge(pair, freq)
+        limit -= 1
+        touched: set[str] = set()
+        for i in where.pop(pair):
+            w, joined_, k = split[i], [], 0
+            while k < len(w):
+                if k + 1 < len(w) and w[k] + w[k + 1] == pair:
+                    joined_.append(symbol)
+                    k += 2
+                else:
+                    joined_.append(w[k])
+                    k += 1
+            if len(joined_) == len(w):
+                continue  # lost its occurrence to an earlier merge
+            amount = words[i][1]
+            for p in map(str.__add__, w, w[1:]):
+                if p in count:
+                    count[p] -= amount
+                    touched.add(p)
+            for p in map(str.__add__, joined_, joined_[1:]):
+                if symbol in p and fresh:
+                    where.setdefault(p, set()).add(i)
+                    count.setdefault(p, 0)
+                if p in count:
+                    count[p] += amount
+                    touched.add(p)
+            split[i] = joined_
+            changed.add(i)
+        if not fresh:
+            break
+        for p in touched:
+            heapq.heappush(mine if p in where else others, (-count[p], p))
+    return {i: "".join(split[i]) for i in changed}
+
+
 def learn_merges(
     words: DataFrame, alphabet: dict[bytes, str], first_id: int, wanted: int, layout: Layout,
     prefix: bytes = b"", ties: str = "first", batch: bool = True,
@@ -140,33 +238,55 @@ def learn_merges(
     several = words.filter(F.length("symbols") > 1)
     base = numbered(several).select("symbols", "freq", "place").persist()
     pending: list[tuple[str, str]] = []
+
+    def merge(pair: str, freq: int) -> tuple[str, bool]:
+        nonlocal next_symbol
+        left, right = bytes_of[pair[0]], bytes_of[pair[1]]
+        token = joined(left, right, prefix)
+        rules.merges.append(Merge(left, right, first_id + len(rules.merges), freq))
+        fresh = token not in char_of
+        if fresh:
+            char_of[token] = symbol_char(next_symbol)
+            bytes_of[char_of[token]] = token
+            next_symbol += 1
+        return char_of[token], fresh
+
     while len(rules.merges) < wanted:
-        now = base.withColumn("symbols", merged_symbols(pending))
         if len(pending) >= MERGES_PER_CUT:
-            before, base = base, spread(cut_lineage(now.filter(F.length("symbols") > 1))).persist()
-            before.unpersist()
-            now, pending = base, []
+            base, pending = recut(base, base.withColumn("symbols", merged_symbols(pending))), []
+        now = base.withColumn("symbols", merged_symbols(pending))
         ask = CANDIDATES if batch else 1
-        top = top_pairs(pair_table(now), ask, ties).select("pair", "freq")
-        listed = [(r.pair, r.freq) for r in top.collect()]
-        if not listed:
+        top = top_pairs(pair_table(now, F.count(F.lit(1)).alias("places")), ask, ties).select("pair", "freq", "places").collect()
+        if not top:
             break
+        listed, floor = [(r.pair, r.freq) for r in top], top[-1].freq if len(top) == ask else 0
+        within = [i for i, places in enumerate(itertools.accumulate(r.places for r in top), start=1) if places <= AHEAD]
+        own = within[-1] if within and batch else 0
+        if own >= min(AHEAD_PAIRS, len(top)) > 0 and own:
+            near = having(now, [pair for pair, _ in listed[:own]]).toArrow().sort_by("place")
+            rows = list(zip(near.column("symbols").to_pylist(), near.column("freq").to_pylist()))
+            changed = merge_ahead(rows, listed, own, floor, merge, wanted - len(rules.merges), ties)
+            at = sorted(changed)
+            merged = pa.table({"place": near.column("place").take(pa.array(at, pa.int64())), "_new": pa.array([changed[i] for i in at], pa.string())})
+            merged = F.broadcast(base.sparkSession.createDataFrame(merged))  # at most AHEAD rows
+            base = recut(base, now.join(merged, "place", "left").select(F.coalesce("_new", "symbols").alias("symbols"), "freq", "place"))
+            pending = []
+            continue
         taken = choose_merges(
-            listed, len(listed) < ask, lambda p: joined(bytes_of[p[0]], bytes_of[p[1]], prefix),
-            set(char_of), wanted - len(rules.merges),
+            listed, floor, lambda p: joined(bytes_of[p[0]], bytes_of[p[1]], prefix), set(char_of), wanted - len(rules.merges)
         )
-        for pair, freq, token in taken:
-            left, right = bytes_of[pair[0]], bytes_of[pair[1]]
-            rules.merges.append(Merge(left, right, first_id + len(rules.merges), freq))
-            if token not in char_of:
-                char_of[token] = symbol_char(next_symbol)
-                bytes_of[char_of[token]] = token
-                next_symbol += 1
-            pending.append((pair, char_of[token]))
+        pending += [(pair, merge(pair, freq)[0]) for pair, freq, _ in taken]
     base.unpersist()
     return rules
 
 
+def recut(before: DataFrame, after: DataFrame) -> DataFrame:
+    """The words that still have pairs, written and kept instead of `before`."""
+    out = spread(cut_lineage(after.filter(F.length("symbols") > 1))).persist()
+    before.unpersist()
+    return out
+
+
 def train_bpe(words: DataFrame, vocab_size: int, layout: Layout = BYTES_FIRST, batch: bool = True) -> Rules:
     """Byte-level merges over `(word, freq, first)`; 256 bytes and 4 specials take the first 260 ids."""
     start = words.select(byte_string(F.col("word")).alias("symbols"), "freq", "first")

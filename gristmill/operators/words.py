@@ -42,18 +42,18 @@ def symbol_pairs(words: DataFrame, *carry: str) -> DataFrame:
     )
 
 
-def pair_table(words: DataFrame) -> DataFrame:
+def pair_table(words: DataFrame, *more: Column) -> DataFrame:
     """`(pair, freq, first)` over `(symbols, freq, place)`; words of one symbol give no rows.
 
     `first` packs the place of the earliest word having the pair and the index in it, so
-    the aggregate keeps two longs per pair.
+    the aggregate keeps two longs per pair. `more` are further aggregates.
     """
     at_bits = 25
     at = F.when(F.col("at") < 1 << at_bits, F.col("at")).otherwise(
         F.raise_error(F.lit("a word is too long to number its symbols")).cast("int")
     )
     return symbol_pairs(words, "freq", "place").groupBy("pair").agg(
-        F.sum("freq").alias("freq"), F.min(F.shiftleft("place", at_bits) + at).alias("first")
+        F.sum("freq").alias("freq"), F.min(F.shiftleft("place", at_bits) + at).alias("first"), *more
     )
 
 
