@@ -10,7 +10,6 @@ temperature, fitted on a part of the sample that the weights have not seen, make
 
 from __future__ import annotations
 
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,6 @@ ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.002, 0.0005
 UNKNOWN = "und"
 
 _U = np.uint64
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def counts_of(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -69,7 +67,7 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The likeliest language and its probability; `und` and 0 for a text that is null or has no letter."""
-        if not text or not self.languages or not _LETTER.search(text):
+        if not text or not self.languages or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         x = self.logits(text) / self.temperature
         p = np.exp(x - x.max())
@@ -157,6 +155,7 @@ def _sampled(learning: DataFrame, totals: dict[str, int], size: int) -> DataFram
 def fit(learning: DataFrame, sample: int = SAMPLE) -> Model:
     """Train on (_id, _text, _lang) without nulls, on all languages of it; the driver gets the features of the sample."""
     spark = learning.sparkSession
+    bounded_batches(spark)
     rows, frequency = _document_frequencies(learning)
     idf = np.log((1 + rows) / (1 + frequency)) + 1
 
@@ -164,25 +163,24 @@ def fit(learning: DataFrame, sample: int = SAMPLE) -> Model:
         for batch in batches:
             found = [counts_of(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array([c.tolist() for c, _ in found], pa.list_(pa.int32())), pa.array([n.tolist() for _, n in found], pa.list_(pa.int32()))],
+                [batch.column(0), batch.column(2), *[pa.array([np.asarray(f[i], "<i4").tobytes() for f in found], pa.binary()) for i in (0, 1)]],
                 names=["_lang", "_no", "_cells", "_counts"],
             )
 
-    bounded_batches(spark)
     totals = {r[0]: r[1] for r in learning.groupBy("_lang").count().collect()}  # one row a language
     languages = sorted(totals)
     if not languages:
         return Model([], idf, np.zeros((CELLS, 1)), np.zeros(1), 1.0)
     chosen = _sampled(learning, totals, max(LEAST, sample // len(languages)))
-    taken = chosen.mapInArrow(run, "_lang string, _no int, _cells array<int>, _counts array<int>").collect()
-    taken.sort(key=lambda r: (r["_no"], r["_lang"]))  # the same order wherever tasks ran
+    taken = chosen.mapInArrow(run, "_lang string, _no int, _cells binary, _counts binary").toArrow()
+    taken = taken.sort_by([("_no", "ascending"), ("_lang", "ascending")])  # the same order wherever tasks ran
     number = {lang: i for i, lang in enumerate(languages)}
     features = []
-    for r in taken:
-        cells = np.array(r["_cells"], np.int64)
-        features.append((cells, tf_idf(cells, np.array(r["_counts"], np.int64), idf)))
-    labels = np.array([number[r["_lang"]] for r in taken], np.int64)
-    calibrating = np.array([r["_no"] % 5 == 0 for r in taken])  # within each language; its first four rows are learnt
+    for packed in zip(taken.column("_cells"), taken.column("_counts")):
+        cells, counts = (np.frombuffer(raw.as_py(), "<i4") for raw in packed)
+        features.append((cells, tf_idf(cells.astype(np.int64), counts.astype(np.int64), idf)))
+    labels = np.array([number[lang] for lang in taken.column("_lang").to_pylist()], np.int64)
+    calibrating = taken.column("_no").to_numpy() % 5 == 0  # within each language; its first four rows are learnt
     inside = np.flatnonzero(~calibrating)
     weights, bias = fit_ftrl([features[i] for i in inside], labels[inside], len(languages))
     held = np.flatnonzero(calibrating)

@@ -311,6 +311,11 @@ def test_language(spark, docs, none):
     assert language.held_out_languages(docs).count() == len(TEXTS) and language.held_out_languages(none).count() == 0
 
 
+def test_numbers_that_look_like_letters_are_no_language():
+    model = language.Model(["en"], np.ones(language.CELLS), np.zeros((language.CELLS, 1)), np.zeros(1), 1.0)
+    assert [model.predict(t)[0] for t in ("\u00bd", "\u00b2 3", "\u2167", "", None, "_1", "1a", "\u00e9")] == ["und"] * 6 + ["en"] * 2
+
+
 def test_rare_languages_are_learnt(spark):
     draw = random.Random(2)
     of = lambda words: " ".join(draw.choices(words.split(), k=25))
