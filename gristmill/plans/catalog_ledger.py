@@ -25,7 +25,8 @@ from gristmill.plans.registry import query, table
 from gristmill.session import scratch
 from gristmill.sources import readers, writers
 from gristmill.streaming import jobs
-from gristmill.streaming.sinks import drain
+from gristmill.streaming.keyed import FINISHED, assembled_requests
+from gristmill.streaming.sinks import drain, put_batch
 
 AS_OF = "2001-07-20 12:00:00"
 BUDGET = 500_000.0
@@ -703,11 +704,12 @@ def t05(spark, d):
         "request_id", "seq", F.lit("complete").alias("kind"), F.lit(None).cast("string").alias("text")
     )
     source, out = scratch(spark, "t05-in"), scratch(spark, "t05")
-    tokens.write.mode("append").parquet(source)
-    ends.write.mode("append").parquet(source)
-    stream = spark.readStream.schema(jobs.EVENT_ROWS).option("maxFilesPerTrigger", 1).parquet(source)
-    drain(stream, jobs.event_assembly(out))
-    return spark.read.parquet(f"{out}/done").drop("batch_id")
+    for part in (tokens, ends):  # an event a second, all within the watermark's hour or later
+        part.withColumn("sent", F.timestamp_seconds("seq")).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(f"{jobs.EVENT_ROWS}, sent timestamp").option("maxFilesPerTrigger", 1).parquet(source)
+    done = assembled_requests(stream.withWatermark("sent", "1 hour"), "sent", patience=86_400_000)
+    drain(done, lambda batch, n: put_batch(batch, out, n))
+    return spark.read.schema(FINISHED).parquet(out)
 
 
 @query("T05_ordered_text", "SELECT conv_id, string_agg(text, '|' ORDER BY turn) AS text, count(*) AS turns FROM conversations GROUP BY conv_id")
