@@ -704,8 +704,8 @@ def t05(spark, d):
         "request_id", "seq", F.lit("complete").alias("kind"), F.lit(None).cast("string").alias("text")
     )
     source, out = scratch(spark, "t05-in"), scratch(spark, "t05")
-    for part in (tokens, ends):  # an event a second, all within the watermark's hour or later
-        part.withColumn("sent", F.timestamp_seconds("seq")).write.mode("append").parquet(source)
+    for part in (tokens, ends):  # an event a second; Spark takes the epoch itself for late
+        part.withColumn("sent", F.timestamp_seconds(F.col("seq") + 1_000_000_000)).write.mode("append").parquet(source)
     stream = spark.readStream.schema(f"{jobs.EVENT_ROWS}, sent timestamp").option("maxFilesPerTrigger", 1).parquet(source)
     done = assembled_requests(stream.withWatermark("sent", "1 hour"), "sent", patience=86_400_000)
     drain(done, lambda batch, n: put_batch(batch, out, n))

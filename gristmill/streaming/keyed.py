@@ -37,8 +37,8 @@ def assembled_requests(events: DataFrame, time: str | None = None, patience: int
             return
         end, latest = None, None
         for part in parts:
-            if time:
-                latest = max(part["at"].max(), latest or 0)
+            if time and part["at"].notna().any():
+                latest = max(int(part["at"].max()), latest or 0)
             for seq, kind, text in part.loc[part["seq"].notna(), ["seq", "kind", "text"]].itertuples(index=False):
                 if kind == "token":
                     tokens.setdefault(int(seq), text or "")
@@ -49,7 +49,8 @@ def assembled_requests(events: DataFrame, time: str | None = None, patience: int
         closed = closed or end is not None
         state.update((closed, "{}" if closed else json.dumps(tokens)))
         if time:
-            state.setTimeoutTimestamp(max(int(latest) + patience, state.getCurrentWatermarkMs() + 1))
+            watermark = state.getCurrentWatermarkMs()
+            state.setTimeoutTimestamp(max((latest or watermark) + patience, watermark + 1))
 
     at = [F.col(time), F.unix_millis(F.col(time).cast("timestamp")).alias("at")] if time else []
     rows = events.select("request_id", "seq", "kind", "text", *at)
