@@ -3,11 +3,15 @@
 A text is a sequence of words; a word's input is its own embedding plus those of its characters (all
 byte n-grams of 3 to 5 with the word's borders, and the word's beginnings), both looked up by hash, so
 a new word is read by its characters. The network runs over overlapping windows of all words of a
-text; the windows' logits pool to the document's by a soft maximum.
+text. The document's logit is the windows' mean weighted by softmax(SHARPNESS * their logits): equal
+windows keep their logit whatever their number, a toxic one is not thinned out by clean ones, and no
+mean is over the greatest logit. Training starts almost at the plain mean, so that all windows of a toxic
+text teach its words, and sharpens from there; the weights count as given when the loss goes back.
 
 Training takes at most SAMPLE documents of each label, those with the least hash of the id among the
-training fold, and at most SAMPLE_WINDOWS windows of each, spread over its whole text; the prior of
-the fold, counted over all its rows, corrects the balance of the sample. Scoring reads every window.
+training fold, with all their windows; the prior of the fold, counted over all its rows, corrects the
+balance of the sample. Texts are read in parts of PART bytes whose windows are those of the whole text,
+in training as in scoring. A run of word bytes longer than LONGEST counts as words of that length.
 """
 
 from __future__ import annotations
@@ -25,7 +29,6 @@ from gristmill.llm.suffix import _mix, _powers
 WINDOW = 40
 STRIDE = 30
 SAMPLE = 1_500
-SAMPLE_WINDOWS = 12
 DIM = 12
 HIDDEN = 8
 WORD_CELLS = 1 << 14
@@ -33,12 +36,19 @@ GRAM_CELLS = 1 << 15
 STEPS = 360
 BATCH_DOCS = 48
 RATE = 0.01
-BATCH_MB = 4  # of text that a Python worker scores at once
+BATCH_MB = 4  # of text that a Python worker gets at once
+PART = 1 << 19  # bytes of text whose words are looked up at once
+CHUNK = 2_048  # windows that the network takes at once
+LONGEST = 64
+SHARPNESS = 2.0
+FIRST_SHARPNESS = 0.3  # up to the step of SHARPENING's first share; from its second one on SHARPNESS
+SHARPENING = (0.3, 0.8)
 GRAMS = (3, 4, 5)
 PREFIXES = (3, 4, 5, 6, 7, 8)
 
 _U = np.uint64
 _EDGE = 256
+_TABLE = PART + 2 * (WINDOW + STRIDE) * (LONGEST + 1)  # bytes of a part with the words it takes over
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
@@ -51,22 +61,39 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 _WORD, _LOWER = _tables()
 
 
+def _ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... of each range, one range after the other."""
+    return np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - begin, count)
+
+
+def _words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each word; a longer run is cut at each LONGEST bytes."""
+    inside = np.zeros(len(raw) + 2, bool)
+    inside[1:-1] = _WORD[raw]
+    edge = np.diff(inside.view(np.int8))
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    count = -(-(end - start) // LONGEST)
+    if len(count) and count.max() > 1:
+        nth = _ranges(np.zeros(len(count), np.int64), count)
+        start, last = np.repeat(start, count) + nth * LONGEST, np.repeat(end, count)
+        end = np.minimum(start + LONGEST, last)
+    return start, end
+
+
 def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of all texts together: lower-cased bytes, start and end of each word, number of words of each text."""
     raw = _LOWER[np.frombuffer(b"\n".join(texts), np.uint8)] if texts else np.empty(0, np.uint8)
-    inside = np.concatenate([[False], _WORD[raw], [False]])
-    edge = np.diff(inside.astype(np.int8))
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    start, end = _words(raw)
     bounds = np.cumsum([0, *[len(t) + 1 for t in texts]])
     return raw, start, end, np.diff(np.searchsorted(start, bounds))
 
 
-def word_inputs(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct words: (index of each word's kind, word cell of each kind, gram cells, owners of the gram cells)."""
+def word_inputs(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct words: (index of each word's kind, word cell of each kind, gram cells, owners of the gram cells, hashes of the kinds)."""
     if not len(start):
         none = np.empty(0, np.int64)
-        return none, none, none, none
-    up, down = _powers(1 << max(12, int(len(raw) + 64).bit_length()))
+        return none, none, none, none, np.empty(0, np.uint64)
+    up, down = _powers(_TABLE)
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + _U(1)) * up[: len(raw)], dtype=np.uint64, out=sums[1:])
     hashes = _mix((sums[end] - sums[start]) * down[start])
@@ -82,34 +109,88 @@ def word_inputs(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
         owners.append(every[has])
     for n in GRAMS:  # n-grams anywhere inside
         count = np.maximum(size - n + 1, 0)
-        owner = np.repeat(every, count)
-        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(start, count)
+        at = _ranges(start, count)
         cells.append(_mix((sums[at + n] - sums[at]) * down[at] + _U(_EDGE + n)))
-        owners.append(owner)
+        owners.append(np.repeat(every, count))
     owner = np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
     return (
         kind, (kinds % _U(WORD_CELLS)).astype(np.int64),
-        (np.concatenate(cells)[order] % _U(GRAM_CELLS)).astype(np.int64), owner[order],
+        (np.concatenate(cells)[order] % _U(GRAM_CELLS)).astype(np.int64), owner[order], kinds,
     )
 
 
-def windows_of(count: np.ndarray, most: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def joined_inputs(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """The inputs of several parts as those of one: words of equal hash are one kind."""
+    hashes = np.concatenate([p[4] for p in parts])
+    kinds, first, same = np.unique(hashes, return_index=True, return_inverse=True)
+    before = np.cumsum([0, *[len(p[4]) for p in parts]])
+    count = np.concatenate([np.bincount(p[3], minlength=len(p[4])) for p in parts]).astype(np.int64)
+    begin = np.cumsum(count) - count
+    return (
+        np.concatenate([same[b + p[0]] for b, p in zip(before, parts)]), np.concatenate([p[1] for p in parts])[first],
+        np.concatenate([p[2] for p in parts])[_ranges(begin[first], count[first])], np.repeat(np.arange(len(kinds)), count[first]), kinds,
+    )
+
+
+def windows_of(count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first word, words, text) of each window; windows overlap and the last ends with the text.
 
-    A text without words has one window of no words. With `most`, that many windows spread evenly.
+    A text without words has one window of no words.
     """
     base = np.cumsum(count) - count
     n = 1 + np.maximum(0, -(-(count - WINDOW) // STRIDE))
-    used = n if most is None else np.minimum(n, most)
-    text = np.repeat(np.arange(len(count)), used)
-    i = np.arange(used.sum()) - np.repeat(np.cumsum(used) - used, used)
-    if most is not None:
-        i = i * n[text] // used[text]
-    at = np.maximum(np.minimum(i * STRIDE, count[text] - WINDOW), 0)
+    text = np.repeat(np.arange(len(count)), n)
+    at = np.maximum(np.minimum(_ranges(np.zeros(len(n), np.int64), n) * STRIDE, count[text] - WINDOW), 0)
     return base[text] + at, np.minimum(count[text], WINDOW), text
 
 
+def _long_parts(text: bytes):
+    """(bytes, starts, ends, first words, words) of the parts of a long text; their windows together are those of the whole.
+
+    A part takes over the words from the last whole window on, so that the next windows can be told.
+    """
+    taken, done = b"", 0  # words taken over, whole windows among them
+    for at in range(0, len(text), PART):
+        raw = _LOWER[np.frombuffer(taken + text[at : at + PART], np.uint8)]
+        start, end = _words(raw)
+        if at + PART >= len(text):
+            first, lengths, _ = windows_of(np.array([len(start)]))
+            yield raw, start, end, first[done:], lengths[done:]
+            return
+        goes_on = bool(len(end)) and int(end[-1]) == len(raw)  # the last word may
+        whole = max(0, (len(start) - goes_on - WINDOW) // STRIDE + 1)
+        first = np.arange(whole) * STRIDE
+        yield raw, start, end, first[done:], np.full(max(whole - done, 0), WINDOW)
+        since = max(whole - 1, 0) * STRIDE
+        taken = b" ".join(raw[s:e].tobytes() for s, e in zip(start[since:], end[since:])) + (b"" if goes_on else b" ")
+        done = min(whole, 1)
+
+
+def parts_of(texts: list[bytes]):
+    """(bytes, starts, ends, first words, words, texts) of parts of about PART bytes, with all windows of all texts in order."""
+    short: list[bytes] = []
+    size = 0
+
+    def several(first_text: int):
+        raw, start, end, count = words_of(short)
+        first, lengths, text = windows_of(count)
+        return raw, start, end, first, lengths, text + first_text
+
+    for i, text in enumerate(texts):
+        if short and size + len(text) + 1 > PART:
+            yield several(i - len(short))
+            short, size = [], 0
+        if len(text) >= PART:
+            for part in _long_parts(text):
+                yield *part, np.full(len(part[3]), i)
+        else:
+            short.append(text)
+            size += len(text) + 1
+    if short:
+        yield several(len(texts) - len(short))
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-x))
 
@@ -130,7 +211,7 @@ class Model:
 
     def embed(self, inputs) -> np.ndarray:
         """Vectors of the distinct words."""
-        kind, word, gram, owner = inputs
+        word, gram, owner = inputs[1:4]
         out = self.p["word"][word].copy()
         if len(gram):
             starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
@@ -219,49 +300,76 @@ def _window_index(first: np.ndarray, lengths: np.ndarray, kind: np.ndarray) -> n
     return kind[np.minimum(at, len(kind) - 1)] if len(kind) else np.zeros_like(at)
 
 
-def _pooled(logits: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Soft maximum of the windows of each text, and each window's share in it."""
+def _pooled(logits: np.ndarray, text: np.ndarray, n: int, sharpness: float) -> tuple[np.ndarray, np.ndarray]:
+    """Logit of each text, and each window's weight in it."""
     top = np.full(n, -np.inf)
     np.maximum.at(top, text, logits)
-    share = np.exp(logits - top[text])
-    total = np.bincount(text, share, n)
-    # The mean inside the logarithm keeps equal windows at their own logit, whatever their number.
-    return top + np.log(total) - 0.5 * np.log(np.bincount(text, minlength=n)), share / total[text]
+    weight = np.exp(sharpness * (logits - top[text]))
+    weight /= np.bincount(text, weight, n)[text]
+    return np.bincount(text, weight * logits, n), weight
+
+
+def _sharpness(share: float) -> float:
+    """Sharpness after a share of the training steps."""
+    since, until = SHARPENING
+    return FIRST_SHARPNESS * (SHARPNESS / FIRST_SHARPNESS) ** min(1.0, max(0.0, (share - since) / (until - since)))
 
 
 def train(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = STEPS, seed: int = 11) -> Model:
-    """Fit on labelled texts; `prior` is the share of label 1 among all labelled rows."""
+    """Fit on all windows of labelled texts; `prior` is the share of label 1 among all labelled rows."""
     model, draw = Model(seed), np.random.default_rng(seed)
     groups = [np.flatnonzero(toxic == y) for y in (0, 1)]
     if not len(groups[1]) or not len(groups[0]):
         model.shift = -20.0 if not len(groups[1]) else 20.0
         return model
-    raw, start, end, count = words_of(texts)
-    inputs = word_inputs(raw, start, end)
-    kind, word, gram, owner = inputs
+    inputs, windows, words = [], [], 0
+    for raw, start, end, first, lengths, text in parts_of(texts):
+        inputs.append(word_inputs(raw, start, end))
+        windows.append((first + words, lengths, text))
+        words += len(start)
+    kind, word, gram, owner, _ = joined_inputs(inputs)
     gram_start = np.searchsorted(owner, np.arange(len(word) + 1))
-    first, lengths, text = windows_of(count, SAMPLE_WINDOWS)
+    first, lengths, text = (np.concatenate([w[i] for w in windows]) for i in range(3))
     of_text = np.searchsorted(text, np.arange(len(texts) + 1))
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.p.items()}
-    for step in range(1, steps + 1):
-        docs = np.concatenate([draw.choice(g, min(len(g), BATCH_DOCS // 2), replace=False) for g in groups])
-        some = np.concatenate([np.arange(of_text[d], of_text[d + 1]) for d in docs])
-        local = np.repeat(np.arange(len(docs)), of_text[docs + 1] - of_text[docs])
+
+    def looked_up(some: np.ndarray):
         index = _window_index(first[some], lengths[some], kind)
         used, inverse = np.unique(index, return_inverse=True)
+        if not len(kind):
+            return used, used, used, used, np.zeros((1, DIM), np.float32), index
         sizes = gram_start[used + 1] - gram_start[used]
-        mine = np.repeat(np.arange(len(used)), sizes)
-        at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(gram_start[used], sizes)
-        part = (None, word[used], gram[at], mine)
-        vectors = model.embed(part)
-        index = inverse.reshape(index.shape)
-        logits, cache = model.forward(vectors, index, lengths[some], keep=True)
-        pooled, share = _pooled(logits, local, len(docs))
+        mine, at = np.repeat(np.arange(len(used)), sizes), _ranges(gram_start[used], sizes)
+        return used, sizes, mine, at, model.embed((None, word[used], gram[at], mine)), inverse.reshape(index.shape)
+
+    def gradients(some: np.ndarray, grad: np.ndarray, seen, cache) -> dict[str, np.ndarray]:
+        used, sizes, mine, at, vectors, index = seen
+        found, d_vectors = model.backward(grad, vectors, index, cache)
+        if len(kind):
+            scaled = d_vectors / np.sqrt(np.maximum(sizes, 1))[:, None].astype(np.float32)
+            found["word"] = np.stack([np.bincount(word[used], d_vectors[:, k], WORD_CELLS) for k in range(DIM)], axis=1)
+            found["gram"] = np.stack([np.bincount(gram[at], scaled[mine, k], GRAM_CELLS) for k in range(DIM)], axis=1)
+        return found
+
+    for step in range(1, steps + 1):
+        docs = np.concatenate([draw.choice(g, min(len(g), BATCH_DOCS // 2), replace=False) for g in groups])
+        some = _ranges(of_text[docs], of_text[docs + 1] - of_text[docs])
+        local = np.repeat(np.arange(len(docs)), of_text[docs + 1] - of_text[docs])
+        chunks = [slice(a, a + CHUNK) for a in range(0, len(some), CHUNK)]
+        logits = np.empty(len(some))
+        for cut in chunks:  # a step of several chunks goes through the network twice, so that one chunk's states are held
+            seen = looked_up(some[cut])
+            logits[cut], cache = model.forward(seen[4], seen[5], lengths[some[cut]], keep=len(chunks) == 1)
+        pooled, weight = _pooled(logits, local, len(docs), _sharpness(step / steps))
         error = (_sigmoid(pooled) - toxic[docs]) / len(docs)
-        grads, d_vectors = model.backward((error[local] * share).astype(np.float32), vectors, index, cache)
-        scaled = d_vectors / np.sqrt(np.maximum(sizes, 1))[:, None].astype(np.float32)
-        grads["word"] = np.stack([np.bincount(word[used], d_vectors[:, k], WORD_CELLS) for k in range(DIM)], axis=1)
-        grads["gram"] = np.stack([np.bincount(gram[at], scaled[mine, k], GRAM_CELLS) for k in range(DIM)], axis=1)
+        push = (error[local] * weight).astype(np.float32)
+        grads: dict[str, np.ndarray] = {}
+        for cut in chunks:
+            if len(chunks) > 1:
+                seen = looked_up(some[cut])
+                cache = model.forward(seen[4], seen[5], lengths[some[cut]], keep=True)[1]
+            for k, v in gradients(some[cut], push[cut], seen, cache).items():
+                grads[k] = grads[k] + v if k in grads else v
         rate = RATE * min(1.0, 2 * (1 - step / (steps + 1)))
         for k, v in grads.items():
             m, s = moments[k]
@@ -273,21 +381,22 @@ def train(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = STEP
     return model
 
 
-def score_texts(model: Model, texts: list[bytes], chunk: int = 4_096) -> np.ndarray:
+def score_texts(model: Model, texts: list[bytes]) -> np.ndarray:
     """Probability of label 1 for each whole text."""
-    raw, start, end, count = words_of(texts)
-    inputs = word_inputs(raw, start, end)
-    vectors = model.embed(inputs) if len(inputs[1]) else np.zeros((1, DIM), np.float32)
-    first, lengths, text = windows_of(count)
-    logits = np.empty(len(first))
-    for at in range(0, len(first), chunk):
-        cut = slice(at, at + chunk)
-        logits[cut] = model.forward(vectors, _window_index(first[cut], lengths[cut], inputs[0]), lengths[cut])[0]
-    return _sigmoid(_pooled(logits, text, len(texts))[0] + model.shift)
+    found, owners = [np.empty(0)], [np.empty(0, np.int64)]
+    for raw, start, end, first, lengths, text in parts_of(texts):
+        inputs = word_inputs(raw, start, end)
+        vectors = model.embed(inputs) if len(inputs[1]) else np.zeros((1, DIM), np.float32)
+        for at in range(0, len(first), CHUNK):
+            cut = slice(at, at + CHUNK)
+            found.append(model.forward(vectors, _window_index(first[cut], lengths[cut], inputs[0]), lengths[cut])[0])
+        owners.append(text)
+    pooled = _pooled(np.concatenate(found), np.concatenate(owners), len(texts), SHARPNESS)[0]
+    return _sigmoid(pooled + model.shift)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample: int = SAMPLE, steps: int = STEPS) -> Model:
-    """Train on the learning labels' documents; the driver gets at most `sample` rows of each label.
+    """Train on the learning labels' documents; the driver gets whole texts of at most `sample` rows of each label.
 
     Labels are chosen before they meet the texts, so the join broadcasts at most 2 * `sample` ids.
     """
@@ -297,30 +406,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample:
         DataFrame.unionByName, [hash_sample(known.filter(F.col("_label") == y), "_id", sample, counts.get(y, 0), 7) for y in (0, 1)]
     )
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    rows = _sampled_text(texts.join(F.broadcast(chosen), "_id")).collect()
+    whole = F.coalesce(F.col("_text"), F.lit("")).cast("binary").alias("_raw")
+    rows = texts.join(F.broadcast(chosen), "_id").select("_label", whole, F.xxhash64("_id", F.lit(7)).alias("_rank")).collect()
     rows.sort(key=lambda r: (r["_rank"], r["_label"], bytes(r["_raw"])))  # the same order wherever tasks ran
     total = sum(counts.get(y, 0) for y in (0, 1))
     return train([bytes(r["_raw"]) for r in rows], np.array([r["_label"] for r in rows], np.int64), counts.get(1, 0) / max(total, 1), steps)
 
 
-def _sampled_text(rows: DataFrame) -> DataFrame:
-    """(_label, _raw, _rank): of a long text the words of SAMPLE_WINDOWS windows spread over it."""
-
-    def run(batches):
-        for batch in batches:
-            out = []
-            for text in batch.column(1).to_pylist():
-                raw, start, end, count = words_of([(text or "").encode()])
-                if not count[0]:
-                    out.append(b"")
-                    continue
-                first, lengths, _ = windows_of(count, SAMPLE_WINDOWS)
-                out.append(b"\n".join(raw[start[a] : end[a + n - 1]].tobytes() for a, n in zip(first, lengths)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), batch.column(2)], names=["_label", "_raw", "_rank"])
-
-    return rows.select("_label", "_text", F.xxhash64("_id", F.lit(7)).alias("_rank")).mapInArrow(run, "_label int, _raw binary, _rank bigint")
-
-
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """(id, score, predicted) of each row; null counts as empty, and an empty text gets the score of no evidence."""
     spark = docs.sparkSession

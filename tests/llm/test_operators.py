@@ -37,6 +37,22 @@ def table(spark, texts, first=0):
     return spark.createDataFrame([(first + i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
 
 
+def test_helper_names_in_the_documents(spark):
+    """Rows that repeat an id or a text, with columns called like those that operators add."""
+    extra = ["__kept_id__", "__KEPT_sha__", "__text__", "__kept_row__", "__row__", "__cut_row__", "__kept_text__", "__null__"]
+    long = "some words that are long enough to be cut out of the second text " * 4
+    rows = [(1, "a b c", 3), (1, "a b c", 2), (2, long, 1), (None, None, 4), (3, long, 5)]
+    frame = spark.createDataFrame(
+        [(i, t, len(t or ""), *[n] * len(extra)) for i, t, n in rows], "doc_id int, text string, n_chars int, " + ", ".join(f"{c} int" for c in extra)
+    )
+    got = {drop: drop(frame) for drop in (exact.drop_exact_copies, near.drop_near_copies, suffix.drop_repeats)}
+    assert all(g.columns == frame.columns for g in got.values())
+    assert sorted(r["__row__"] for r in got[exact.drop_exact_copies].collect()) == [1, 2, 4]
+    assert sorted(r["__null__"] for r in got[near.drop_near_copies].collect())[0] == 1
+    cut = {r["__kept_text__"]: r.text for r in got[suffix.drop_repeats].collect()}
+    assert cut[1] is not None and len(cut[1]) < len(long) and cut[5] == "" and cut[4] is None and cut[3] == cut[2] == "a b c"
+
+
 # ------------------------------------------------------------------ exact dedup
 
 
@@ -476,6 +492,61 @@ def test_toxicity(spark, docs, none, monkeypatch):
     assert toxicity.held_out_scores(docs, labels.limit(0)).count() == len(TEXTS) and toxicity.drop_toxic(none, labels).count() == 0
 
 
+def one_by_one(model, text):
+    """Score of a text, its windows cut and run through the network one at a time."""
+    words = []
+    for run in re.findall(rb"[0-9A-Za-z\x80-\xff]+", text):
+        words += [run[a : a + toxicity.LONGEST] for a in range(0, len(run), toxicity.LONGEST)]
+    starts = [0]
+    while starts[-1] + toxicity.WINDOW < len(words):
+        starts.append(min(starts[-1] + toxicity.STRIDE, len(words) - toxicity.WINDOW))
+    logits = []
+    for at in starts:
+        raw, start, end, count = toxicity.words_of([b" ".join(words[at : at + toxicity.WINDOW])])
+        inputs = toxicity.word_inputs(raw, start, end)
+        vectors = model.embed(inputs) if len(start) else np.zeros((1, toxicity.DIM), np.float32)
+        index = inputs[0][:, None] if len(start) else np.zeros((1, 1), np.int64)
+        logits.append(float(model.forward(vectors, index, count)[0][0]))
+    weight = np.exp(toxicity.SHARPNESS * (np.array(logits) - max(logits)))
+    return 1 / (1 + np.exp(-(weight @ logits / weight.sum() + model.shift)))
+
+
+def test_every_window_is_scored_whatever_the_parts(monkeypatch):
+    model, draw = toxicity.Model(3), random.Random(4)
+    texts = [b"", b" ,. ", b"x" * 3_000, b"word " * 40, b"word " * 41, b" " * 2_000, "äöü".encode() * 400]
+    texts += [" ".join("".join(draw.choices("abcXYZ09", k=draw.randint(1, 90))) for _ in range(n)).encode() for n in (5, 69, 70, 71, 400)]
+    expected = [one_by_one(model, t) for t in texts]
+    for part in (toxicity.PART, 4_000, 700, 100):
+        monkeypatch.setattr(toxicity, "PART", part)
+        assert np.abs(toxicity.score_texts(model, texts) - expected).max() < 1e-5, part
+
+
+def test_pooling_knows_no_length():
+    value = lambda logits: toxicity._pooled(np.array(logits), np.zeros(len(logits), np.int64), 1, 2.0)[0][0]
+    assert value([1.5] * 400) == pytest.approx(1.5) and value([4.0] + [-4.0] * 1_000) > 3.9
+    logits, text = np.array([0.5, -1.0, 2.0, 0.1]), np.array([0, 0, 0, 1])
+    pooled, weight = toxicity._pooled(logits, text, 2, 1.7)
+    share = np.exp(1.7 * logits[:3]) / np.exp(1.7 * logits[:3]).sum()
+    assert weight == pytest.approx([*share, 1]) and pooled == pytest.approx([share @ logits[:3], 0.1])
+
+
+def test_long_texts_toxic_and_clean():
+    draw = random.Random(8)
+    clean = lambda n: draw.choices([f"w{i}" for i in range(300)], k=n)
+    bad = lambda: draw.choice(["scumbag", "scumball", "scummy"])
+    texts, marks = [], []
+    for i in range(240):
+        words = clean(draw.choice([5, 50, 300, 900]))
+        if i % 2:
+            words[draw.randrange(len(words))] = bad()
+        texts.append(" ".join(words).encode())
+        marks.append(i % 2)
+    model = toxicity.train(texts, np.array(marks), 0.2, steps=200)
+    long = clean(20_000)
+    score = toxicity.score_texts(model, [" ".join(long).encode(), " ".join([*long[:9_000], bad(), *long[9_000:]]).encode()])
+    assert score[0] < 0.5 < score[1], score
+
+
 # ------------------------------------------------------------------ near-dedup
 
 
