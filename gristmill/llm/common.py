@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 
 import numpy as np
@@ -24,6 +25,17 @@ def bounded_batches(spark: SparkSession, megabytes: int = 8) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{megabytes}m")
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting for the jobs run inside; afterwards it is what it was."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: computed once, safe against lost executors."""
     return Steps(df.sparkSession, label).keep("table", df)
@@ -36,8 +48,10 @@ class Steps:
         self.spark, self.base = spark, scratch(spark, label)
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
+        """Write `df` and read it back; the shuffle files that writing it took go as soon as it is written."""
         path = f"{self.base}/{name}"
-        df.write.parquet(path)
+        with setting(self.spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import Steps, bounded_batches, keyed, whole_groups, with_row_key, written
-from gristmill.llm.suffix import _mix, _powers
+from gristmill.llm.common import Steps, bounded_batches, keyed, whole_groups, with_row_key
+from gristmill.llm.shingles import shingle_hashes
 
 TREES = 4
 BRANCHES = 2
@@ -65,30 +65,6 @@ def _token_hashes() -> tuple[np.ndarray, np.ndarray]:
     )
 
 
-def shingle_set(text: str, width: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word shingles of a text, A-Z lower-cased.
-
-    Words are divided by ASCII white space. Fewer words than `width` make one shingle; none make none.
-    """
-    raw = np.frombuffer(text.encode().lower(), np.uint8)  # bytes.lower() changes A-Z only
-    if not len(raw):
-        return np.empty(0, np.uint64)
-    space = np.r_[True, (raw == 32) | ((raw >= 9) & (raw <= 13)), True]
-    edge = np.diff(space.view(np.int8))
-    start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    if not len(start):
-        return np.empty(0, np.uint64)
-    up, down = _powers(1 << max(12, int(len(raw)).bit_length()))
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + _U(1)) * up[: len(raw)], dtype=np.uint64, out=sums[1:])
-    words = _mix((sums[end] - sums[start]) * down[start])
-    n = max(1, len(words) - width + 1)
-    shingles = np.zeros(n, np.uint64)
-    for i in range(min(width, len(words))):
-        shingles = _mix(shingles * _U(3) + words[i : i + n])
-    return np.unique(shingles)
-
-
 def signature(shingles: np.ndarray) -> np.ndarray:
     """The least hash of each of TOKENS hash functions, 31 bits of it."""
     mult, add = _token_hashes()
@@ -104,7 +80,7 @@ def _sketch(texts: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             sizes, classes, tokens = [], [], []
             for text in batch.column(1).to_pylist():
-                shingles = shingle_set(text, width)
+                shingles = shingle_hashes(text, width)
                 sizes.append(len(shingles))
                 classes.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
                 tokens.append(signature(shingles))
@@ -131,16 +107,17 @@ def _sized(members: DataFrame) -> DataFrame:
     return members.join(sizes, "_node")
 
 
-def _grow(classes: DataFrame, trees: int) -> DataFrame:
+def _grow(classes: DataFrame, trees: int, steps: Steps) -> DataFrame:
     """Nodes of all trees: (_node, _doc, _size, _pivot); large ones are branched up to DEPTH times."""
     roots = F.explode(F.array(*[F.xxhash64(F.lit(f"tree {t}")) for t in range(trees)]))
-    level = written(_sized(_children(classes.select("_doc", "_sig", roots.alias("_node")), BRANCHES)), "nodes")
+    level = steps.keep("nodes", _sized(_children(classes.select("_doc", "_sig", roots.alias("_node")), BRANCHES)))
     found = level
-    for _ in range(DEPTH):
+    for depth in range(DEPTH):
         large = level.filter(F.col("_size") > LARGE)
         if not large.limit(1).count():
             break
-        level = written(_sized(_children(large.select("_node", "_doc").join(classes.select("_doc", "_sig"), "_doc"), BRANCHES)), "nodes")
+        grown = _sized(_children(large.select("_node", "_doc").join(classes.select("_doc", "_sig"), "_doc"), BRANCHES))
+        level = steps.keep(f"nodes{depth}", grown)
         found = found.filter(F.col("_size") <= LARGE).unionByName(level)
     return found
 
@@ -223,7 +200,7 @@ def _confirmed(members: DataFrame, texts: DataFrame, width: int, percent: int) -
     least = least_alike(percent)
 
     def links(doc, label, texts):
-        sets = [shingle_set(t, width) for t in texts]
+        sets = [shingle_hashes(t, width) for t in texts]
         size = np.array([len(s) for s in sets])
         tokens = np.stack([signature(s) for s in sets])
         part = np.unique(label, return_inverse=True)[1]  # component of each member
@@ -276,7 +253,9 @@ def components(links: DataFrame) -> DataFrame:
     def state(edges: DataFrame):
         return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("_u", "_v").cast("decimal(38,0)"))).first())
 
-    edges = written(links.filter("_u <> _v").select(F.greatest("_u", "_v").alias("_u"), F.least("_u", "_v").alias("_v")).distinct(), "links")
+    steps, turn = Steps(links.sparkSession, "components"), 0
+    ordered = links.filter("_u <> _v").select(F.greatest("_u", "_v").alias("_u"), F.least("_u", "_v").alias("_v"))
+    edges = steps.keep("links0", ordered.distinct())
     before = state(edges)
     while before[0]:
         both = edges.unionByName(edges.select(F.col("_v").alias("_u"), F.col("_u").alias("_v")))
@@ -286,7 +265,9 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(low, "_u").select(F.col("_v").alias("_u"), F.col("_m").alias("_v")).unionByName(
             low.select("_u", F.col("_m").alias("_v"))
         )
-        edges = written(small.filter("_u <> _v").distinct(), "links")
+        turn += 1
+        edges = steps.keep(f"links{turn}", small.filter("_u <> _v").distinct())
+        steps.drop(f"links{turn - 1}")
         now = state(edges)
         if now == before:
             break
@@ -309,34 +290,41 @@ def near_copies(
     bounded_batches(spark)
     texts, unique = keyed(docs, id_col, text_col)
     steps = Steps(spark, "near")
-    sketches = written(_sketch(texts, width), "sketches")
-    firsts = written(sketches.filter("_n > 0").groupBy("_class").agg(F.min("_doc").alias("_first")), "classes")
-    classes = written(sketches.join(firsts.select(F.col("_first").alias("_doc")), "_doc").select("_doc", "_n", "_sig"), "classes")
-    nodes = _grow(classes, trees)
+    sketches = steps.keep("sketches", _sketch(texts, width))
+    sizes = steps.keep("sizes", sketches.select("_doc", "_n", "_class"))
+    firsts = steps.keep("firsts", sizes.filter("_n > 0").groupBy("_class").agg(F.min("_doc").alias("_first")))
+    one_each = firsts.select(F.col("_first").alias("_doc"))
+    classes = steps.keep("classes", sketches.select("_doc", "_n", "_sig").join(one_each, "_doc"))
+    steps.drop("sketches")
+    nodes = _grow(classes, trees, steps)
 
     root = F.xxhash64(F.lit("tree 0"))
     place = F.pmod(F.xxhash64(root, F.lit(0)), F.lit(TOKENS)).cast("int")
     path = _sized(classes.select("_doc", F.xxhash64(root, F.lit(0), F.get("_sig", place)).alias("_node")))
     own = classes.withColumn("_label", F.col("_doc"))
-    links = written(_confirmed(_promising(_star_units(path), own, percent), texts, width, percent), "links")
-    steps.drop()
+    members = steps.keep("members", _promising(_star_units(path), own, percent))
+    links = steps.keep("links", _confirmed(members, texts, width, percent))
+    steps.drop("members")
     labels = components(links)
 
-    known = written(
-        classes.join(labels, "_doc", "left").withColumn("_label", F.coalesce("_label", "_doc")), "classes"
+    part = steps.keep("parts", classes.select("_doc").join(labels, "_doc", "left").withColumn("_label", F.coalesce("_label", "_doc")))
+    known = classes.join(part, "_doc")
+    open_nodes = (
+        nodes.join(part, "_doc").groupBy("_node").agg(F.min("_label").alias("_lo"), F.max("_label").alias("_hi"))
+        .filter("_lo <> _hi").select("_node")
     )
-    members = nodes.join(known.select("_doc", "_label"), "_doc")
-    open_nodes = members.groupBy("_node").agg(F.min("_label").alias("_lo"), F.max("_label").alias("_hi")).filter("_lo <> _hi").select("_node")
-    units = _pair_units(nodes.join(open_nodes, "_node"))
-    more = written(_confirmed(_promising(units, known, percent), texts, width, percent), "links")
-    steps.drop()
+    units = steps.keep("units", _pair_units(nodes.join(open_nodes, "_node")))
+    members = steps.keep("members", _promising(units, known, percent))
+    steps.drop("units", "classes", "nodes", *[f"nodes{depth}" for depth in range(DEPTH)])
+    more = steps.keep("more", _confirmed(members, texts, width, percent))
+    steps.drop("members", "parts")
     final = components(links.unionByName(more))
 
     label = (
         firsts.join(final, firsts["_first"] == final["_doc"], "left")
         .select("_class", F.coalesce("_label", "_first").alias("_component"))
     )
-    rows = sketches.select("_doc", "_n", F.when(F.col("_n") > 0, F.col("_class")).alias("_class")).join(label, "_class", "left").select(
+    rows = sizes.select("_doc", "_n", F.when(F.col("_n") > 0, F.col("_class")).alias("_class")).join(label, "_class", "left").select(
         "_doc", "_n", F.coalesce("_component", "_doc").alias("_component")
     )
     if unique:
