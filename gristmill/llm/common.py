@@ -63,6 +63,14 @@ class Steps:
         self.spark._jvm.System.gc()
 
 
+def fresh(names: list[str], wanted: str) -> str:
+    """`wanted`, lengthened until no column of `names` is called so in any case of letters."""
+    taken = {n.lower() for n in names}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
@@ -79,12 +87,13 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]
 
 
 def with_row_key(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
-    """`docs` and a BIGINT column that names its rows: the id where it can, else `__row__` in the order of (id, text)."""
+    """`docs` and a BIGINT column that names its rows: the id where it can, else a new one in the order of (id, text)."""
     n, known, different = docs.select(id_col).agg(F.count(F.lit(1)), F.count(id_col), F.count_distinct(id_col)).first()
     if n == known == different:
         return docs, id_col
     order = [F.col(id_col).asc_nulls_first(), F.col(text_col).asc_nulls_first()]
-    return written(number_in_order(docs, order, "__row__").withColumn("__row__", F.col("__row__").cast("bigint")), "numbered"), "__row__"
+    row = fresh(docs.columns, "__row__")
+    return written(number_in_order(docs, order, row).withColumn(row, F.col(row).cast("bigint")), "numbered"), row
 
 
 def hash_sample(rows: DataFrame, id_col: str, size: int, total: int, seed: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import whole_text
+from gristmill.llm.common import fresh, whole_text
 
 
 def exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
@@ -41,17 +41,24 @@ def exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
-    """The rows of `docs` that stay, with all their columns; of rows repeated with id and text one stays."""
+    """The rows of `docs` that stay, with all their columns.
+
+    Of rows that repeat an id with its text the one whose JSON form is least stays.
+    """
     names = docs.columns
     keys = docs.select(id_col).agg(F.count(F.lit(1)), F.count_distinct(id_col)).first()
+    kept_id, kept_sha, text, row = (fresh(names, n) for n in ("__kept_id__", "__kept_sha__", "__text__", "__row__"))
     stays = (
         exact_copies(docs, id_col, text_col, keep).filter("kept")
-        .select(F.col(id_col).alias("__kept_id__"), F.col("text_sha256").alias("__kept_sha__")).distinct()
+        .select(F.col(id_col).alias(kept_id), F.col("text_sha256").alias(kept_sha)).distinct()
     )
     found = docs.join(
         stays,
-        F.col(id_col).eqNullSafe(F.col("__kept_id__"))
-        & (F.sha2(whole_text(text_col).cast("binary"), 256) == F.col("__kept_sha__")),
+        F.col(id_col).eqNullSafe(F.col(kept_id)) & (F.sha2(whole_text(text_col).cast("binary"), 256) == F.col(kept_sha)),
         "left_semi",
     ).select(*names)
-    return found if keys[0] == keys[1] else found.withColumn("__text__", whole_text(text_col)).dropDuplicates([id_col, "__text__"]).drop("__text__")
+    if keys[0] == keys[1]:
+        return found
+    whole = F.struct(*names)
+    one = found.groupBy(F.col(id_col).alias(kept_id), whole_text(text_col).alias(text)).agg(F.min_by(whole, F.to_json(whole)).alias(row))
+    return one.select(f"{row}.*")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import Steps, bounded_batches, keyed, whole_groups, with_row_key
+from gristmill.llm.common import Steps, bounded_batches, fresh, keyed, whole_groups, with_row_key
 from gristmill.llm.shingles import shingle_hashes
 
 TREES = 4
@@ -340,5 +340,6 @@ def near_copies(
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of `docs` that stay, one of each component, with all their columns."""
     rows, key = with_row_key(docs, id_col, text_col)
-    kept = near_copies(rows, key, text_col, width, percent).filter("kept").select(F.col(key).alias("__kept_row__"))
-    return rows.join(kept, rows[key] == F.col("__kept_row__"), "left_semi").select(*docs.columns)
+    stays = fresh(rows.columns, "__kept_row__")
+    kept = near_copies(rows, key, text_col, width, percent).filter("kept").select(F.col(key).alias(stays))
+    return rows.join(kept, rows[key] == F.col(stays), "left_semi").select(*docs.columns)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import Steps, bounded_batches, keyed, whole_groups, with_row_key, written
+from gristmill.llm.common import Steps, bounded_batches, fresh, keyed, whole_groups, with_row_key, written
 
 LENGTH = 100
 GRAM = 24
@@ -380,10 +380,11 @@ def drop_repeats(
     A row stays even if nothing of its text does; a null text stays null.
     """
     rows, key = with_row_key(docs, id_col, text_col)
-    cut = cut_repeats(rows, key, text_col, length).select(F.col(key).alias("__cut_row__"), F.col("kept_text").alias("__kept_text__"))
-    others = rows.withColumn("__null__", F.col(text_col).isNull()).drop(text_col)
-    new = {text_col: F.when(~F.col("__null__"), F.col("__kept_text__")).cast(docs.schema[text_col].dataType)}
+    row, kept, null = (fresh(rows.columns, name) for name in ("__cut_row__", "__kept_text__", "__null__"))
+    cut = cut_repeats(rows, key, text_col, length).select(F.col(key).alias(row), F.col("kept_text").alias(kept))
+    others = rows.withColumn(null, F.col(text_col).isNull()).drop(text_col)
+    new = {text_col: F.when(~F.col(null), F.col(kept)).cast(docs.schema[text_col].dataType)}
     if chars_col in docs.columns:
-        known = F.col(chars_col).isNotNull() & ~F.col("__null__")
-        new[chars_col] = F.when(known, F.char_length("__kept_text__").cast(docs.schema[chars_col].dataType)).otherwise(F.col(chars_col))
-    return others.join(cut, F.col(key) == F.col("__cut_row__")).withColumns(new).select(*docs.columns)
+        known = F.col(chars_col).isNotNull() & ~F.col(null)
+        new[chars_col] = F.when(known, F.char_length(kept).cast(docs.schema[chars_col].dataType)).otherwise(F.col(chars_col))
+    return others.join(cut, F.col(key) == F.col(row)).withColumns(new).select(*docs.columns)
