@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import gc
 
 import numpy as np
@@ -107,6 +108,25 @@ def hash_sample(rows: DataFrame, id_col: str, size: int, total: int, seed: int)
     return rows.withColumn("_rank", rank).filter(F.col("_rank") < share).orderBy("_rank", id_col).limit(size).drop("_rank")
 
 
+_worker: dict = {"step": None, "kept": []}
+
+
+def make_room(step: str, *kept) -> None:
+    """In a Python worker, as a task starts: what tasks of other steps left goes, and free memory returns to the system.
+
+    Workers are reused from step to step. `kept` are functions that free what this step keeps between its tasks.
+    """
+    if _worker["step"] == step:
+        return
+    for free in _worker["kept"]:
+        free()
+    _worker.update(step=step, kept=kept)
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def whole_groups(batches, key: int = 0):
     """Tables of whole groups from batches sorted by a BIGINT column; a group may go over several batches."""
     held: list[pa.RecordBatch] = []

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import Steps, bounded_batches, fresh, keyed, whole_groups, with_row_key
+from gristmill.llm.common import Steps, bounded_batches, fresh, keyed, make_room, whole_groups, with_row_key
 from gristmill.llm.shingles import shingle_hashes
 
 TREES = 4
@@ -77,6 +77,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 def _sketch(texts: DataFrame, width: int) -> DataFrame:
     def run(batches):
+        make_room("near: sketches")
         for batch in batches:
             sizes, classes, tokens = [], [], []
             for text in batch.column(1).to_pylist():
@@ -165,6 +166,7 @@ def _promising(units: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             yield table.filter(pa.array(keep)).select([0, 1, 3]).combine_chunks().to_batches()
 
     def flat(batches):
+        make_room("near: candidates")
         for several in run(batches):
             yield from several
 
@@ -231,6 +233,7 @@ def _confirmed(members: DataFrame, texts: DataFrame, width: int, percent: int) -
             nearest_only = False
 
     def run(batches):
+        make_room("near: links")
         for table in whole_groups(batches):
             unit, doc, label = (table.column(i).to_numpy() for i in range(3))
             starts = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])

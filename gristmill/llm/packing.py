@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import bounded_batches, ranked, written
+from gristmill.llm.common import bounded_batches, make_room, ranked, written
 
 CAPACITY = 2_048
 END_ID = 0
@@ -89,6 +89,7 @@ def token_pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
+        make_room("packing: tokens", chunk_encoder.cache_clear)
         encoder = chunk_encoder(tokenizer_file)
         for batch in batches:
             ids, piece, start, length, crc = [], [], [], [], []

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import Steps, bounded_batches, fresh, keyed, whole_groups, with_row_key, written
+from gristmill.llm.common import Steps, bounded_batches, fresh, keyed, make_room, whole_groups, with_row_key, written
 
 LENGTH = 100
 GRAM = 24
@@ -118,6 +118,7 @@ def _scan(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """
 
     def run(batches):
+        make_room("suffix: pieces")
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             found = [pieces_of((t or "").encode(), length, gram) for t in batch.column(1).to_pylist()]
@@ -211,6 +212,7 @@ def _construct(pieces: DataFrame, length: int, gram: int) -> DataFrame:
         )
 
     def run(batches):
+        make_room("suffix: construction")
         for table in whole_groups(batches):
             anchor, doc, at, raw = (c.to_numpy(zero_copy_only=False) for c in table.columns)
             for a, b in _chunks(anchor):
@@ -237,6 +239,7 @@ def _cut_pieces(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     lists = wanted.groupBy("_doc").agg(F.collect_list(F.struct("_a", "_at")).alias("_list"))
 
     def run(batches):
+        make_room("suffix: bytes")
         for batch in batches:
             doc, anchor, at, raw = [], [], [], []
             for i, text, places in zip(*(c.to_pylist() for c in batch.columns)):
@@ -260,6 +263,7 @@ def _single_windows(docs: DataFrame, wanted: DataFrame, length: int) -> DataFram
     """Spans of later windows among the pieces of hot anchors, by the windows' own hashes."""
 
     def run(batches):
+        make_room("suffix: windows")
         for batch in batches:
             rows = []
             for anchor, doc, at, raw in zip(*(c.to_pylist() for c in batch.columns)):
@@ -350,6 +354,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spans = repeated_spans(texts.select("_doc", "_text"), length).groupBy("_doc").agg(F.collect_list(F.struct("_s", "_e")).alias("_spans"))
 
     def run(batches):
+        make_room("suffix: cut")
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):

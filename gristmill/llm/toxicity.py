@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import bounded_batches, hash_sample
+from gristmill.llm.common import bounded_batches, hash_sample, make_room
 from gristmill.llm.suffix import _mix, _powers
 
 WINDOW = 40
@@ -420,6 +420,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
+        make_room("toxicity")
         for batch in batches:
             values = score_texts(shared.value, [(t or "").encode() for t in batch.column(1).to_pylist()]) if batch.num_rows else np.empty(0)
             yield pa.RecordBatch.from_arrays(
@@ -456,6 +457,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     at = docs.columns.index(text_col)
 
     def run(batches):
+        make_room("toxicity")
         for batch in batches:
             if batch.num_rows:
                 values = score_texts(shared.value, [(t or "").encode() for t in batch.column(at).to_pylist()])

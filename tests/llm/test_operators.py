@@ -620,3 +620,16 @@ def test_components_of_a_chain(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 105), (105, 103), (7, 7)]
     got = {r._doc: r._label for r in near.components(spark.createDataFrame(chain, "_u bigint, _v bigint")).collect()}
     assert got == {**{i: 0 for i in range(1, 41)}, 105: 100, 103: 100}
+
+
+def test_workers_forget_earlier_steps(monkeypatch):
+    from gristmill.llm import common
+
+    monkeypatch.setattr(common, "_worker", {"step": None, "kept": []})
+    freed = []
+    common.make_room("a", lambda: freed.append("a"))
+    common.make_room("a", lambda: freed.append("never"))
+    assert not freed
+    common.make_room("b")
+    common.make_room("a")
+    assert freed == ["a"]
