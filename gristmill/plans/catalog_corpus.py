@@ -128,29 +128,6 @@ def s08(spark, d):
     return readers.parse_vocab_lines(lines).select("token", F.col("id").cast("bigint").alias("id"))
 
 
-@query("S08_tokenizer_file", """SELECT p_partkey AS id, p_name AS token, 'merge' AS kind FROM part WHERE p_size <= 25
-    UNION ALL SELECT p_partkey, p_name || '|' || p_type, 'rule' FROM part WHERE p_size > 25
-    UNION ALL SELECT min(p_partkey), p_brand, 'special' FROM part GROUP BY p_brand""")
-def s08_file(spark, d):
-    out, part = scratch(spark, "s08"), table(spark, d, "part")
-    one = lambda c: F.encode(c, "UTF-8")
-    number = F.col("p_partkey").cast("int").alias("id")
-    writers.write_tokenizer_json(
-        part.filter("p_size <= 25").select(number, one("p_name").alias("token")),
-        part.filter("p_size > 25").dropDuplicates(["p_partkey"]).select(one(F.concat_ws("/", "p_partkey", "p_name")).alias("left"), one("p_type").alias("right"), number),
-        part.groupBy(F.col("p_brand").alias("token")).agg(F.min("p_partkey").cast("int").alias("id")), out,
-    )
-    read = readers.read_tokenizer_json(spark, out)
-    text = lambda c: F.decode(c, "UTF-8")
-    rules = F.concat_ws("|", F.substring_index(text("left"), "/", -1), text("right"))
-    return (
-        read["vocab"].select("id", text("token").alias("token"), F.lit("merge").alias("kind"))
-        .unionByName(read["merges"].select("id", rules.alias("token"), F.lit("rule").alias("kind")))
-        .unionByName(read["special_tokens"].select("id", "token", F.lit("special").alias("kind")))
-        .withColumn("id", F.col("id").cast("bigint"))
-    )
-
-
 @query("S09_merges_tsv", """WITH good AS (SELECT o_custkey AS left_id, year(o_orderdate) AS right_id, o_orderkey AS id,
     row_number() OVER (ORDER BY o_orderkey) - 1 AS priority FROM orders WHERE o_orderpriority <> '5-LOW')
     SELECT left_id, right_id, arg_max(id, priority) AS id, max(priority) AS priority FROM good GROUP BY left_id, right_id""")
@@ -381,6 +358,23 @@ def k01(spark, d):
     return merge_symbols(spark, learnt(spark, d))
 
 
+@query("S08_tokenizer_file", f"""SELECT 259 + merge_no AS id, left_symbol, right_symbol, NULL::VARCHAR AS special
+    FROM (WITH RECURSIVE {PRETOKENS_SQL}, {MERGES_SQL})
+    UNION ALL SELECT * FROM (VALUES (256::BIGINT, NULL::BIGINT, NULL::BIGINT, '<PAD>'), (257, NULL, NULL, '<UNK>'), (258, NULL, NULL, '<BOS>'), (259, NULL, NULL, '<EOS>'))""")
+def s08_file(spark, d):
+    """The vocabulary learnt from all documents, saved as a file; its merges and special tokens as read back from there."""
+    rules, out = learnt(spark, d), scratch(spark, "s08")
+    special = spark.createDataFrame(list(rules.layout.specials.items()), "token string, id int")
+    writers.write_tokenizer_json(rules.vocab_df(spark), rules.merges_df(spark), special, out)
+    read = readers.read_tokenizer_json(spark, out)
+    # Numbers of the SQL: bytes from 256, merges from 600.
+    symbol = F.when(F.col("id") < 256, F.col("id") + 256).otherwise(F.col("id") + 340).cast("bigint")
+    of = lambda side: F.broadcast(read["vocab"].select(F.col("token").alias(side), symbol.alias(f"{side}_symbol")))
+    merges = read["merges"].join(of("left"), "left").join(of("right"), "right").withColumn("special", F.lit(None).cast("string"))
+    rows = read["special_tokens"].select("id", *[F.lit(None).cast("bigint").alias(f"{s}_symbol") for s in ("left", "right")], F.col("token").alias("special"))
+    return merges.select("id", "left_symbol", "right_symbol", "special").unionByName(rows).withColumn("id", F.col("id").cast("bigint"))
+
+
 @query("K02_bpe_specials_first", f"SELECT *, 259 + merge_no AS id, 0::BIGINT AS pad, 3::BIGINT AS unk FROM (WITH RECURSIVE {PRETOKENS_SQL}, {MERGES_SQL})")
 def k02(spark, d):
     rules = learnt(spark, d, layout=A.SPECIALS_FIRST)
