@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from gristmill.llm.common import Steps, bounded_batches, fresh, keyed, make_room, whole_groups, with_row_key
 from gristmill.llm.shingles import shingle_hashes
+from gristmill.session import broadcast_if_small
 
 TREES = 4
 BRANCHES = 2
@@ -242,7 +243,9 @@ def _confirmed(members: DataFrame, texts: DataFrame, width: int, percent: int) -
                 out += links(doc[a:b], label[a:b], table.column(3).slice(a, b - a).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["_u", "_v"])
 
-    rows = members.join(texts.select("_doc", "_text"), "_doc").select("_unit", "_doc", "_label", "_text")
+    wanted = broadcast_if_small(members.select("_doc").distinct())  # so only their texts are shuffled
+    some = texts.select("_doc", "_text").join(wanted, "_doc", "left_semi")
+    rows = members.join(some, "_doc").select("_unit", "_doc", "_label", "_text")
     return rows.repartition("_unit").sortWithinPartitions("_unit").mapInArrow(run, "_u bigint, _v bigint")
 
 
