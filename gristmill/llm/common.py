@@ -121,6 +121,11 @@ def make_room(step: str, *kept) -> None:
     for free in _worker["kept"]:
         free()
     _worker.update(step=step, kept=kept)
+    give_back()
+
+
+def give_back() -> None:
+    """Return this process's free memory to the system."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:

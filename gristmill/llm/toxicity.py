@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import bounded_batches, hash_sample, make_room
+from gristmill.llm.common import bounded_batches, give_back, hash_sample, make_room
 from gristmill.llm.suffix import _mix, _powers
 
 WINDOW = 40
@@ -410,7 +410,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample:
     rows = texts.join(F.broadcast(chosen), "_id").select("_label", whole, F.xxhash64("_id", F.lit(7)).alias("_rank")).collect()
     rows.sort(key=lambda r: (r["_rank"], r["_label"], bytes(r["_raw"])))  # the same order wherever tasks ran
     total = sum(counts.get(y, 0) for y in (0, 1))
-    return train([bytes(r["_raw"]) for r in rows], np.array([r["_label"] for r in rows], np.int64), counts.get(1, 0) / max(total, 1), steps)
+    model = train([bytes(r["_raw"]) for r in rows], np.array([r["_label"] for r in rows], np.int64), counts.get(1, 0) / max(total, 1), steps)
+    del rows
+    give_back()  # the driver lives on for other stages
+    return model
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
