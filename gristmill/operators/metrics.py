@@ -12,18 +12,19 @@ from pyspark.sql import functions as F
 
 from gristmill.functions.scalars import improvement_pct, perplexity
 from gristmill.operators.blocks import running, trailing
-from gristmill.session import broadcast_if_small, cut_lineage, joinable
+from gristmill.operators.earlystop import early_stop  # noqa: F401
+from gristmill.session import joinable
 
 BLOCK_STEPS = 100_000
 # Perplexity caps of the ledger and of the training loop.
 LEDGER_CAP, LOOP_CAP = 10.0, 20.0
 
 
-def run_summary(log: DataFrame) -> DataFrame:
-    """One row per run; ties for the best loss go to the earliest step."""
+def run_summary(log: DataFrame, *more: Column) -> DataFrame:
+    """One row per run (and value of `more`, if given); ties for the best loss go to the earliest step."""
     final, best = F.max_by("loss", "step"), F.min("loss")
     initial = F.max(F.when(F.col("step") == 1, F.col("loss")))
-    return log.groupBy("run_id").agg(
+    return log.groupBy("run_id", *more).agg(
         initial.alias("initial_loss"),
         final.alias("final_loss"),
         best.alias("best_loss"),
@@ -106,63 +107,6 @@ def mark_best(evals: DataFrame) -> DataFrame:
     return seen.withColumn("is_best", F.col("val_loss").isNotNull() & ~F.isnan("val_loss") & better)
 
 
-def _fold_evals(evals: Column, start: Column, patience: int, delta: float, low: float, ratio: float) -> Column:
-    """Early-stop state after a run's evaluations in step order."""
-    def step(acc: Column, e: Column) -> Column:
-        val, train = e["val_loss"], e["train_loss"]
-        usable = ~F.isnan(val) & (val < float("inf"))
-        better = usable & (acc["best"].isNull() | (acc["best"] - val > delta))
-        overfit = F.coalesce((train < low) & (val > train * ratio) & ~F.isnan(val), F.lit(False))
-        waited = F.when(better, F.lit(0)).otherwise(acc["waited"] + 1) + overfit.cast("int")
-        moved = F.struct(
-            F.when(better, val).otherwise(acc["best"]).alias("best"),
-            waited.alias("waited"),
-            F.when(waited >= patience, e["step"]).alias("stop_step"),
-        )
-        return F.when(acc["stop_step"].isNotNull(), acc).otherwise(moved)
-
-    return F.aggregate(evals, start, step)
-
-
-def early_stop(
-    evals: DataFrame, patience: int = 5, min_delta: float = 0.001, overfit_train: float = 0.01,
-    overfit_ratio: float = 10.0, state: DataFrame | None = None, block_evals: int = 50_000,
-) -> DataFrame:
-    """`(run_id, best, waited, stop_step)` over `(run_id, eval_no, step, val_loss, train_loss)`.
-
-    The rule depends on the order of a run's evaluations. They are folded in blocks of
-    `block_evals`; a run that has stopped takes part in no further block. Only the state,
-    one row per run, goes from block to block (and, with `state`, from batch to batch).
-    """
-    cut = evals.withColumn("_b", F.floor((F.col("eval_no") - 1) / block_evals))
-    first, last = cut.agg(F.min("_b"), F.max("_b")).first()
-    empty = F.struct(
-        F.lit(None).cast("double").alias("best"), F.lit(0).alias("waited"), F.lit(None).cast("bigint").alias("stop_step")
-    )
-    if last is None:
-        return state if state is not None else evals.select("run_id", empty.alias("_s")).select("run_id", "_s.*")
-    for b in range(first, last + 1):
-        part = cut.filter(F.col("_b") == b)
-        if state is not None:
-            part = part.join(broadcast_if_small(state.filter(F.col("stop_step").isNotNull()).select("run_id")), "run_id", "left_anti")
-        lists = part.groupBy("run_id").agg(
-            F.array_sort(F.collect_list(F.struct("step", "val_loss", "train_loss"))).alias("_e")
-        )
-        if state is None:
-            both = lists.withColumn("_s", empty)
-        else:
-            known = state.select("run_id", F.struct("best", "waited", "stop_step").alias("_s"))
-            both = lists.join(known, "run_id", "full").select(
-                "run_id", F.coalesce("_s", empty).alias("_s"),
-                F.coalesce("_e", F.array().cast(lists.schema["_e"].dataType)).alias("_e"),
-            )
-        folded = _fold_evals(F.col("_e"), F.col("_s"), patience, min_delta, overfit_train, overfit_ratio)
-        state = both.select("run_id", folded.alias("_s")).select("run_id", "_s.*")
-        if b < last:
-            state = cut_lineage(state)
-    return state
-
-
 def overfit_streaks(
     means: DataFrame, below: float = 1e-5, after_step: int = 500, state: DataFrame | None = None
 ) -> DataFrame:

@@ -28,7 +28,7 @@ def corpus_stream(spark: SparkSession, path: str, schema, key: str, text: str |
 
 def ingest(stream: DataFrame, rules: Rules, length: int, path: str, checkpoint: str | None = None) -> None:
     """Filter, encode and pad arriving documents into Parquet; every step is narrow."""
-    usable = encode_texts(nonblank(stream), rules)
+    usable = encode_texts(nonblank(stream), rules, most=length)
     records = usable.select("doc_id", pad_to(F.col("ids"), length, rules.layout).alias("input_ids"))
     query = (
         records.writeStream.format("parquet").option("path", path)
@@ -60,6 +60,15 @@ def online_metrics(log: DataFrame) -> DataFrame:
     return run_summary(log)
 
 
+def closed_runs(log: DataFrame, time: str, gap: str) -> DataFrame:
+    """The run summary in append mode: given out once, when a run has been silent for `gap` of event time.
+
+    `time` is a watermarked column. A closed run's state goes. Rows later than the watermark, and rows without a time,
+    are left out; a run that goes on after such a silence gives another row for what follows.
+    """
+    return run_summary(log.filter(F.col(time).isNotNull()), F.session_window(time, gap).alias("_silence")).drop("_silence")
+
+
 RUN_STATE = (
     "run_id string, last_step bigint, best double, waited int, stop_step bigint, open_length bigint, detect_step bigint"
 )
