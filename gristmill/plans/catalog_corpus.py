@@ -219,6 +219,30 @@ def p07(spark, d):
     return reusable_outputs(asked, manifest, meta, sizes).select("corpus", "reusable")
 
 
+@query("P07_each_condition", """WITH m AS (SELECT o_custkey, max(o_orderkey) AS latest, max(o_orderkey) FILTER (WHERE o_orderstatus <> 'P') AS made,
+        max(o_totalprice) > 100000 AS files_exist, bool_or(o_orderstatus = 'F') AS completed, bool_or(o_orderpriority = '1-URGENT') AS trained,
+        bool_or(o_orderpriority = '5-LOW') AS tokenized, min(o_totalprice) < 100000 AS same_length, count(*) AS recorded,
+        count(*) FILTER (WHERE o_totalprice > 2000) AS tokens FROM orders GROUP BY o_custkey)
+    SELECT c_custkey AS corpus, coalesce(files_exist AND completed AND trained AND tokenized AND latest = made AND same_length
+        AND recorded = tokens AND tokens >= 5, false) AS reusable FROM customer LEFT JOIN m ON c_custkey = o_custkey""")
+def p07_each(spark, d):
+    """A customer stands for a corpus: each condition is false for some of them."""
+    priority, price = F.col("o_orderpriority"), F.col("o_totalprice")
+    made = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("corpus")).agg(
+        F.max("o_orderkey").alias("latest"), F.max(F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey"))).alias("fingerprint"),
+        (F.max(price) > 100000).alias("files_exist"), F.bool_or(F.col("o_orderstatus") == "F").alias("completed"),
+        F.bool_or(priority == "1-URGENT").alias("tokenizer_trained"), F.bool_or(priority == "5-LOW").alias("data_tokenized"),
+        F.when(F.min(price) < 100000, 256).otherwise(128).alias("meta_length"),
+        F.count(F.lit(1)).alias("meta_vocab"), F.count_if(price > 2000).alias("tokens"),
+    )
+    asked = table(spark, d, "customer").select(F.col("c_custkey").alias("corpus")).join(
+        made.select("corpus", F.col("latest").alias("fingerprint")), "corpus", "left"
+    ).select("corpus", "fingerprint", F.lit(256).alias("max_seq_length"), F.lit(5).alias("vocab_size"))
+    manifest = made.select("corpus", "fingerprint", "files_exist", "completed", "tokenizer_trained", "data_tokenized")
+    meta, sizes = made.select("corpus", "meta_length", "meta_vocab"), made.select("corpus", "tokens")
+    return reusable_outputs(asked, manifest, meta, sizes).select("corpus", "reusable")
+
+
 STALE_SQL = f"WITH {REQUESTS_SQL}, stale AS (SELECT corpus FROM requests r WHERE NOT EXISTS (SELECT 1 FROM manifest m WHERE m.corpus = r.corpus AND m.fingerprint = r.fingerprint))"
 
 
