@@ -42,7 +42,7 @@ def random_records(rows: DataFrame, key: str, length: int, vocab_size: int, seed
 
 
 def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of a small vocabulary file with a number that grows in file order."""
+    """Lines of a vocabulary file with a number that grows in file order; several files have no order among them."""
     return spark.read.text(path).withColumn("line_no", F.monotonically_increasing_id())
 
 
