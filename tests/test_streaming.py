@@ -96,3 +96,13 @@ def test_online_metrics_equal_batch(spark, tmp_path):
     got = latest(spark, out, ["run_id"])
     want = metrics.run_summary(spark.createDataFrame(rows, schema))
     assert sorted(got.select(want.columns).collect()) == sorted(want.collect())
+
+
+def test_the_registered_monitor_spreads_long_runs(spark, monkeypatch):
+    """Each of its runs holds a fifth of the stream: as state of one key, the waiting steps never got done on 6 million rows."""
+    from check_oracle import compare, database
+
+    spreading, used = jobs.monitor, []
+    monkeypatch.setattr(jobs, "monitor", lambda *args, **rules: used.append(rules) or spreading(*args, **rules))
+    assert compare(spark, database("/root/testdata/sf0.001"), "T04_run_monitor", "/root/testdata/sf0.001") == ""
+    assert used and used[0]["eval_interval"] == 10
