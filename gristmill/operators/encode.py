@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +16,8 @@ from gristmill.session import BROADCAST_ROWS, broadcast_if_small
 
 HOT_WORDS = 10_000
 MEMO_WORDS = 250_000
+# Rows of an Arrow batch that are Python objects at once.
+ROWS_AT_ONCE = 64
 IDS = T.ArrayType(T.IntegerType())
 
 
@@ -58,15 +60,22 @@ def _word_ids(word: str, tables) -> list[int]:
     return [ids.get(t, unk) for t in _merge([bytes([b]) for b in word.encode()], ranks)]
 
 
+def _in_pieces(batches: Iterator[pa.Array], ids_of: Callable) -> Iterator[pa.Array]:
+    """The ids of each row, a few rows at a time: a batch holds thousands of texts."""
+    for batch in batches:
+        for at in range(0, len(batch), ROWS_AT_ONCE):
+            rows = batch.slice(at, ROWS_AT_ONCE).to_numpy(zero_copy_only=False)
+            yield pa.array([ids_of(row) for row in rows], pa.list_(pa.int32()))
+
+
 def word_encoder(spark: SparkSession, rules: Rules):
     """Arrow function STRING -> ids of one word (or of a whole text, when given one)."""
     shipped = spark.sparkContext.broadcast(_tables(rules))
 
-    @F.pandas_udf(IDS)
-    def encode(words: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(IDS)
+    def encode(words: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tables = shipped.value
-        for batch in words:
-            yield batch.map(lambda w: None if w is None else _word_ids(w, tables))
+        return _in_pieces(words, lambda w: None if w is None else _word_ids(w, tables))
 
     return encode
 
@@ -79,21 +88,21 @@ def text_encoder(spark: SparkSession, rules: Rules):
     """
     shipped = spark.sparkContext.broadcast(_tables(rules))
 
-    @F.pandas_udf(IDS)
-    def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(IDS)
+    def encode(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tables, memo = shipped.value, {}
-        for batch in texts:
-            rows = []
-            for words in batch:
-                row: list[int] = []
-                for w in () if words is None else words:
-                    if w not in memo:
-                        if len(memo) >= MEMO_WORDS:
-                            memo.clear()
-                        memo[w] = _word_ids(w, tables)
-                    row.extend(memo[w])
-                rows.append(row)
-            yield pd.Series(rows)
+
+        def ids_of(words) -> list[int]:
+            row: list[int] = []
+            for w in () if words is None else words:
+                if w not in memo:
+                    if len(memo) >= MEMO_WORDS:
+                        memo.clear()
+                    memo[w] = _word_ids(w, tables)
+                row.extend(memo[w])
+            return row
+
+        return _in_pieces(texts, ids_of)
 
     return encode
 

@@ -40,3 +40,21 @@ def test_each_condition_matters(reusable, case):
 
 def test_corpus_without_output(reusable):
     assert reusable[len(BAD) + 1] is False
+
+
+def test_encoders_hold_a_few_rows_of_a_batch_at_a_time(spark):
+    """Whole batches of texts as Python objects took the memory of an executor; nulls and batch borders keep their rows."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from gristmill.functions.arrays import BYTES_FIRST
+    from gristmill.operators import bpe, encode
+
+    pieces = list(encode._in_pieces(iter([pa.array(["ab"] * 150 + [None])]), lambda t: None if t is None else [1, 2]))
+    assert [len(p) for p in pieces] == [64, 64, 23] and pieces[2].to_pylist()[-2:] == [[1, 2], None]
+    rules = bpe.Rules(BYTES_FIRST, alphabet=[bytes([b]) for b in range(256)])
+    rows = spark.range(300).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 7 > 0, F.concat(F.lit("é "), F.col("id").cast("string"))).alias("text"))
+    first = BYTES_FIRST.first_byte
+    want = {i: [first + b for b in f"é {i}".encode()] if i % 7 else None for i in range(300)}
+    assert {r.doc_id: r.ids for r in encode.encode_whole_texts(rows, rules).collect()} == want
+    assert {r.doc_id: r.ids for r in encode.encode_texts(rows, rules).collect()} == {i: ids or [] for i, ids in want.items()}
