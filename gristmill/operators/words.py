@@ -15,8 +15,9 @@ def word_table(docs: DataFrame, words: Column | None = None, key: str = "doc_id"
     """`(word, freq, first)`: how often and where first (document key, index) a word occurs.
 
     Counting happens before the shuffle, so a word that makes up much of the corpus still
-    reaches its reducer as one row per task. A whole-number key and the index are packed into
-    one decimal, which a hash aggregate can keep the least of; other keys are sorted.
+    reaches its reducer as one row per task. A whole-number key and the index are packed into one
+    number, which a hash aggregate can keep the least of: a long where the keys span less than 2^32,
+    else a decimal. Other keys are sorted.
     """
     words = pretokens(F.col("text")) if words is None else words
     found = docs.select(F.col(key).alias("_doc"), F.posexplode(words).alias("_pos", "word")).groupBy("word")
@@ -24,6 +25,13 @@ def word_table(docs: DataFrame, words: Column | None = None, key: str = "doc_id"
     freq = F.count(F.lit(1)).alias("freq")
     if not isinstance(kind, T.IntegralType):
         return found.agg(freq, F.min(F.struct("_doc", "_pos")).alias("first"))
+    lo, hi = docs.agg(F.min(key), F.max(key)).first()
+    if lo is not None and hi - lo < 1 << 32:
+        above = F.shiftleft(F.col("_doc").cast("bigint") - F.lit(lo).cast("bigint"), 31)
+        doc = F.shiftrightunsigned("_f", 31) + F.lit(lo).cast("bigint")
+        pos = F.col("_f").bitwiseAND(F.lit((1 << 31) - 1).cast("bigint"))
+        first = F.struct(doc.cast(kind).alias("_doc"), pos.cast("int").alias("_pos")).alias("first")
+        return found.agg(freq, F.min(above + F.col("_pos")).alias("_f")).select("word", "freq", first)
     lowest, width = F.lit(Decimal(1 << 63)), F.lit(Decimal(1 << 31))
     packed = ((F.col("_doc").cast("decimal(20, 0)") + lowest) * width + F.col("_pos").cast("decimal(10, 0)")).cast("decimal(38, 0)")
     pos = F.col("_f") % width

@@ -58,3 +58,20 @@ def test_encoders_hold_a_few_rows_of_a_batch_at_a_time(spark):
     want = {i: [first + b for b in f"é {i}".encode()] if i % 7 else None for i in range(300)}
     assert {r.doc_id: r.ids for r in encode.encode_whole_texts(rows, rules).collect()} == want
     assert {r.doc_id: r.ids for r in encode.encode_texts(rows, rules).collect()} == {i: ids or [] for i, ids in want.items()}
+
+
+def test_first_places_are_packed_into_longs_where_the_keys_allow(spark):
+    from gristmill.operators import words
+
+    low, high = -(1 << 63), (1 << 63) - 1
+    for ids, long in (([5, 7, 9], True), ([low, low + 1, low + (1 << 32) - 1], True), ([high - (1 << 32) + 1, high, None], True), ([0, 1 << 32, 3], False), ([low, high, 0], False), ([None], False)):
+        docs = spark.createDataFrame(list(zip(ids, ["b a", "a a c", "c b"])), "doc_id bigint, text string")
+        table = words.word_table(docs)
+        want = {}
+        for i, text in zip(ids, ["b a", "a a c", "c b"]):
+            for at, word in enumerate(text.replace(" ", "| ").split("|")):
+                place = (i, at) if i is not None else (high + 1, at)
+                want[word] = (want.get(word, (0,))[0] + 1, min(place, want.get(word, (0, place))[1]))
+        got = {r.word: (r.freq, (high + 1, 0) if r.first._doc is None else tuple(r.first)) for r in table.collect()}
+        assert got == {w: (n, place if place[0] <= high else (high + 1, 0)) for w, (n, place) in want.items()}
+        assert ("decimal(38,0)" in table._jdf.queryExecution().optimizedPlan().toString().lower()) != long
