@@ -612,9 +612,9 @@ def s10(spark, d):
         F.lit(1.0).alias("duration_hours"), F.col("o_totalprice").alias("cost_usd"), F.col("o_orderkey").alias("steps_trained"), F.lit(None).cast("string").alias("phase"),
     )
     out = scratch(spark, "s10")
-    orders(spark, d).select(
+    writers.write_documents(orders(spark, d).select(
         F.col("o_custkey").cast("string").alias("tenant"), F.lit(30.0).alias("monthly_budget"), F.array(record).alias("history")
-    ).write.json(out)
+    ), out)
     records = readers.ledger_records(readers.read_ledger(spark, out, "spend", multiline=False), "spend")
     return records.groupBy("tenant").agg(F.count(F.lit(1)).alias("records"), F.round(F.sum("cost_usd"), 2).alias("cost_usd"))
 
@@ -649,7 +649,7 @@ def s10_runs(spark, d):
     }
     value = lambda f: own.get(f.name, run_record(f, 3)).alias(f.name)
     fields = [F.struct(*map(value, f.dataType)).alias(f.name) if isinstance(f.dataType, T.StructType) else value(f) for f in schema]
-    rows.select(*fields).write.json(out)
+    writers.write_documents(rows.select(*fields), out)
     back = readers.read_ledger(spark, out, "run_result", multiline=False)
     leaves = [f"{f.name}.{g.name}" if g else f.name for f in schema for g in (f.dataType if isinstance(f.dataType, T.StructType) else [None])]
     given = functools.reduce(operator.add, [F.col(c).isNotNull().cast("int") for c in leaves])

@@ -48,6 +48,11 @@ def write_meta(meta: DataFrame, path: str) -> None:
     meta.write.mode("overwrite").json(path)
 
 
+def write_documents(df: DataFrame, path: str, per_file: int = 100_000) -> None:
+    """One JSON document a line. The files are compressed, and as such a file is read in one piece, they are kept small."""
+    df.write.option("compression", "lz4").option("maxRecordsPerFile", per_file).json(path)
+
+
 def append_records(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Append to a shared ledger table; nothing already there is rewritten."""
     writer = df.write.mode("append")

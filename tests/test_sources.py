@@ -129,3 +129,18 @@ def test_no_local_scratch_on_a_cluster():
     context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=context))
+
+
+def test_documents_of_a_ledger_are_compressed_and_spread_over_files(spark, tmp_path, monkeypatch):
+    """Run records of 6 GB of orders took 97 GB as plain JSON."""
+    from gristmill.plans import catalog_ledger
+
+    monkeypatch.setattr(catalog_ledger, "scratch", lambda spark, label: str(tmp_path / label))
+    rows = catalog_ledger.s10_runs(spark, "/root/testdata/sf0.001").count()
+    files = [f for f in (tmp_path / "s10-runs").iterdir() if f.name.startswith("part-")]
+    assert sum(f.stat().st_size for f in files) < 600 * rows  # a record has 1 700 bytes
+
+    df = spark.range(10, numPartitions=1).select(F.col("id").cast("string").alias("run_id"))
+    writers.write_documents(df, str(tmp_path / "d"), per_file=4)
+    assert len(list((tmp_path / "d").glob("part-*"))) == 3
+    assert spark.read.json(str(tmp_path / "d")).count() == 10
