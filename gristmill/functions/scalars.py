@@ -31,6 +31,11 @@ def gpu_specs_array() -> Column:
     ])
 
 
+def gpu_of_order(order: Column) -> Column:
+    """The name of the tier with that place in the fixed order."""
+    return F.get(F.filter(gpu_specs_array(), lambda s: s["gpu_order"] == order), F.lit(0))["gpu"]
+
+
 def gpu_spec(gpu: Column) -> Column:
     """The tier's struct; an unknown name gets the default tier."""
     known = F.filter(gpu_specs_array(), lambda s: s["gpu"] == gpu)

@@ -89,9 +89,12 @@ def priced_on_named_gpu(profiles: DataFrame, budget: float) -> DataFrame:
 
 
 def recommended_gpu(sweep: DataFrame, key: str) -> DataFrame:
-    """First tier, in fixed order, within the safety margin; the cheapest when none is."""
-    fit = F.min(F.when(F.col("within_safety"), F.struct("gpu_order", "gpu")))["gpu"]
-    return sweep.groupBy(key).agg(F.coalesce(fit, F.lit("T4")).alias("gpu"))
+    """First tier, in fixed order, within the safety margin; the cheapest when none is.
+
+    The least order alone is kept, which a hash aggregate can do; its tier's name follows from it.
+    """
+    first = sweep.groupBy(key).agg(F.min(F.when(F.col("within_safety"), F.col("gpu_order"))).alias("_order"))
+    return first.select(key, F.coalesce(S.gpu_of_order(F.col("_order")), F.lit("T4")).alias("gpu"))
 
 
 # ---------------------------------------------------------------- sessions and curricula

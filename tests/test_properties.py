@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import arrays as A
 from gristmill.functions import text as X
-from gristmill.operators import bpe, corpus, encode, split, unigram, words
+from gristmill.operators import bpe, corpus, encode, ledger, split, unigram, words
 from gristmill.plans.preprocess import preprocess
 
 SF = "/root/testdata/sf0.001"
@@ -269,3 +269,12 @@ def test_expected_piece_counts_by_enumeration(spark):
     df = spark.createDataFrame(counted, "word string, freq bigint")
     got = {r.piece: r.expected for r in unigram.expected_counts(df, logp).collect()}
     assert got == pytest.approx(dict(want))
+
+
+def test_the_recommended_tier_is_kept_without_sorting(spark):
+    """The least of a struct with a name in it can't be kept in place, so Spark sorted all of a task's rows."""
+    rows = [(1, "H100", 5, True), (1, "A10G", 2, True), (1, "T4", 1, False), (2, "T4", 1, False), (3, "A100-40GB", 3, True), (4, "T4", 1, None)]
+    sweep = spark.createDataFrame(rows, "p int, gpu string, gpu_order int, within_safety boolean")
+    out = ledger.recommended_gpu(sweep, "p")
+    assert {r.p: r.gpu for r in out.collect()} == {1: "A10G", 2: "T4", 3: "A100-40GB", 4: "T4"}
+    assert "Sort" not in out._jdf.queryExecution().executedPlan().toString()
