@@ -607,7 +607,16 @@ def appended(ledger: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def key_difference(left: DataFrame, right: DataFrame, key: str, left_name: str = "left", right_name: str = "right") -> DataFrame:
-    """Keys that only one of two key sets has, and which one."""
-    only_left = left.join(right, key, "left_anti").select(key, F.lit(left_name).alias("side"))
-    only_right = right.join(left, key, "left_anti").select(key, F.lit(right_name).alias("side"))
-    return only_left.unionByName(only_right)
+    """Keys that only one of two key sets has, and which one; repeated keys stay, and a NULL key equals none.
+
+    Both sides are counted in one hash aggregate, so each is read once and nothing is sorted.
+    """
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    both = left.select(key, one.alias("_l"), none.alias("_r")).unionByName(right.select(key, none.alias("_l"), one.alias("_r")))
+    counts = both.groupBy(key).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+    alone = F.col(key).isNull()
+    sides = F.concat(
+        F.when(alone | (F.col("_r") == 0), F.array_repeat(F.lit(left_name), F.col("_l").cast("int"))).otherwise(F.array()),
+        F.when(alone | (F.col("_l") == 0), F.array_repeat(F.lit(right_name), F.col("_r").cast("int"))).otherwise(F.array()),
+    )
+    return counts.select(key, F.explode(sides).alias("side"))

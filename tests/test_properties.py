@@ -278,3 +278,14 @@ def test_the_recommended_tier_is_kept_without_sorting(spark):
     out = ledger.recommended_gpu(sweep, "p")
     assert {r.p: r.gpu for r in out.collect()} == {1: "A10G", 2: "T4", 3: "A100-40GB", 4: "T4"}
     assert "Sort" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_key_difference_reads_each_side_once_and_sorts_nothing(spark):
+    """Two anti joins computed and sorted both sides twice."""
+    left = spark.createDataFrame([(1,), (1,), (2,), (2,), (None,)], "k bigint")
+    right = spark.createDataFrame([(2,), (3,), (None,), (None,)], "k bigint")
+    out = ledger.key_difference(left, right, "k", "a", "b")
+    assert Counter(map(tuple, out.collect())) == Counter({(1, "a"): 2, (3, "b"): 1, (None, "a"): 1, (None, "b"): 2})
+    big = ledger.key_difference(spark.range(10).toDF("k"), spark.range(5).toDF("k"), "k")
+    plan = big._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Sort" not in plan and plan.count("Range (") == 2
