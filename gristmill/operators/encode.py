@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from gristmill.functions.text import pretokens
 from gristmill.operators.bpe import Rules
-from gristmill.session import BROADCAST_ROWS, broadcast_if_small
+from gristmill.session import BROADCAST_ROWS, broadcast_if_small, cut_lineage
 
 HOT_WORDS = 10_000
 MEMO_WORDS = 250_000
@@ -130,8 +130,9 @@ def encode_by_distinct_word(docs: DataFrame, rules: Rules, key: str = "doc_id",
     """
     occurrences = docs.select(key, F.posexplode(pretokens(F.col(text))).alias("pos", "word"))
     counted = occurrences.groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
-    encoded = counted.withColumn("ids", word_encoder(docs.sparkSession, rules)(F.col("word")))
-    if counted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    # Written once: the count, the hot words and the join would each take the texts apart again.
+    encoded = cut_lineage(counted.withColumn("ids", word_encoder(docs.sparkSession, rules)(F.col("word"))))
+    if encoded.count() <= BROADCAST_ROWS:
         found = occurrences.join(F.broadcast(encoded.drop("freq")), "word")
     else:
         hot = F.broadcast(encoded.orderBy(F.desc("freq"), "word").limit(HOT_WORDS).drop("freq"))

@@ -289,3 +289,20 @@ def test_key_difference_reads_each_side_once_and_sorts_nothing(spark):
     big = ledger.key_difference(spark.range(10).toDF("k"), spark.range(5).toDF("k"), "k")
     plan = big._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Sort" not in plan and plan.count("Range (") == 2
+
+
+@pytest.mark.parametrize("most", [1_000, 3])
+def test_distinct_words_are_counted_and_encoded_once(spark, monkeypatch, most):
+    """The texts were taken apart for the count, for the hot words and for the join again."""
+    rows = [(i, f"word{i % 7} and word{i % 3} or {i}") for i in range(40)]
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string")
+    rules = bpe.train_bpe(words.word_table(texts), 270)
+    monkeypatch.setattr(encode, "BROADCAST_ROWS", most)
+    monkeypatch.setattr(encode, "HOT_WORDS", 2)
+    cut = []
+    monkeypatch.setattr(encode, "cut_lineage", lambda df, keep=encode.cut_lineage: cut.append(df.columns) or keep(df))
+    got = encode.encode_by_distinct_word(texts, rules)
+    assert cut == [["word", "freq", "ids"]]
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_extract_all") == (1 if most > 3 else 2)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, encode.encode_texts(texts, rules).select("doc_id", "ids").collect()))
