@@ -87,3 +87,24 @@ def test_expected_counts_need_no_piece_table(spark, monkeypatch):
 
     monkeypatch.setattr(unigram, "log_shares", refuse)
     assert entry_point.queries()["K04_expected_counts"](spark, SF).count() > 100
+
+
+def test_pieces_are_found_once_and_dropped_later(spark, monkeypatch):
+    freq = {"lower": 5, "newest": 4, "": 9, "你好嗎😀": 4, "q": 2, "ab" * 2_000: 3}
+    table = spark.createDataFrame(list(freq.items()), "word string, freq bigint")
+    pieces = {"lo": 3.0, "low": 2.0, "e": 5.0, "er": 1.0, "w": 2.0, "n": 1.0, "es": 1.0, "t": 1.0, "s": 1.0, "你": 1.0, "好嗎": 2.0, "😀": 1.0, "a": 1e-9, "b": 1e-9, "ab": 1e-9}
+    whole = unigram.lattice(table, pieces)
+    for known in (pieces, {p: c for p, c in pieces.items() if p not in ("er", "ab")}, {"e": 1.0}):
+        shares = unigram.log_shares(known)
+        want = Counter()
+        for word, n in freq.items():
+            for piece, share in unigram._expected(word, shares, 3):
+                want[piece] += n * share
+        for given in (table, whole, unigram.written(whole, known)):
+            got = {r.piece: r.expected for r in unigram.expected_counts(given, shares).collect()}
+            assert set(got) == set(want) and all(math.isclose(got[p], want[p], rel_tol=1e-9) for p in want)
+
+    found, find = [], unigram.lattice
+    monkeypatch.setattr(unigram, "lattice", lambda t, p: found.append(len(p)) or find(t, p))
+    unigram.train_unigram(table, 14, seed_size=1_000)
+    assert len(found) == 1
