@@ -26,7 +26,7 @@ from gristmill.session import scratch
 from gristmill.sources import readers, writers
 from gristmill.streaming import jobs
 from gristmill.streaming.keyed import FINISHED, assembled_requests
-from gristmill.streaming.sinks import drain, put_batch
+from gristmill.streaming.sinks import drain, files_per_batch, put_batch
 
 AS_OF = "2001-07-20 12:00:00"
 BUDGET = 500_000.0
@@ -696,6 +696,10 @@ def t02(spark, d):
     return spark.read.parquet(f"{out}/rows").select("doc_id")
 
 
+# Batches of a replayed stream, at most: their number must not grow with the files that the input happens to have.
+BATCHES = 4
+
+
 @query("T05_event_text", """SELECT conv_id AS request_id, 'complete' AS finish, string_agg(text, '' ORDER BY turn) AS text, count(*) AS tokens FROM conversations GROUP BY conv_id""")
 def t05(spark, d):
     turns = table(spark, d, "conversations")
@@ -706,7 +710,8 @@ def t05(spark, d):
     source, out = scratch(spark, "t05-in"), scratch(spark, "t05")
     for part in (tokens, ends):  # an event a second; Spark takes the epoch itself for late
         part.withColumn("sent", F.timestamp_seconds(F.col("seq") + 1_000_000_000)).write.mode("append").parquet(source)
-    stream = spark.readStream.schema(f"{jobs.EVENT_ROWS}, sent timestamp").option("maxFilesPerTrigger", 1).parquet(source)
+    files = files_per_batch(spark, source, BATCHES)
+    stream = spark.readStream.schema(f"{jobs.EVENT_ROWS}, sent timestamp").option("maxFilesPerTrigger", files).parquet(source)
     done = assembled_requests(stream.withWatermark("sent", "1 hour"), "sent", patience=86_400_000)
     drain(done, lambda batch, n: put_batch(batch, out, n))
     return spark.read.schema(FINISHED).parquet(out).drop("batch_id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -47,6 +48,14 @@ def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(last).select(*keys, "_r.*")
 
 
+def files_per_batch(spark: SparkSession, path: str, batches: int) -> int:
+    """Files that a batch takes so that those in a folder make at most `batches` batches, however many they are.
+
+    A stateful batch has a price of its own, for opening and committing its state, whatever it holds.
+    """
+    return max(1, math.ceil(len(spark.read.parquet(path).inputFiles()) / batches))
+
+
 def drain(stream: DataFrame, put: Callable[[DataFrame, int], None], mode: str = "append", checkpoint: str | None = None) -> None:
     """Run a stream over everything available and wait for it."""
     place = checkpoint or scratch(stream.sparkSession, "stream")

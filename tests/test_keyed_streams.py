@@ -42,3 +42,19 @@ def test_abandoned_requests_expire(spark, tmp_path):
     assert (1, "timeout", "a", 1) in got and (2, "timeout", "bc", 2) in got
     assert [r for r in got if r[1] == "complete"] == [(3, "complete", "", 0), (9, "complete", "", 0)]
     assert len(got) == 4
+
+
+def test_the_query_takes_few_batches_however_many_files(spark, tmp_path, monkeypatch):
+    from gristmill.plans import catalog_ledger
+
+    rows = [(c, t, "u", f"{c}.{t} ") for c in range(30) for t in range(c % 4 + 1)]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
+    table.repartition(11).write.parquet(str(tmp_path / "conversations.parquet"))
+    batches, put = [], catalog_ledger.put_batch
+    monkeypatch.setattr(catalog_ledger, "put_batch", lambda df, path, n: batches.append(n) or put(df, path, n))
+    got = catalog_ledger.t05(spark, str(tmp_path)).collect()
+    assert sorted(tuple(r) for r in got) == [
+        (c, "complete", "".join(f"{c}.{t} " for t in range(c % 4 + 1)), c % 4 + 1) for c in range(30)
+    ]
+    # The last batch may be an empty one that only moves the watermark on.
+    assert len(set(batches)) <= catalog_ledger.BATCHES + 1
