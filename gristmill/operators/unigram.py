@@ -238,15 +238,16 @@ def expected_counts(words: DataFrame | Lattice, logp: dict[str, float]) -> DataF
 def expected_counts_of_table(words: DataFrame, counts: DataFrame, longest: int) -> DataFrame:
     """E-step from counts `(piece, freq)` in a table of any size: no piece table on the driver or in a task.
 
-    A word meets the pieces that are its own substrings; words without a segmentation give nothing.
+    `words` has one row per word. A word meets the pieces that are its own substrings; words without a segmentation give nothing.
     """
     total = counts.agg(F.sum(F.col("freq").cast("double")).alias("total"))
     logp = counts.crossJoin(F.broadcast(total)).select("piece", (F.log(F.col("freq").cast("double")) - F.log("total")).alias("logp"))
     n = F.length("word")
-    starts = words.select("word", "freq", F.explode(F.sequence(F.lit(1), n)).alias("s"))
-    ends = starts.select(
-        "word", "freq", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("s") + 1))).alias("n")
-    ).select("word", "freq", F.substring("word", F.col("s"), F.col("n")).alias("piece")).distinct()
+    # A word has one row, so its pieces are told apart within it: an aggregate over all of them would hold them in memory.
+    places = F.transform(F.sequence(F.lit(1), n), lambda s: F.transform(
+        F.sequence(F.lit(1), F.least(F.lit(longest), n - s + 1)), lambda k: F.substring(F.col("word"), s, k)
+    ))
+    ends = words.filter(n > 0).select("word", "freq", F.explode(F.array_distinct(F.flatten(places))).alias("piece"))
     own = ends.join(logp, "piece").groupBy("word", "freq").agg(F.collect_list(F.struct("piece", "logp")).alias("pieces"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

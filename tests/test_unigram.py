@@ -108,3 +108,17 @@ def test_pieces_are_found_once_and_dropped_later(spark, monkeypatch):
     monkeypatch.setattr(unigram, "lattice", lambda t, p: found.append(len(p)) or find(t, p))
     unigram.train_unigram(table, 14, seed_size=1_000)
     assert len(found) == 1
+
+
+def test_pieces_of_a_word_are_told_apart_without_an_aggregate(spark):
+    freq = {"banana": 2, "anna": 3, "": 1, "😀a😀a": 5}
+    table = spark.createDataFrame(list(freq.items()), "word string, freq bigint")
+    counts = unigram.substring_counts(table, 3).filter("length(piece) = 1 or freq > 1")
+    shares = unigram.log_shares({r.piece: float(r.freq) for r in counts.collect()})
+    want = {r.piece: r.expected for r in unigram.expected_counts(table, shares).collect()}
+    frame = unigram.expected_counts_of_table(table, counts, 3)
+    got = {r.piece: r.expected for r in frame.collect()}
+    assert set(got) == set(want) and all(abs(got[p] - want[p]) < 1e-9 for p in want)
+    # Nothing is grouped by word, count and piece at once.
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Aggregate [word" in line and "piece" in line.split("]")[0]]
