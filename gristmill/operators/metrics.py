@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.functions.scalars import improvement_pct, perplexity
-from gristmill.operators.blocks import running, trailing
+from gristmill.operators.blocks import running, sliding_mean, trailing
 from gristmill.operators.earlystop import early_stop  # noqa: F401
 from gristmill.session import joinable
 
@@ -87,7 +87,7 @@ def interval_means(log: DataFrame, every: int = 10) -> DataFrame:
 
 def smoothed_loss(log: DataFrame, width: int = 100) -> DataFrame:
     """Add `avg_loss` over the last `width` steps."""
-    return trailing(log, ["run_id"], "step", width, {"avg_loss": F.avg("loss")}, BLOCK_STEPS)
+    return sliding_mean(log, ["run_id"], "step", width, "loss", "avg_loss", BLOCK_STEPS)
 
 
 def trailing_mean(log: DataFrame, width: int = 100) -> DataFrame:

@@ -2,11 +2,12 @@
 
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from gristmill.operators import corpus, ledger, metrics
-from gristmill.operators.blocks import nth_keys, number_in_order, positions, running, trailing
+from gristmill.operators.blocks import nth_keys, number_in_order, positions, running, sliding_mean, trailing
 
 
 @pytest.fixture(scope="module")
@@ -68,6 +69,25 @@ def test_trailing(table, rows, width, block):
     assert {(r.run_id, r.step): r.t for r in got} == want and len(got) == len(rows)
 
 
+@pytest.mark.parametrize("block", [112, 1600, 100_000])
+def test_sliding_mean_adds_in_the_order_of_sql(spark, block):
+    """Means that are exactly a bound must fall on the side of it where SQL's fall."""
+    rng = random.Random(11)
+    losses = [None if rng.random() < 0.02 else rng.randint(1, 9999) / 10_000 for _ in range(3000)]
+    table = spark.createDataFrame(list(enumerate(losses, 1)), "step bigint, loss double").withColumn("run_id", F.lit("a"))
+    got = {r.step: r.m for r in sliding_mean(table, ["run_id"], "step", 100, "loss", "m", block).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT unnest(range(1, 3001)) AS step, unnest(?::DOUBLE[]) AS loss", [losses])
+    want = dict(con.execute("SELECT step, avg(loss) OVER (ORDER BY step ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) FROM t").fetchall())
+    assert got == want
+
+
+def test_sliding_mean_of_nothing_known(spark):
+    table = spark.createDataFrame([("a", 1, None), ("a", 2, 4.0), ("a", 3, None)], "run_id string, step bigint, v double")
+    got = sliding_mean(table, ["run_id"], "step", 2, "v", "m").orderBy("step").collect()
+    assert [r.m for r in got] == [None, 4.0, 4.0]
+
+
 def test_nth_keys_with_repeats(spark, monkeypatch):
     values = sorted([5] * 300 + list(range(-50, 900, 3)) + [2**40] * 10)
     df = spark.createDataFrame([(v,) for v in values], "k bigint")
