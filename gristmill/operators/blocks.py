@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gristmill.session import cut_lineage
+from gristmill.session import cut_lineage, tasks_for
 
 
 def _before(keys: list[str]):
@@ -53,14 +53,14 @@ def positions(
     return out.drop("_b", "_rn", "_off", "_total")
 
 
-def number_in_order(df: DataFrame, order: list, pos: str = "pos") -> DataFrame:
+def number_in_order(df: DataFrame, order: list, pos: str = "pos", rows: int = 0, task_rows: int = 1_000_000) -> DataFrame:
     """Number all rows 0, 1, ... in a global order without a single-task window.
 
     The rows are range-sorted and written once; each sorted partition then only needs its
-    offset, and the table of offsets has one row per partition.
+    offset, and the table of offsets has one row per partition. Given the number of `rows`,
+    about, there are more partitions for more than `task_rows` in one.
     """
-    spark = df.sparkSession
-    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = tasks_for(df.sparkSession, rows, task_rows)
     placed = (
         cut_lineage(df.repartitionByRange(parts, *order).sortWithinPartitions(*order))
         .withColumn("_b", F.spark_partition_id())

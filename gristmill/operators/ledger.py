@@ -19,7 +19,7 @@ from gristmill.functions import scalars as S
 from gristmill.functions.text import step_of_file, version_of_file
 from gristmill.operators.blocks import positions, running
 from gristmill.operators.gather import concat_in_order
-from gristmill.session import broadcast_if_small, cut_lineage, joinable
+from gristmill.session import broadcast_if_small, by_size, cut_lineage, joinable
 
 # ---------------------------------------------------------------- spend
 
@@ -181,7 +181,13 @@ def recent_history(schedule: DataFrame, limit: int = 10) -> DataFrame:
     return done.orderBy(F.coalesce(F.col("completed_at"), F.lit("")).desc(), "run_id").limit(limit)
 
 
-def apply_events(ledger: DataFrame, events: DataFrame, block: Column, event_block: Column) -> DataFrame:
+# Rows of a dataset that one task takes as they are, and rows of many datasets that are dealt to one task.
+WHOLE_DATASET, TASK_ROWS = 100_000, 500_000
+
+
+def apply_events(
+    ledger: DataFrame, events: DataFrame, block: Column, event_block: Column, whole: int = WHOLE_DATASET, task_rows: int = TASK_ROWS
+) -> DataFrame:
     """Fold start / complete / fail events into a ledger of pending runs.
 
     `ledger` is `(dataset, run_no)` and `events` is `(dataset, event_no, kind)`. A start hits
@@ -190,7 +196,63 @@ def apply_events(ledger: DataFrame, events: DataFrame, block: Column, event_bloc
     same order, so both are matched by their number. An end is lost exactly when the running
     count of starts minus ends falls to a new low below zero, so that low is also the number
     of ends lost so far.
+
+    Datasets of up to `whole` runs and events are dealt to tasks, more tasks the more rows there are, and go through
+    one sort. Only larger ones are cut into blocks, whose state is carried on by joins.
     """
+    both = ledger.select("dataset", F.lit(0).alias("_tag")).unionByName(events.select("dataset", F.lit(1).alias("_tag")))
+    sizes = both.filter(F.col("dataset").isNotNull()).groupBy("dataset").agg(F.count(F.lit(1)).alias("_n"))
+    large = cut_lineage(sizes.filter(F.col("_n") > whole).select("dataset"))
+    if large.isEmpty():
+        return _apply_whole(ledger, events, task_rows)
+    part = lambda rows, how: rows.join(broadcast_if_small(large), "dataset", how)
+    cut = _apply_in_blocks(part(ledger, "left_semi"), part(events, "left_semi"), block, event_block)
+    return _apply_whole(part(ledger, "left_anti"), part(events, "left_anti"), task_rows).unionByName(cut)
+
+
+def _ended_as(end: Column, started: Column) -> Column:
+    return F.when(end == "complete", "completed").when(end == "fail", "failed").when(started.isNotNull(), "running").otherwise("pending")
+
+
+def _apply_whole(ledger: DataFrame, events: DataFrame, task_rows: int) -> DataFrame:
+    """Each dataset in one task: its runs come first in the order, then its events."""
+    kinds = ledger.schema["run_no"].dataType, events.schema["event_no"].dataType
+    tag, kind = F.lit(None).cast("string"), F.col("kind")
+    rows = ledger.select("dataset", "run_no", F.lit(None).cast(kinds[1]).alias("event_no"), tag.alias("kind"), F.lit(0).alias("_tag")).unionByName(
+        events.filter(F.col("dataset").isNotNull() & kind.isNotNull()).select(
+            "dataset", F.lit(None).cast(kinds[0]).alias("run_no"), "event_no", "kind", F.lit(1).alias("_tag"))
+    )
+    known = rows.filter(F.col("dataset").isNotNull())
+    dealt = by_size(known, task_rows, "dataset")
+    is_run, is_start = F.col("_tag") == 0, F.col("kind") == "start"
+    here = W.partitionBy("dataset").orderBy("_tag", "run_no", "event_no")
+    to_here, before = here.rowsBetween(W.unboundedPreceding, 0), here.rowsBetween(W.unboundedPreceding, -1)
+    count = lambda which: F.sum(F.when(which, 1).otherwise(0)).over(to_here)
+    counted = dealt.select(
+        "*", count(is_run).alias("_runs"), count(is_start).alias("_starts"), count(~is_run & ~is_start).alias("_ends"),
+    ).withColumn("_level", F.when(~is_run, F.least("_starts", "_runs") - F.col("_ends")))
+    low = counted.withColumn("_low", F.min("_level").over(to_here)).withColumn("_low_before", F.min("_level").over(before))
+    zero = F.lit(0)
+    lost = F.when(is_run, False).when(is_start, F.col("_starts") > F.col("_runs")).otherwise(
+        F.col("_level") < F.least(F.coalesce("_low_before", zero), zero)
+    )
+    number = F.when(is_run, F.col("_runs")).when(is_start, F.col("_starts")).otherwise(F.col("_ends") - F.greatest(zero, -F.col("_low")))
+    # A run has one row, one start and one end at most; numbers stay in a hash aggregate, texts would be sorted.
+    end = F.when(F.col("kind") == "complete", 2).when(F.col("kind") == "fail", 1).otherwise(0)
+    folded = low.filter(~lost).withColumn("_k", number).groupBy("dataset", "_k").agg(
+        F.max("run_no").alias("run_no"), F.max(F.when(is_start, F.col("event_no"))).alias("started_by"),
+        F.max(F.when(~is_run & ~is_start, F.col("event_no"))).alias("ended_by"), F.max(F.when(~is_run & ~is_start, end)).alias("_end"),
+    )
+    ended = F.when(F.col("_end") == 2, "complete").when(F.col("_end") == 1, "fail")
+    found = folded.select("dataset", "run_no", _ended_as(ended, F.col("started_by")).alias("status"), "started_by", "ended_by")
+    unknown = ledger.filter(F.col("dataset").isNull()).select(
+        "dataset", "run_no", F.lit("pending").alias("status"), F.lit(None).cast(kinds[1]).alias("started_by"), F.lit(None).cast(kinds[1]).alias("ended_by")
+    )
+    return found.unionByName(unknown)
+
+
+def _apply_in_blocks(ledger: DataFrame, events: DataFrame, block: Column, event_block: Column) -> DataFrame:
+    """Datasets of any size: their runs and events are cut into blocks."""
     runs = positions(ledger, ["dataset"], ["run_no"], block, "_k")
     have = ledger.groupBy("dataset").agg(F.count(F.lit(1)).alias("_runs"))
     is_start = F.col("kind") == "start"
@@ -211,12 +273,9 @@ def apply_events(ledger: DataFrame, events: DataFrame, block: Column, event_bloc
         F.max(F.when(is_start, F.col("event_no"))).alias("started_by"),
         F.max(F.when(~is_start, F.struct("event_no", "kind"))).alias("_end"),
     )
-    status = (
-        F.when(F.col("_end.kind") == "complete", "completed").when(F.col("_end.kind") == "fail", "failed")
-        .when(F.col("started_by").isNotNull(), "running").otherwise("pending")
-    )
+    status = _ended_as(F.col("_end.kind"), F.col("started_by"))
     return runs.join(folded, ["dataset", "_k"], "left").select(
-        *ledger.columns, status.alias("status"), "started_by", F.col("_end.event_no").alias("ended_by")
+        "dataset", "run_no", status.alias("status"), "started_by", F.col("_end.event_no").alias("ended_by")
     )
 
 

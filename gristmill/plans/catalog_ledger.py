@@ -22,7 +22,7 @@ from gristmill.operators.gather import concat_in_order
 from gristmill.plans.catalog_corpus import RECORDS_SQL, learnt
 from gristmill.plans.catalog_metrics import rounded
 from gristmill.plans.registry import query, table
-from gristmill.session import scratch
+from gristmill.session import scratch, tasks_for
 from gristmill.sources import readers, writers
 from gristmill.streaming import jobs
 from gristmill.streaming.keyed import FINISHED, assembled_requests
@@ -127,11 +127,20 @@ def o02(spark, d):
     return L.recent_history(schedule(spark, d)).select("run_id", "status")
 
 
+EVENTS_A_TASK = 1_000_000
+
+
 def timed_events(spark, d) -> DataFrame:
     """Start and end events per customer."""
     kind = F.when(F.col("l_linestatus") == "O", "start").when(F.col("l_returnflag") == "R", "fail").otherwise("complete")
     owner = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("dataset"))
-    return table(spark, d, "lineitem").join(owner, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    items = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_linestatus", "l_returnflag"
+    )
+    usual, tasks = (tasks_for(spark, n, EVENTS_A_TASK) for n in (0, items.count()))
+    if tasks > usual:  # a join sorts what a task holds
+        items, owner = items.repartition(tasks, "l_orderkey"), owner.repartition(tasks, "o_orderkey")
+    return items.join(owner, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "dataset", F.col("l_shipdate").cast("timestamp_ntz").alias("ts"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         "l_extendedprice", kind.alias("kind"),
     )
@@ -140,7 +149,8 @@ def timed_events(spark, d) -> DataFrame:
 def run_events(spark, d) -> DataFrame:
     """The events, numbered in time order."""
     order = ["ts", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    return number_in_order(timed_events(spark, d), order, "event_no").select("dataset", "event_no", "kind", "ts", "l_orderkey")
+    rows = table(spark, d, "lineitem").count()
+    return number_in_order(timed_events(spark, d), order, "event_no", rows, EVENTS_A_TASK).select("dataset", "event_no", "kind")
 
 
 EVENTS_SQL = """events_of AS (SELECT o_custkey AS dataset, l_orderkey, l_shipdate AS ts,
@@ -164,7 +174,7 @@ EVENTS_SQL = """events_of AS (SELECT o_custkey AS dataset, l_orderkey, l_shipdat
 def l01(spark, d):
     runs = orders(spark, d).select(F.col("o_custkey").alias("dataset"), F.col("o_orderkey").alias("run_no"))
     return L.apply_events(
-        runs, run_events(spark, d).select("dataset", "event_no", "kind"),
+        runs, run_events(spark, d),
         F.floor(F.col("run_no") / 100_000), F.floor(F.col("event_no") / 100_000),
     )
 

@@ -52,6 +52,17 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
 
+def tasks_for(spark: SparkSession, rows: int, task_rows: int) -> int:
+    """As many tasks as a shuffle has, or more if each would get over `task_rows` rows."""
+    usual = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(usual, -(-rows // task_rows))
+
+
+def by_size(df: DataFrame, task_rows: int, *keys: str) -> DataFrame:
+    """`df` dealt by `keys` to a number of tasks that grows with its rows, so that what a task holds does not."""
+    return df.repartition(tasks_for(df.sparkSession, df.count(), task_rows), *keys)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting that the side has at most `max_rows` rows."""
     if df.limit(max_rows + 1).count() <= max_rows:

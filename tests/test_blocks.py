@@ -209,6 +209,26 @@ def test_apply_events(spark):
     events_df = spark.createDataFrame(events, "dataset int, event_no bigint, kind string")
     got = ledger.apply_events(ledger_df, events_df, F.floor(F.col("run_no") / 3), F.floor(F.col("event_no") / 4)).collect()
     assert {(r.dataset, r.run_no): (r.status, r.started_by, r.ended_by) for r in got} == want
+    for whole in (0, 20):  # all datasets in blocks, and the larger ones only
+        got = ledger.apply_events(ledger_df, events_df, F.floor(F.col("run_no") / 3), F.floor(F.col("event_no") / 4), whole=whole).collect()
+        assert {(r.dataset, r.run_no): (r.status, r.started_by, r.ended_by) for r in got} == want
+
+
+def test_apply_events_takes_more_tasks_for_more_rows(spark):
+    runs = spark.range(4000).select((F.col("id") % 400).cast("int").alias("dataset"), F.col("id").alias("run_no"))
+    starts = runs.select("dataset", F.col("run_no").alias("event_no"), F.lit("start").alias("kind"))
+    got = ledger.apply_events(runs, starts, F.lit(0), F.floor(F.col("event_no") / 100), task_rows=100)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # Each carry was a join; 8000 rows were as many tasks as a shuffle has.
+    assert "Join" not in plan and "hashpartitioning(dataset" in plan and ", 80), REPARTITION_BY_NUM" in plan
+    assert got.filter("started_by = run_no AND status = 'running'").count() == 4000
+
+
+def test_apply_events_leaves_runs_without_a_dataset_pending(spark):
+    runs = spark.createDataFrame([(None, 1), ("a", 2)], "dataset string, run_no bigint")
+    events = spark.createDataFrame([(None, 1, "start"), ("a", 2, "start"), ("a", 3, None), ("b", 4, "start")], "dataset string, event_no bigint, kind string")
+    got = ledger.apply_events(runs, events, F.lit(0), F.lit(0)).collect()
+    assert sorted(map(tuple, got), key=repr) == [("a", 2, "running", 2, None), (None, 1, "pending", None, None)]
 
 
 def test_session_without_runs_is_pending(spark):
