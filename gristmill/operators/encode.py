@@ -5,7 +5,9 @@ from __future__ import annotations
 import heapq
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,8 +18,10 @@ from gristmill.session import BROADCAST_ROWS, broadcast_if_small, cut_lineage
 
 HOT_WORDS = 10_000
 MEMO_WORDS = 250_000
-# Rows of an Arrow batch that are Python objects at once.
-ROWS_AT_ONCE = 64
+# Rows of an Arrow batch that are Python objects at once, and words of which the distinct ones are.
+ROWS_AT_ONCE, WORDS_AT_ONCE = 64, 1 << 18
+# Characters that a pre-token seldom exceeds on average.
+CHARS_A_WORD = 10
 IDS = T.ArrayType(T.IntegerType())
 
 
@@ -80,11 +84,37 @@ def word_encoder(spark: SparkSession, rules: Rules):
     return encode
 
 
+def _ids_of_words(flat: pa.Array, ids_of: Callable) -> pa.ListArray:
+    """The ids of each word; a word that comes several times is looked up once."""
+    coded = flat.dictionary_encode()
+    return pa.array(list(map(ids_of, coded.dictionary.to_pylist())), pa.list_(pa.int32())).take(coded.indices)
+
+
+def _ids_of_rows(words: pa.ListArray, ids_of: Callable) -> pa.ListArray:
+    """The ids of each row's words, one after the other; a null row has none."""
+    ids = _ids_of_words(words.flatten(), ids_of)
+    starts = np.cumsum(np.r_[0, pc.fill_null(pc.list_value_length(words), 0).to_numpy()])
+    offsets = ids.offsets.to_numpy()[starts] - ids.offsets[0].as_py()
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids.flatten())
+
+
+def _slices(words: pa.ListArray) -> Iterator[pa.ListArray]:
+    """Whole rows with about WORDS_AT_ONCE words."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(words), 0).to_numpy())
+    at = 0
+    while at < len(words):
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + WORDS_AT_ONCE, "right")))
+        yield words.slice(at, end - at)
+        at = end
+
+
 def text_encoder(spark: SparkSession, rules: Rules):
     """Arrow function ARRAY<STRING> -> ids; each task encodes a distinct word once.
 
     The corpus is not shuffled: pre-tokenising stays in the JVM and repeated words are
-    looked up in a bounded per-task table.
+    looked up in a bounded per-task table. Words stay in Arrow; only the distinct ones of
+    a few rows are Python objects.
     """
     shipped = spark.sparkContext.broadcast(_tables(rules))
 
@@ -92,29 +122,38 @@ def text_encoder(spark: SparkSession, rules: Rules):
     def encode(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tables, memo = shipped.value, {}
 
-        def ids_of(words) -> list[int]:
-            row: list[int] = []
-            for w in () if words is None else words:
-                if w not in memo:
-                    if len(memo) >= MEMO_WORDS:
-                        memo.clear()
-                    memo[w] = _word_ids(w, tables)
-                row.extend(memo[w])
-            return row
+        def ids_of(word: str) -> list[int]:
+            if word not in memo:
+                if len(memo) >= MEMO_WORDS:
+                    memo.clear()
+                memo[word] = _word_ids(word, tables)
+            return memo[word]
 
-        return _in_pieces(texts, ids_of)
+        for batch in texts:
+            for rows in _slices(batch):
+                yield _ids_of_rows(rows, ids_of)
 
     return encode
 
 
+def first_pretokens(text: Column, most: int) -> Column:
+    """The first `most` pre-tokens of a text, taken from its beginning alone where that shows them.
+
+    What is cut off can change the last pre-token of the beginning, or the last two (an apostrophe and its letters).
+    """
+    begin = pretokens(F.substring(text, 1, CHARS_A_WORD * (most + 2)))
+    enough = lambda words: F.when(F.size(words) >= most + 2, words).otherwise(pretokens(text))
+    return F.slice(F.transform(F.array(begin), enough)[0], 1, most)  # an array of one, so that the beginning is taken apart once
+
+
 def encode_texts(docs: DataFrame, rules: Rules, text: str = "text", out: str = "ids", most: int | None = None) -> DataFrame:
     """Add the content ids of each text; one narrow pass, no shuffle.
 
     With `most`, at least the first `most` ids are right: every pre-token gives one or more, so the
     pre-tokens after as many need no encoding when a record of that length is cut afterwards.
     """
-    words = pretokens(F.col(text))
-    return docs.withColumn(out, text_encoder(docs.sparkSession, rules)(words if most is None else F.slice(words, 1, most)))
+    words = pretokens(F.col(text)) if most is None else first_pretokens(F.col(text), most)
+    return docs.withColumn(out, text_encoder(docs.sparkSession, rules)(words))
 
 
 def encode_whole_texts(docs: DataFrame, rules: Rules, text: str = "text", out: str = "ids") -> DataFrame:

@@ -75,3 +75,47 @@ def test_first_places_are_packed_into_longs_where_the_keys_allow(spark):
         got = {r.word: (r.freq, (high + 1, 0) if r.first._doc is None else tuple(r.first)) for r in table.collect()}
         assert got == {w: (n, place if place[0] <= high else (high + 1, 0)) for w, (n, place) in want.items()}
         assert ("decimal(38,0)" in table._jdf.queryExecution().optimizedPlan().toString().lower()) != long
+
+
+def test_words_are_looked_up_once_for_many_rows():
+    """Every occurrence of a word was a Python object and a lookup of its own."""
+    import pyarrow as pa
+
+    from gristmill.operators import encode
+
+    asked = []
+    ids_of = lambda w: asked.append(w) or [len(w)] * len(w)
+    rows = pa.array([["x", "xx"], None, [], ["xx", "", "x"] * 50, ["x"]])
+    for part, want in ((rows, [[1, 2, 2], [], [], [2, 2, 1] * 50, [1]]), (rows.slice(1, 3), [[], [], [2, 2, 1] * 50])):
+        asked.clear()
+        assert encode._ids_of_rows(part, ids_of).to_pylist() == want
+        assert sorted(asked) == ["", "x", "xx"]
+
+
+def test_slices_are_whole_rows_of_about_so_many_words(monkeypatch):
+    import pyarrow as pa
+
+    from gristmill.operators import encode
+
+    monkeypatch.setattr(encode, "WORDS_AT_ONCE", 4)
+    rows = pa.array([["a"] * n if n is not None else None for n in (1, 2, 9, None, 0, 4, 1)])
+    assert [[len(r or []) for r in part.to_pylist()] for part in encode._slices(rows)] == [[1, 2], [9], [0, 0, 4], [1]]
+
+
+def test_first_pretokens_come_from_the_beginning_of_a_text(spark, monkeypatch):
+    """Whole texts were taken apart for their first words; what stands at the cut must not change them."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from gristmill.functions.text import pretokens
+    from gristmill.operators import encode
+
+    rng = random.Random(5)
+    bits = ["a", "We", " ", "  ", "\n", "'", "'re", "'ll", "7", "é", "\U0001f600", "!?", "longwordlongword" * 3]
+    texts = ["".join(rng.choices(bits, k=rng.randint(0, 40))) for _ in range(400)] + [None, "", " " * 90, "x" * 500 + " y z"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    for chars in (1, 2, 4):
+        monkeypatch.setattr(encode, "CHARS_A_WORD", chars)
+        got = rows.select(encode.first_pretokens(F.col("text"), 6).alias("got"), F.slice(pretokens(F.col("text")), 1, 6).alias("want"))
+        assert got.filter(~F.col("got").eqNullSafe(F.col("want"))).collect() == []
