@@ -16,13 +16,16 @@ from gristmill.functions.text import pretokens
 from gristmill.operators.bpe import Rules
 from gristmill.session import BROADCAST_ROWS, broadcast_if_small, cut_lineage
 
-HOT_WORDS = 10_000
+HOT_WORDS = 500_000
 MEMO_WORDS = 250_000
 # Rows of an Arrow batch that are Python objects at once, and words of which the distinct ones are.
 ROWS_AT_ONCE, WORDS_AT_ONCE = 64, 1 << 18
+# Words looked up in the table of hot words at once; that is indexed each time.
+LOOKED_UP_AT_ONCE = 1 << 20
 # Characters that a pre-token seldom exceeds on average.
 CHARS_A_WORD = 10
 IDS = T.ArrayType(T.IntegerType())
+ANSWERS = "array<struct<word: string, ids: array<int>>>"
 
 
 def _merge(tokens: list[bytes], ranks: dict[tuple[bytes, bytes], int]) -> list[bytes]:
@@ -161,25 +164,103 @@ def encode_whole_texts(docs: DataFrame, rules: Rules, text: str = "text", out: s
     return docs.withColumn(out, word_encoder(docs.sparkSession, rules)(F.col(text)))
 
 
+def _least_hot(counted: DataFrame) -> int:
+    """The least frequency from which on there are at most HOT_WORDS words."""
+    by_freq = sorted(counted.groupBy("freq").agg(F.count(F.lit(1))).collect(), reverse=True)
+    least, words = 1 << 62, 0
+    for freq, n in by_freq:
+        words += n
+        if words > HOT_WORDS:
+            break
+        least = freq
+    return least
+
+
+def _order_of_repeats(order: np.ndarray, texts: pa.ListArray, words_of_text: np.ndarray, ids: pa.ListArray) -> np.ndarray:
+    """The words of a row with several texts, by their position, then by their ids."""
+    several = pc.list_value_length(texts).to_numpy()
+    if not len(several) or several.max() < 2:
+        return order
+    order, text, at = order.copy(), 0, 0
+    for n in several:
+        lengths = words_of_text[text:text + n]
+        end = at + int(lengths.sum())
+        if n > 1:
+            pos = np.concatenate([np.arange(k) for k in lengths])
+            key = list(zip(pos.tolist(), ids.take(pa.array(order[at:end])).to_pylist()))
+            order[at:end] = order[at:end][sorted(range(end - at), key=key.__getitem__)]
+        text, at = text + n, end
+    return order
+
+
+def _ids_by_table(texts: pa.ListArray, rare: pa.ListArray, hot_words: pa.Array, hot_ids: pa.ListArray) -> pa.ListArray:
+    """The ids of the words of each row's texts, looked up among the hot words and those that come with the rows."""
+    words = texts.flatten()
+    words_of_text = pc.list_value_length(words).to_numpy()
+    flat, found = words.flatten().dictionary_encode(), rare.flatten()
+    at = pc.index_in(flat.dictionary, value_set=pa.concat_arrays([hot_words, found.field("word")]))
+    if at.null_count:
+        raise ValueError("a word of a text is not in the table of encoded words")
+    ids = pa.concat_arrays([hot_ids, found.field("ids").cast(hot_ids.type)]).take(at)
+    order = _order_of_repeats(flat.indices.to_numpy(), texts, words_of_text, ids)
+    ends = np.cumsum(np.r_[0, words_of_text])[np.cumsum(np.r_[0, pc.list_value_length(texts).to_numpy()])]
+    out = ids.take(pa.array(order, pa.int32()))
+    return pa.ListArray.from_arrays(pa.array(out.offsets.to_numpy()[ends], pa.int32()), out.flatten())
+
+
+def table_encoder(hot: DataFrame):
+    """Arrow function (ARRAY<ARRAY<STRING>> words of texts, ARRAY<STRUCT<word, ids>>) -> ids, by lookup alone.
+
+    The words and ids of `hot` are shipped; the second column has all other words of the row.
+    """
+    rows = hot.select("word", "ids").toArrow().combine_chunks()
+    column = lambda name, kind: pa.concat_arrays([pa.array([], kind), *rows.column(name).cast(kind).chunks])
+    shipped = hot.sparkSession.sparkContext.broadcast((column("word", pa.string()), column("ids", pa.list_(pa.int32()))))
+
+    @F.arrow_udf(IDS)
+    def encode(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, rare in batches:
+            for at, n in _row_slices(texts):
+                yield _ids_by_table(texts.slice(at, n), rare.slice(at, n), *shipped.value)
+
+    return encode
+
+
+def _row_slices(texts: pa.ListArray) -> Iterator[tuple[int, int]]:
+    """Start and number of rows whose texts have about LOOKED_UP_AT_ONCE words together."""
+    words = np.cumsum(np.r_[0, pc.list_value_length(texts.flatten()).to_numpy()])
+    ends = words[np.cumsum(pc.list_value_length(texts).to_numpy())]
+    at = 0
+    while at < len(texts):
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + LOOKED_UP_AT_ONCE, "right")))
+        yield at, end - at
+        at = end
+
+
 def encode_by_distinct_word(docs: DataFrame, rules: Rules, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`(key, ids)`: encode each distinct word once, then join the ids back in word order.
+    """`(key, ids)`: encode each distinct word once, then give every text the ids of its words in word order.
 
-    The most frequent words are joined by broadcast (at most HOT_WORDS rows), so the
-    shuffled part of the join has no hot keys.
+    The most frequent words (at most HOT_WORDS) go to all tasks. A text asks for each of its other words
+    once; the answers meet the text by its key, so a word's occurrences are never shuffled. Rows of one key
+    are taken as one text: their words go by position, then by ids. A null key has no ids.
     """
-    occurrences = docs.select(key, F.posexplode(pretokens(F.col(text))).alias("pos", "word"))
-    counted = occurrences.groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
+    known = F.col(key).isNotNull()
+    counted = docs.select(F.explode(pretokens(F.col(text))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
     # Written once: the count, the hot words and the join would each take the texts apart again.
     encoded = cut_lineage(counted.withColumn("ids", word_encoder(docs.sparkSession, rules)(F.col("word"))))
+    texts = docs.groupBy(key).agg(F.collect_list(F.when(known, F.col(text))).alias("_texts"), F.count(F.lit(1)).alias("_rows"))
     if encoded.count() <= BROADCAST_ROWS:
-        found = occurrences.join(F.broadcast(encoded.drop("freq")), "word")
+        hot = encoded
+        texts = texts.withColumn("_rare", F.array().cast(ANSWERS))
     else:
-        hot = F.broadcast(encoded.orderBy(F.desc("freq"), "word").limit(HOT_WORDS).drop("freq"))
-        rare = occurrences.join(hot, "word", "left_anti").join(encoded.drop("freq"), "word")
-        found = occurrences.join(hot, "word").unionByName(rare)
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "ids")))
-    lists = found.groupBy(key).agg(F.flatten(F.transform(ordered, lambda x: x["ids"])).alias("ids"))
-    return docs.select(key).join(lists, key, "left").withColumn("ids", F.coalesce("ids", F.array().cast(IDS)))
+        hot = encoded.filter(F.col("freq") >= _least_hot(encoded))
+        asked = docs.filter(known).select(key, F.explode(F.array_distinct(pretokens(F.col(text)))).alias("word"))
+        rare = asked.join(F.broadcast(hot.select("word")), "word", "left_anti").join(encoded.drop("freq"), "word")
+        texts = texts.join(rare.groupBy(key).agg(F.collect_list(F.struct("word", "ids")).cast(ANSWERS).alias("_rare")), key, "left")
+    words = F.transform("_texts", lambda t: pretokens(t))
+    ids = texts.withColumn("ids", table_encoder(hot)(words, F.col("_rare")))
+    return ids.select(key, "ids", F.explode(F.sequence(F.lit(1), F.col("_rows"))).alias("_row")).drop("_row")
 
 
 def vocabulary_lookup(rows: DataFrame, vocab: DataFrame, token: str, unk: int | None) -> DataFrame:
@@ -210,10 +291,20 @@ def decoded(ids: Column, rules: Rules) -> Column:
     return F.make_valid_utf8(raw.cast("string"))
 
 
+def _whole_numbers(rows: DataFrame, value: str) -> bool:
+    kind = rows.schema[value].dataType
+    return isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.IntegralType)
+
+
 def agreement(left: DataFrame, right: DataFrame, key: str, value: str) -> DataFrame:
-    """`(key, same)`: does each shared key carry the same value on both sides?"""
-    other = right.select(key, F.col(value).alias("_other"))
-    return left.select(key, value).join(other, key).select(key, F.col(value).eqNullSafe(F.col("_other")).alias("same"))
+    """`(key, same)`: does each shared key carry the same value on both sides?
+
+    Arrays of whole numbers stand in the join as the SHA-256 of all their elements, written out: 32 bytes each.
+    """
+    digest = _whole_numbers(left, value) and _whole_numbers(right, value)
+    shown = F.unhex(F.sha2(F.col(value).cast("string").cast("binary"), 256)) if digest else F.col(value)
+    other = right.select(key, shown.alias("_other"))
+    return left.select(key, shown.alias(value)).join(other, key).select(key, F.col(value).eqNullSafe(F.col("_other")).alias("same"))
 
 
 def agreement_report(compared: DataFrame) -> DataFrame:
