@@ -18,8 +18,10 @@ from gristmill.session import BROADCAST_ROWS, broadcast_if_small, cut_lineage
 
 HOT_WORDS = 500_000
 MEMO_WORDS = 250_000
-# Rows of an Arrow batch that are Python objects at once, and words of which the distinct ones are.
+# Rows of an Arrow batch that are Python objects at once, and words of which the distinct ones are encoded together.
 ROWS_AT_ONCE, WORDS_AT_ONCE = 64, 1 << 18
+# Bytes up to which words are merged side by side: a round takes one pair of each.
+SHORT_BYTES = 64
 # Words looked up in the table of hot words at once; that is indexed each time.
 LOOKED_UP_AT_ONCE = 1 << 20
 # Characters that a pre-token seldom exceeds on average.
@@ -67,6 +69,67 @@ def _word_ids(word: str, tables) -> list[int]:
     return [ids.get(t, unk) for t in _merge([bytes([b]) for b in word.encode()], ranks)]
 
 
+def _pair_table(rules: Rules):
+    """Pairs as sorted numbers of two symbols, the symbol each makes and the id of each symbol; a byte is its own symbol.
+
+    None where merging a pair of a word at all its places at once could differ from one place after the other: where
+    two rules make the same bytes or a rule comes before what makes its parts.
+    """
+    _, ids, unk = _tables(rules)
+    symbol = {bytes([b]): b for b in range(256)}
+    pairs, last = {}, -1
+    size = 256 + len(rules.merges)
+    for m in rules.merges:
+        if m.id <= last or m.left not in symbol or m.right not in symbol or m.left + m.right in symbol:
+            return None
+        pairs[symbol[m.left] * size + symbol[m.right]] = symbol[m.left + m.right] = len(symbol)
+        last = m.id
+    codes = np.array(sorted(pairs), np.int64)
+    made = np.array([pairs[c] for c in codes.tolist()], np.int64)
+    return codes, made, np.array([ids.get(t, unk) for t in symbol], np.int32)
+
+
+def _ids_of_short(words: pa.Array, pairs) -> pa.ListArray:
+    """The ids of many words side by side: a round merges the lowest-ranked pair of each word, at all its places."""
+    codes, made, id_of = pairs
+    lengths = pc.binary_length(words).to_numpy()
+    begin = np.frombuffer(words.buffers()[1], np.int32, 1, words.offset * 4)[0]
+    symbols = np.frombuffer(words.buffers()[2] or b"", np.uint8, int(lengths.sum()), begin).astype(np.int64)
+    of_word, none = np.repeat(np.arange(len(words)), lengths), len(id_of)
+    ended: list[tuple[np.ndarray, np.ndarray]] = []
+    while len(symbols) and len(codes):
+        pair = symbols[:-1] * len(id_of) + symbols[1:]
+        at = np.minimum(np.searchsorted(codes, pair), len(codes) - 1)
+        found = np.r_[np.where((codes[at] == pair) & (of_word[:-1] == of_word[1:]), made[at], none), none]
+        starts = np.flatnonzero(np.r_[True, of_word[1:] != of_word[:-1]])
+        least = np.repeat(np.minimum.reduceat(found, starts), np.diff(np.r_[starts, len(symbols)]))
+        places = np.flatnonzero((found == least) & (least != none))
+        after = np.r_[False, np.diff(places) == 1]  # overlaps the place before: a run of one symbol
+        if after.any():
+            n = np.arange(len(places))
+            places = places[(n - np.maximum.accumulate(np.where(after, 0, n))) % 2 == 0]
+        symbols[places] = found[places]
+        keep = least != none
+        ended.append((of_word[~keep], symbols[~keep]))
+        keep[places + 1] = False
+        of_word, symbols = of_word[keep], symbols[keep]
+    ended.append((of_word, symbols))
+    of_word, symbols = (np.concatenate(x) for x in zip(*ended))
+    offsets = np.cumsum(np.r_[0, np.bincount(of_word, minlength=len(words))])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(id_of[symbols[np.argsort(of_word, kind="stable")]]))
+
+
+def _ids_of_distinct(words: pa.Array, ids_of: Callable, pairs=None) -> pa.ListArray:
+    """The ids of each of the words: of short ones side by side where `pairs` allows it, of the others by `ids_of`."""
+    short = np.zeros(len(words), bool) if pairs is None else pc.binary_length(words).to_numpy() <= SHORT_BYTES
+    many, few = np.flatnonzero(short), np.flatnonzero(~short)
+    one_by_one = pa.array(list(map(ids_of, words.take(pa.array(few)).to_pylist())), pa.list_(pa.int32()))
+    if not len(many):
+        return one_by_one
+    ids = pa.concat_arrays([_ids_of_short(words.take(pa.array(many)), pairs).cast(one_by_one.type), one_by_one])
+    return ids.take(pa.array(np.argsort(np.r_[many, few])))
+
+
 def _in_pieces(batches: Iterator[pa.Array], ids_of: Callable) -> Iterator[pa.Array]:
     """The ids of each row, a few rows at a time: a batch holds thousands of texts."""
     for batch in batches:
@@ -87,15 +150,10 @@ def word_encoder(spark: SparkSession, rules: Rules):
     return encode
 
 
-def _ids_of_words(flat: pa.Array, ids_of: Callable) -> pa.ListArray:
-    """The ids of each word; a word that comes several times is looked up once."""
-    coded = flat.dictionary_encode()
-    return pa.array(list(map(ids_of, coded.dictionary.to_pylist())), pa.list_(pa.int32())).take(coded.indices)
-
-
-def _ids_of_rows(words: pa.ListArray, ids_of: Callable) -> pa.ListArray:
-    """The ids of each row's words, one after the other; a null row has none."""
-    ids = _ids_of_words(words.flatten(), ids_of)
+def _ids_of_rows(words: pa.ListArray, ids_of: Callable, pairs=None) -> pa.ListArray:
+    """The ids of each row's words, one after the other; a null row has none. A word that comes several times is encoded once."""
+    coded = words.flatten().dictionary_encode()
+    ids = _ids_of_distinct(coded.dictionary, ids_of, pairs).take(coded.indices)
     starts = np.cumsum(np.r_[0, pc.fill_null(pc.list_value_length(words), 0).to_numpy()])
     offsets = ids.offsets.to_numpy()[starts] - ids.offsets[0].as_py()
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids.flatten())
@@ -113,17 +171,16 @@ def _slices(words: pa.ListArray) -> Iterator[pa.ListArray]:
 
 
 def text_encoder(spark: SparkSession, rules: Rules):
-    """Arrow function ARRAY<STRING> -> ids; each task encodes a distinct word once.
+    """Arrow function ARRAY<STRING> -> ids; each task encodes the distinct words of a few rows side by side.
 
-    The corpus is not shuffled: pre-tokenising stays in the JVM and repeated words are
-    looked up in a bounded per-task table. Words stay in Arrow; only the distinct ones of
-    a few rows are Python objects.
+    The corpus is not shuffled: pre-tokenising stays in the JVM, and words stay in Arrow. Words that can't be
+    encoded side by side are looked up in a bounded per-task table.
     """
-    shipped = spark.sparkContext.broadcast(_tables(rules))
+    shipped = spark.sparkContext.broadcast((_tables(rules), _pair_table(rules)))
 
     @F.arrow_udf(IDS)
     def encode(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tables, memo = shipped.value, {}
+        (tables, pairs), memo = shipped.value, {}
 
         def ids_of(word: str) -> list[int]:
             if word not in memo:
@@ -134,7 +191,7 @@ def text_encoder(spark: SparkSession, rules: Rules):
 
         for batch in texts:
             for rows in _slices(batch):
-                yield _ids_of_rows(rows, ids_of)
+                yield _ids_of_rows(rows, ids_of, pairs)
 
     return encode
 

@@ -1,11 +1,13 @@
 """The encoder by distinct words and the comparison of two encoders: rows of odd keys, and what they move."""
 
+import random
 import re
 
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from gristmill.functions.arrays import BYTES_FIRST
 from gristmill.functions.text import pretokens
 from gristmill.operators import bpe, encode, words
 
@@ -77,3 +79,37 @@ def test_agreement_of_other_values_compares_them(spark):
     right = spark.createDataFrame([(1, -0.0, False), (2, None, None)], "k int, v double, w boolean")
     assert dict(map(tuple, encode.agreement(left, right, "k", "v").collect())) == {1: True, 2: True}
     assert dict(map(tuple, encode.agreement(left, right, "k", "w").collect())) == {1: False, 2: True}
+
+
+def random_rules(rng, merges, alphabet):
+    """Rules whose parts are bytes or made before, no two of which make the same bytes."""
+    known, made = [bytes([c]) for c in alphabet], []
+    while len(made) < merges:
+        left, right = rng.choice(known), rng.choice(known)
+        if left + right not in known:
+            made.append(bpe.Merge(left, right, 260 + len(made), 1))
+            known.append(left + right)
+    return bpe.Rules(BYTES_FIRST, made, [bytes([b]) for b in range(256)])
+
+
+def test_short_words_are_merged_side_by_side(monkeypatch):
+    """Each word was merged for itself, on a heap of its pairs."""
+    rng = random.Random(7)
+    for merges in (0, 1, 5, 60):
+        rules = random_rules(rng, merges, b"ab\xc3\xa4")
+        tables, pairs = encode._tables(rules), encode._pair_table(rules)
+        texts = ["".join(rng.choices("abä", k=rng.choice([0, 1, 2, 5, 12, 40]))) for _ in range(300)] + ["", "a" * 30, "b" * 64, "ä" * 33]
+        asked = []
+        got = encode._ids_of_distinct(pa.array(["skipped", *texts]).slice(1), lambda w: asked.append(w) or encode._word_ids(w, tables), pairs)
+        assert got.to_pylist() == [encode._word_ids(w, tables) for w in texts]
+        assert all(len(w.encode()) > encode.SHORT_BYTES for w in asked) and "ä" * 33 in asked
+    assert encode._ids_of_distinct(pa.array([], pa.string()), None, pairs).to_pylist() == []
+
+
+def test_rules_that_need_one_merge_after_the_other_have_no_pair_table():
+    m = bpe.Merge
+    of = lambda *merges: encode._pair_table(bpe.Rules(BYTES_FIRST, list(merges), [bytes([b]) for b in range(256)]))
+    assert of(m(b"a", b"b", 260, 1), m(b"ab", b"c", 261, 1)) is not None
+    assert of(m(b"a", b"b", 260, 1), m(b"ab", b"c", 261, 1), m(b"b", b"c", 262, 1), m(b"a", b"bc", 263, 1)) is None
+    assert of(m(b"ab", b"c", 260, 1), m(b"a", b"b", 261, 1)) is None
+    assert of(m(b"a", b"b", 261, 1), m(b"b", b"c", 260, 1)) is None
